@@ -27,7 +27,7 @@ from . import common
 SIZE = 2048
 END_ID = 0
 SALTS = 64
-NODES = 2000
+NODES = 20_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -143,99 +143,144 @@ def best_fit(counts: dict[int, int], size: int) -> list[tuple[tuple[int, ...], i
 
 
 def least_bins(counts: dict[int, int], size: int) -> int:
-    """The larger of the volume bound and of the bounds that set small pieces aside (for each threshold, those that pair with none)."""
-    best = -(-sum(k * n for k, n in counts.items()) // size)
-    lengths = sorted(counts)
-    for t in [0, *(x for x in lengths if x <= size // 2)]:
-        alone = sum(counts[x] for x in lengths if x > size - t)
-        half = [x for x in lengths if size // 2 < x <= size - t]
-        middle = sum(x * counts[x] for x in lengths if t <= x <= size // 2)
-        pairs = sum(counts[x] for x in half)
-        spare = pairs * size - sum(x * counts[x] for x in half)
-        best = max(best, alone + pairs + max(0, -(-(middle - spare) // size)))
-    return best
-
-
-def fillings(counts: dict[int, int], room: int, waste: int, limit: int = 200) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` that waste at most ``waste``, fullest first.
-
-    A filling is dominated if a piece that is left could stand in for some of its pieces that are no longer than it together.
+    """A lower bound: for each threshold t, pieces over size - t stand alone, those over half have a bin each, and what is at least t must fit beside those."""
+    n = np.zeros(size + 2, np.int64)
+    for k, c in counts.items():
+        n[k] = c
+    volume, pieces = np.cumsum(n * np.arange(size + 2)), np.cumsum(n)
+    half = size // 2
+    t = np.arange(half + 1)
+    alone = pieces[-1] - pieces[size - t]
+    middle_n, middle = pieces[size - t] - pieces[half], volume[size - t] - volume[half]
+    small = volume[half] - np.where(t > 0, volume[np.maximum(t - 1, 0)], 0)
+    need = np.maximum(0, -(-(small - (middle_n * size - middle)) // size))
+    return int(max((alone + middle_n + need).max(), -(-volume[-1] // size)))
+
+
+def dominated(filling: tuple[int, ...], counts: dict[int, int], room: int) -> bool:
+    """Whether a piece that is left could take the place of some of the filling's pieces that are together no longer than it."""
+    used, free = Counter(filling), room - sum(filling)
+    sums = {(0, 0)}
+    for x in filling[:12]:
+        sums |= {(s + x, min(k + 1, 2)) for s, k in sums}
+    return any(used[x] < n and any((s < x or (s == x and k > 1)) and x <= s + free for s, k in sums) for x, n in counts.items() if n and x <= room)
+
+
+def fillings(counts: dict[int, int], room: int, steps: int = 3000, wide: int = 6) -> list[tuple[int, ...]]:
+    """Fillings of ``room`` by pieces of ``counts``, least waste first: all undominated ones where ``steps`` steps enumerate them.
+
+    Else the perfect fillings by up to three pieces with the largest pieces, or the fullest that were found.
     """
     lengths = sorted((k for k, n in counts.items() if n and k <= room), reverse=True)
-    out: list[tuple[int, ...]] = []
-
-    def dominated(held: tuple[int, ...], used: Counter) -> bool:
-        free, sums = room - sum(held), {0}
-        for x in held[:12]:
-            sums |= {s + x for s in sums}
-        sums -= {0}
-        for x in lengths:
-            if used[x] < counts[x] and (x <= free or any(s <= x <= s + free and not (s == x and used[x]) for s in sums if s < x)):
-                return True
-        return False
+    if not lengths:
+        return [()]
+    found: list[tuple[int, ...]] = []
+    left = steps
 
     def grow(i: int, held: tuple[int, ...], free: int) -> None:
-        if len(out) >= limit:
-            return
+        nonlocal left
+        whole = True
         for k in range(i, len(lengths)):
             x = lengths[k]
             if x <= free and held.count(x) < counts[x]:
+                whole = False
+                left -= 1
+                if left < 0:
+                    return
                 grow(k, (*held, x), free - x)
-        if free <= waste and not dominated(held, Counter(held)):
-            out.append(held)
-
+        if whole:
+            found.append(held)
+
+    if len(lengths) <= 40:
+        grow(0, (), room)
+        if left >= 0:
+            return sorted((f for f in dict.fromkeys(found) if not dominated(f, counts, room)), key=lambda f: (-sum(f), len(f), [-x for x in f]))
+    have = lambda x, *others: counts.get(x, 0) > others.count(x)
+    perfect: list[tuple[int, ...]] = [(room,)] if have(room) else []
+    for x in lengths:
+        if len(perfect) >= wide or 2 * x < room:
+            break
+        if x < room and have(room - x, x):
+            perfect.append((x, room - x))
+    if not perfect:
+        for x in lengths:
+            if 3 * x < room or left < 0 or len(perfect) >= wide:
+                break
+            for y in lengths[bisect_left(lengths, -min(x, room - x - 1), key=lambda v: -v) :]:
+                left -= 1
+                if left < 0 or 2 * y < room - x or len(perfect) >= wide:
+                    break
+                if have(y, x) and have(room - x - y, x, y):
+                    perfect.append((x, y, room - x - y))
+    if perfect:
+        return perfect
+    left = steps
+    found.clear()
     grow(0, (), room)
-    return sorted(set(out), key=lambda h: (-sum(h), len(h), h))
+    return sorted(dict.fromkeys(found), key=lambda f: (-sum(f), len(f), [-x for x in f]))[:wide] or [(lengths[0],)]
 
 
 def bin_completion(counts: dict[int, int], size: int = SIZE, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
     """Few bins for a histogram of lengths: bins as (lengths, number of such bins).
 
-    Best-fit gives the first incumbent. While it lies above the bound, the largest piece left is completed by each undominated filling, many
-    times at once where counts allow, then once; a branch ends where its waste can't beat the incumbent, and best-fit on what is
-    left may improve it. After ``nodes`` nodes the incumbent stands.
+    Best-fit gives the first incumbent. While it lies above the lower bound, the largest piece left is completed by each of its fillings, as
+    often as counts allow and then once; a branch ends where the space that it wastes leaves no room to beat the incumbent. Best-fit on what a branch leaves
+    may improve the incumbent, which stands after ``nodes`` nodes: the limit bounds the search, never the pieces.
     """
-    counts = {k: n for k, n in counts.items() if n}
-    if not counts:
+    left = {k: n for k, n in counts.items() if n}
+    if not left:
         return []
-    best = best_fit(counts, size)
-    best_n, bound = sum(n for _, n in best), least_bins(counts, size)
-    total = sum(k * n for k, n in counts.items())
-    seen = 0
+    best = best_fit(left, size)
+    best_n, bound = sum(n for _, n in best), least_bins(left, size)
+    total = sum(k * n for k, n in left.items())
+    used = wasted = seen = 0
+    done: list[tuple[tuple[int, ...], int]] = []
 
-    def search(left: dict[int, int], done: list[tuple[tuple[int, ...], int]], used: int, wasted: int) -> None:
-        nonlocal best, best_n, seen
-        seen += 1
-        if best_n <= bound or seen > nodes:
-            return
-        if not left:
-            if used < best_n:
-                best, best_n = list(done), used
-            return
-        allowed = (best_n - 1) * size - total - wasted
-        if allowed < 0 or used + least_bins(left, size) >= best_n:
-            return
-        rest = best_fit(left, size)
-        if used + sum(n for _, n in rest) < best_n:
-            best, best_n = done + rest, used + sum(n for _, n in rest)
-            if best_n <= bound:
-                return
-            allowed -= size
+    def options() -> Iterator[tuple[tuple[int, ...], int]]:
         top = max(left)
-        others = left | {top: left[top] - 1}
-        for filling in fillings(others, size - top, allowed):
+        left[top] -= 1
+        made = fillings(left, size - top)
+        left[top] += 1
+        for filling in made:
             need = Counter((top, *filling))
             most = min(left[x] // n for x, n in need.items())
-            lost = size - top - sum(filling)
-            if lost:
-                most = min(most, max(1, allowed // lost))
             for times in dict.fromkeys((most, 1)):
-                after = {x: n - times * need.get(x, 0) for x, n in left.items()}
-                search({x: n for x, n in after.items() if n}, [*done, ((top, *filling), times)], used + times, wasted + times * lost)
-                if best_n <= bound or seen > nodes:
-                    return
+                yield (top, *filling), times
 
-    search(counts, [], 0, 0)
+    def move(lengths: tuple[int, ...], times: int) -> None:
+        nonlocal used, wasted
+        for x in lengths:
+            left[x] = left.get(x, 0) - times
+            if not left[x]:
+                del left[x]
+        used += times
+        wasted += times * (size - sum(lengths))
+
+    stack: list[list] = [[options(), None]]
+    while stack and best_n > bound and seen <= nodes:
+        frame = stack[-1]
+        if frame[1]:
+            move(frame[1][0], -frame[1][1])
+            done.pop()
+        frame[1] = next(frame[0], None)
+        if not frame[1]:
+            stack.pop()
+            continue
+        seen += 1
+        move(*frame[1])
+        done.append(frame[1])
+        if wasted > (best_n - 1) * size - total:
+            continue
+        if not left:
+            best, best_n = list(done), used
+            continue
+        if len(left) <= 64 or seen % 64 == 0:
+            rest = best_fit(left, size)
+            if used + sum(n for _, n in rest) < best_n:
+                best, best_n = done + rest, used + sum(n for _, n in rest)
+            if used + least_bins(left, size) >= best_n:
+                continue
+        stack.append([options(), None])
     return best
 
 
