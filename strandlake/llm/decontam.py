@@ -23,17 +23,19 @@ WIDTH = 5
 LITERAL = 3
 COVER = 0.8
 BROADCAST_WINDOWS = 1_000_000
+KEPT = r"\p{L}\p{M}\p{N}.,!?\n"  # characters that stay for the canonical form
 # Units of measure that may follow a number.
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "sec", "seconds", "min", "minutes", "h", "hours", "days", "weeks", "months", "years", "meters", "metres", "miles", "feet", "inches", "pounds", "dollars", "euros", "cents", "percent", "degrees", "liters", "litres", "grams", "kilograms", "kilometers", "kilometres")
 
 
 def canonical_words(text: Column) -> Column:
     """The words of a text, numbers, units and names as ``#kind=value``, all in lower case."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\p{L}\p{M}\p{N}.,!?\n]+", " ")
+    # Each pattern starts with what is rare in a text, so that plain words and single spaces cost one test a character.
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), rf" *[^{KEPT} ][^{KEPT}]*|  +", " ")
     t = F.regexp_replace(t, r"\p{N}+(?:[.,]\p{N}+)*", "#num=$0 ")
     t = F.regexp_replace(t, rf"(?i)(#num=\S+ +)({'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))})(?![\p{{L}}\p{{M}}])", "$1#unit=$2")
-    t = F.regexp_replace(t, r"(?<=[\p{L}\p{M}\p{N},] )(\p{Lu}[\p{Ll}\p{M}]+)(?!\p{Lu})", "#name=$1")
-    t = F.lower(F.regexp_replace(t, r"(?:[!?\s]|[.,](?!\p{N}))+", " "))
+    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{L}\p{M}\p{N},] .)[\p{Ll}\p{M}]+(?!\p{Lu})", "#name=$0")
+    t = F.lower(F.regexp_replace(t, r"[!?\n]|[.,](?!\p{N})", " "))
     return F.filter(F.split(t, " "), lambda w: w != "")
 
 
@@ -54,8 +56,8 @@ def windows(words: Column, width: int = WIDTH, literal: int = LITERAL) -> Column
         def one(i: Column) -> Column:
             part = [F.get(codes, i + j) for j in range(width)]
             plain = reduce(lambda a, b: a + b, (F.when(p > 0, 1).otherwise(0) for p in part))
-            enough = plain >= F.least(F.lit(literal), F.size(codes))
-            return F.when(enough, F.xxhash64(*part))
+            enough = plain >= F.greatest(F.least(F.lit(literal), F.size(codes)), F.lit(1))
+            return F.when((F.least(*part) > 0) | enough, F.xxhash64(*part))
 
         return F.transform(F.sequence(F.lit(0), last), one)
 
@@ -71,7 +73,8 @@ def slot_values(words: Column, at: Column, width: int = WIDTH) -> Column:
 def _exploded(df: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
     made = df.select(F.col(id_col).alias("id"), canonical_words(F.col(text_col).cast("string")).alias("words"))
     made = made.select("id", "words", windows(F.col("words"), width, literal).alias("hashes"))
-    return made.select("id", "words", F.posexplode("hashes").alias("pos", "hash")).filter("hash is not null")
+    # The outer form: for the plain one the optimiser adds a filter on the array's size, which makes the array twice.
+    return made.select("id", "words", F.posexplode_outer("hashes").alias("pos", "hash")).filter("hash is not null")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, literal: int = LITERAL, cover: float = COVER) -> DataFrame:
