@@ -74,7 +74,7 @@ def test_language_of_documents(spark):
 
 def test_language_cases(spark):
     docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
-    odd = spark.createDataFrame([(-1, None, "en", "s"), (-2, "", None, None), (-3, "12345 !!", "en", "s"), (-4, "и" * 300, None, "s"), (-5, "the and of with " * 20, None, None), (-6, "the and of with " * 20, "xx", "new")], "doc_id long, text string, lang string, source string")
+    odd = spark.createDataFrame([(-1, None, "en", "s"), (-2, "", None, None), (-3, "12345 !!", "en", "s"), (-4, "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 9, None, "s"), (-5, "the and of with " * 20, None, None), (-6, "the and of with " * 20, "xx", "new")], "doc_id long, text string, lang string, source string")
     df = docs.unionByName(odd).withColumns({"language": F.lit(1), "sl_logs": F.lit(2), "Posterior": F.lit(3)})
     got = {r.doc_id: r for r in langid.identify(df.select("doc_id", "text", "lang", "source")).filter("doc_id < 0").collect()}
     assert all(got[i].language == "und" and not got[i].accepted for i in (-1, -2, -3, -4))
