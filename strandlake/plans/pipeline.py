@@ -10,6 +10,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import ship
 from ..functions.brackets import expand_settings
 from ..operators import alignments, clusters, consensus, ranges, reads, repeats
 from ..operators.aligner import align
@@ -130,6 +131,7 @@ def plan(spark: SparkSession, config: Config) -> list[tuple[int, str]]:
 
 def run(spark: SparkSession, config: Config) -> dict[int, dict[str, DataFrame]]:
     """Runs the chosen modules; returns the saved tables of every module that was run or skipped as fresh."""
+    ship(spark)
     store, timing, done = sinks.StageStore(spark, config.dir_out), Timing(), {}
     for m, what in plan(spark, config):
         if config.dry_run:
