@@ -42,6 +42,24 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in now.collect()}
 
 
+def test_stages_take_odd_rows(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{DATA}/sf0.001/documents.parquet")
+    odd = [(None, None, None, None, None), (1, None, "en", "s", 0), (-1, "", None, None, None), (-2, "short words of text", None, "new", 3), (-2, "short words of text", None, "new", 3), (-3, "the and of " * 60_000, "en", "src1", 1)]
+    rows = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    clash = {c: F.lit(1) for c in ("gone_id", "fp", "language", "accepted", "toxicity", "hash", "words", "id", "component_id", "sl_logs")}
+    for now in (rows.withColumns(clash), docs.limit(0), rows.filter("doc_id < 0")):
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            after = stage(spark, now, f"{DATA}/sf0.001")
+            assert after.columns == now.columns
+            assert after.count() <= now.count()
+        packed = corpus_pipeline.STAGES[4][1](spark, now, f"{DATA}/sf0.001")
+        assert packed.select("doc_id").distinct().count() == now.select("doc_id").distinct().count()
+    kept = corpus_pipeline.language_id(spark, rows, "").filter("doc_id < 0").collect()
+    assert sorted(r.doc_id for r in kept) == [-3, -2, -2]
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, f"{DATA}/sf0.001").count() > 0
 
