@@ -82,13 +82,17 @@ def cigar_of(moves: str, before: int, behind: int) -> str:
 def align_read(read: str, flanks: list[tuple], indexes: list[dict], k: int, least: float) -> list[tuple]:
     """The best alignment on each flank: both strands tried where seeds are found; null flanks are left out.
 
-    mapq is 60 times the share by which the better strand's score beats the other's, as far as the score reaches its best possible.
+    A flank that stands in the read as it is needs no dynamic programme. mapq is 60 times the share by which the better strand's score beats the other's, as far as the score reaches its best possible.
     """
     out = []
     both = {"+": read, "-": read.translate(_TURN)[::-1]}
     for (rname, ref_id, ref_flank, ref), index in zip(flanks, indexes, strict=True):
         found = []
         for strand, text in both.items():
+            exact = text.upper().find(ref.upper())
+            if exact >= 0:
+                found.append((2 * len(ref), strand, exact, (2 * len(ref), 0, len(ref), 0, len(ref), "M" * len(ref)), text))
+                continue
             span = window(text, index, len(ref), k)
             if span is None:
                 continue

@@ -765,6 +765,7 @@ def m1_align_flanks(spark, sf_dir):
     key = F.col("o_orderkey")
     read = F.concat(F.lit(refs[0][3]), F.repeat(F.lit("CAG"), (5 + key % 30).cast("int")), F.lit(refs[1][3]))
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("file_stem"), key.cast("string").alias("qname"), F.when(key % 2 == 0, read).otherwise(sequence.reverse_complement(read)).alias("sequence"))
+    rows = rows.repartition(spark.sparkContext.defaultParallelism)  # one small file, much work a row
     found = alignments.split_segments(alignments.ordered_flanks(alignments.correct_strand(alignments.dual_flank(aligner.align(rows, refs)))))
     return repeats.detect_repeats(found).select("file_stem", "qname", "strand_1", "repeat_count")
 
