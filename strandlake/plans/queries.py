@@ -899,6 +899,220 @@ def p15_finite_only(spark, sf_dir):
     return rows.select("event_id", F.when(~F.isnan("v") & (F.abs("v") != float("inf")), F.col("v")).alias("v"))
 
 
+# ---- the inventory's remaining lines --------------------------------------------------------------------------------
+
+
+@query(f"WITH {ALIGN_SQL} SELECT file_stem, qname, rname, strand FROM aln WHERE rname = 'L'")
+def p2_drop_unaligned(spark, sf_dir):
+    rows = alignment_rows(spark, sf_dir).withColumn("rname", F.when(F.col("rname") == "L", F.col("rname")))
+    return alignments.aligned_only(rows).select("file_stem", "qname", "rname", "strand")
+
+
+@query(f'WITH {SEGMENT_SQL} SELECT file_stem, qname, CAST(length("left") AS INTEGER) AS left_length, CAST(length(mid) AS INTEGER) AS mid_length, CAST(length("right") AS INTEGER) AS right_length, CAST(length(mid) AS DOUBLE) AS repeat_length FROM split WHERE mid IS NOT NULL')
+def p6_waterfall_filter(spark, sf_dir):
+    return plotdata.waterfall_rows(_waterfall(spark, sf_dir)).select("file_stem", "qname", "left_length", "mid_length", "right_length", "repeat_length")
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, qname, repeat_count FROM reads WHERE repeat_count BETWEEN 14 AND 35")
+def p7_range_predicate(spark, sf_dir):
+    return counted_reads(spark, sf_dir).filter(F.col("repeat_count").between(14, 35)).select("file_stem", "qname", "repeat_count")
+
+
+@query("SELECT p_partkey AS part, p_brand AS brand, p_retailprice AS price FROM part")
+def p13_rename(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice").withColumnsRenamed({"p_partkey": "part", "p_brand": "brand", "p_retailprice": "price"})
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, round(avg(repeat_count_match), 6) AS mean FROM reads GROUP BY 1")
+def p14_chosen_column(spark, sf_dir):
+    method = "repeat_count_match"  # named at run time
+    return counted_reads(spark, sf_dir).groupBy("file_stem").agg(F.avg(F.col(method)).alias("mean"))
+
+
+@query(f"WITH {FREQ_SQL} SELECT file_stem, analysis_range_name, round(sum(length * freq) / sum(freq), 6) AS weighted_mean FROM freq GROUP BY 1, 2")
+def a31_weighted_mean(spark, sf_dir):
+    freq = range_tables(spark, sf_dir)[0]
+    return freq.groupBy("file_stem", "analysis_range_name").agg((F.sum(F.col("length") * F.col("freq")) / F.sum("freq")).alias("weighted_mean"))
+
+
+@query(f"""{_PICKED} SELECT "group", analysis_range_name, count(*) AS n_controls, count(DISTINCT file_stem) AS n_samples FROM eligible WHERE group_control_sample = 'TRUE' GROUP BY 1, 2""")
+def a35_control_counts(spark, sf_dir):
+    return _controls(spark, sf_dir)[2].groupBy("group", "analysis_range_name").agg(F.count("*").alias("n_controls"), F.count_distinct("file_stem").alias("n_samples"))
+
+
+@query(
+    """WITH m AS (SELECT o_orderpriority AS module, sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS seconds FROM orders GROUP BY 1), c AS (SELECT module, seconds, sum(seconds) OVER (ORDER BY module) AS cumulative FROM m)
+    SELECT module, round(CAST(seconds AS DOUBLE), 2) AS seconds, round(CAST(cumulative AS DOUBLE), 2) AS cumulative FROM c UNION ALL SELECT 'Total', round(CAST(sum(seconds) AS DOUBLE), 2), round(CAST(sum(seconds) AS DOUBLE), 2) FROM m"""
+)
+def a38_timing_table(spark, sf_dir):
+    each = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("module")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("seconds"))
+    rows = each.withColumn("cumulative", F.sum("seconds").over(Window.orderBy("module")))  # one row for each module
+    total = each.agg(F.lit("Total").alias("module"), F.sum("seconds").alias("seconds"), F.sum("seconds").alias("cumulative"))
+    return rows.unionByName(total).select("module", *(F.round(F.col(c).cast("double"), 2).alias(c) for c in ("seconds", "cumulative")))
+
+
+@query("SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE l_quantity > 45")
+def j2_query_sequences(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select("l_orderkey", "l_linenumber")
+    return rows.join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority"), "l_orderkey", "left")
+
+
+@query(f'WITH {SEGMENT_SQL} SELECT file_stem, qname, nullif(substr(seq, 1, 4), \'\') AS "left", mid FROM split')
+def j7_replace_columns(spark, sf_dir):
+    split = alignments.split_segments(segment_rows(spark, sf_dir)).select("file_stem", "qname", "left", "mid", "query_sequence")
+    other = split.select("file_stem", "qname", F.substring("query_sequence", 1, 4).alias("left"))
+    return split.drop("left", "query_sequence").join(other, ["file_stem", "qname"], "left").select("file_stem", "qname", "left", "mid")
+
+
+@query(f"WITH {READS_SQL}, t AS (SELECT file_stem, count(*) AS total FROM reads GROUP BY 1) SELECT file_stem, cluster_number, count(*) AS n, round(count(*) / max(total), 6) AS share FROM reads JOIN t USING (file_stem) GROUP BY 1, 2")
+def j10_join_back_totals(spark, sf_dir):
+    each = counted_reads(spark, sf_dir).groupBy("file_stem", "cluster_number").agg(F.count("*").alias("n"))  # totals come from the counts, not from the reads
+    return each.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy("file_stem")))
+
+
+@query(
+    f"""WITH {READS_SQL}, m AS (SELECT file_stem, cluster_number, repeat_count AS mode FROM reads GROUP BY 1, 2, 3 QUALIFY row_number() OVER (PARTITION BY file_stem, cluster_number ORDER BY count(*) DESC, repeat_count) = 1),
+    c AS (SELECT file_stem, cluster_number, count(*) AS read_count FROM reads GROUP BY 1, 2)
+    SELECT c.file_stem || '_cluster' || lpad(CAST(c.cluster_number AS VARCHAR), 2, '0') || '_n' || read_count || '_mode' || CAST(mode AS INTEGER) || '_prop' || printf('%.3f', read_count / sum(read_count) OVER (PARTITION BY c.file_stem)) || '_full' AS name
+    FROM c JOIN m ON m.file_stem = c.file_stem AND m.cluster_number = c.cluster_number"""
+)
+def j11_consensus_names(spark, sf_dir):
+    rows = clusters.cluster_summary(counted_reads(spark, sf_dir))
+    share = F.col("n_reads") / F.sum("n_reads").over(Window.partitionBy("file_stem"))
+    return sinks.consensus_names(rows.select("file_stem", "cluster_number", F.col("n_reads").alias("read_count"), "mode", share.alias("proportion")), "full").select("name")
+
+
+@query(f"WITH {DUAL_SQL} SELECT file_stem, qname, rname, mapq, alignment_length_on_ref, ref_start FROM ranked WHERE best = 1")
+def w2_best_per_flank(spark, sf_dir):
+    best = F.row_number().over(Window.partitionBy(*alignments.READ, "rname").orderBy(F.desc("mapq"), F.desc("alignment_length_on_ref"), "ref_start", "cigar"))
+    return alignment_rows(spark, sf_dir).withColumn("best", best).filter("best = 1").select("file_stem", "qname", "rname", "mapq", "alignment_length_on_ref", "ref_start")
+
+
+@query(f"WITH {ALIGN_SQL} SELECT file_stem, qname, count(*) AS n, min(strand) = max(strand) AS one_strand FROM aln GROUP BY 1, 2")
+def w3_same_strand(spark, sf_dir):
+    return alignment_rows(spark, sf_dir).groupBy("file_stem", "qname").agg(F.count("*").alias("n"), (F.min("strand") == F.max("strand")).alias("one_strand"))
+
+
+@query(f"WITH {ALIGN_SQL} SELECT file_stem, qname, query_start, ref_start, CAST(row_number() OVER (PARTITION BY file_stem, qname ORDER BY query_start, query_end, ref_start) AS INTEGER) AS alignment_number FROM aln")
+def w6_alignment_number(spark, sf_dir):
+    number = F.row_number().over(Window.partitionBy("file_stem", "qname").orderBy("query_start", "query_end", "ref_start"))
+    return alignment_rows(spark, sf_dir).select("file_stem", "qname", "query_start", "ref_start", number.alias("alignment_number"))
+
+
+@query(f"WITH {READS_SQL}, m AS (SELECT file_stem, cluster_number, avg(repeat_count) AS mean FROM reads GROUP BY 1, 2) SELECT file_stem, cluster_number, CAST(row_number() OVER (PARTITION BY file_stem ORDER BY mean, cluster_number) AS INTEGER) AS relabelled FROM m")
+def w9_relabel_by_mean(spark, sf_dir):
+    means = counted_reads(spark, sf_dir).groupBy("file_stem", "cluster_number").agg(F.avg("repeat_count").alias("mean"))
+    return means.select("file_stem", "cluster_number", F.row_number().over(Window.partitionBy("file_stem").orderBy("mean", "cluster_number")).alias("relabelled"))
+
+
+@query(f"WITH {READS_SQL}, m AS (SELECT file_stem, repeat_count AS mode FROM reads GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY file_stem ORDER BY count(*) DESC, repeat_count) = 1) SELECT file_stem, repeat_count - mode AS deviation, count(*) AS n FROM reads JOIN m USING (file_stem) GROUP BY 1, 2")
+def w12_modal_deviation(spark, sf_dir):
+    each = counted_reads(spark, sf_dir).groupBy("file_stem", "repeat_count").agg(F.count("*").alias("n"))
+    mode = F.first("repeat_count").over(Window.partitionBy("file_stem").orderBy(F.desc("n"), "repeat_count").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return each.select("file_stem", (F.col("repeat_count") - mode).alias("deviation"), "n")
+
+
+@query(f"{_FENCE} SELECT file_stem, flank_total BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1) AS within, count(*) AS n FROM reads JOIN q USING (file_stem) GROUP BY 1, 2")
+def w14_fence_flag(spark, sf_dir):
+    fences = repeats.flank_fences(counted_reads(spark, sf_dir), F.col("flank_total"), F.lit(True))
+    spread = F.col("fq3") - F.col("fq1")
+    each = counted_reads(spark, sf_dir).groupBy("file_stem", "flank_total").agg(F.count("*").alias("c"))
+    within = F.col("flank_total").between(F.col("fq1") - 1.5 * spread, F.col("fq3") + 1.5 * spread)
+    return each.join(fences, "file_stem").groupBy("file_stem", within.alias("within")).agg(F.sum("c").alias("n"))
+
+
+@query(f"WITH {READS_SQL}, m AS (SELECT file_stem, avg(repeat_count) AS mean FROM reads GROUP BY 1) SELECT file_stem, round(mean, 6) AS mean, abs(mean - avg(mean) OVER ()) > 2 * stddev_samp(mean) OVER () AS outlier FROM m")
+def w15_cohort_outliers(spark, sf_dir):
+    means = counted_reads(spark, sf_dir).groupBy("file_stem").agg(F.avg("repeat_count").alias("mean"))
+    cohort = means.agg(F.avg("mean").alias("m"), F.stddev_samp("mean").alias("s"))
+    return means.join(F.broadcast(cohort)).select("file_stem", "mean", (F.abs(F.col("mean") - F.col("m")) > 2 * F.col("s")).alias("outlier"))  # one row
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_regionkey, n_name DESC")
+def o1_sort(spark, sf_dir):
+    return table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey").orderBy("n_regionkey", F.desc("n_name"))
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, qname, repeat_count FROM reads QUALIFY row_number() OVER (PARTITION BY file_stem ORDER BY repeat_count, qname, read_index) = 1")
+def o3_first_of_group(spark, sf_dir):
+    first = F.min_by(F.struct("qname", "repeat_count"), F.struct("repeat_count", "qname", "read_index"))
+    return counted_reads(spark, sf_dir).groupBy("file_stem").agg(first.alias("r")).select("file_stem", "r.qname", "r.repeat_count")
+
+
+@query()
+def o5_plot_sample(spark, sf_dir):
+    some = reads.downsample(alignment_rows(spark, sf_dir).select("file_stem", "qname").distinct(), 1000)
+    return alignment_rows(spark, sf_dir).join(some, ["file_stem", "qname"], "left_semi").select("file_stem", "qname", "query_start", "query_end")
+
+
+@query(f"WITH {READS_SQL}, m AS (SELECT cluster_number, avg(repeat_count) AS mean FROM reads GROUP BY 1) SELECT cluster_number, CAST(row_number() OVER (ORDER BY mean DESC, cluster_number) AS INTEGER) AS level FROM m")
+def o7_levels_by_mean(spark, sf_dir):
+    means = counted_reads(spark, sf_dir).groupBy("cluster_number").agg(F.avg("repeat_count").alias("mean"))
+    return means.select("cluster_number", F.row_number().over(Window.orderBy(F.desc("mean"), "cluster_number")).alias("level"))  # one row for each cluster number
+
+
+@query("SELECT item_id, CAST(i AS INTEGER) AS i, substr(t, CAST(i + 1 AS INTEGER), 1) AS base FROM (SELECT item_id, t, unnest(range(0, length(t))) AS i FROM (SELECT item_id, substr(text, 1, 50) AS t FROM benchmark))")
+def m13_alignment_matrix(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.split(F.substring("text", 1, 50), "")).alias("i", "base"))
+    return rows.filter("base <> ''")
+
+
+@query()
+def f3_cut_tract(spark, sf_dir):
+    split = alignments.split_segments(segment_rows(spark, sf_dir))
+    return repeats.cut_tract(split).select("file_stem", "qname", "mid_1", "mid_2", "mid_3", "pattern_count")
+
+
+@query("SELECT n_nationkey, upper(n_name) AS u, lower(n_name) AS l, length(n_name) AS n, substr(n_name, 2, 3) AS part, regexp_replace(n_name, '[AEIOU]', '', 'g') AS consonants, n_name || '-' || n_regionkey AS joined, regexp_matches(n_name, '^[A-M]') AS early FROM nation")
+def f15_string_set(spark, sf_dir):
+    n = F.col("n_name")
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.upper(n).alias("u"), F.lower(n).alias("l"), F.length(n).cast("long").alias("n"), F.substring(n, 2, 3).alias("part"), F.regexp_replace(n, "[AEIOU]", "").alias("consonants"), F.concat(n, F.lit("-"), F.col("n_regionkey").cast("string")).alias("joined"), n.rlike("^[A-M]").alias("early"))
+
+
+@query("SELECT s_suppkey, round_even(s_acctbal, 0) AS even, CAST(floor(s_acctbal) AS BIGINT) AS low, CAST(ceil(s_acctbal) AS BIGINT) AS high, abs(s_acctbal) AS size, round(sqrt(abs(s_acctbal)), 6) AS root, round(ln(abs(s_acctbal) + 1), 6) AS log FROM supplier")
+def f16_math_set(spark, sf_dir):
+    x = F.col("s_acctbal")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", F.bround(x, 0).alias("even"), F.floor(x).alias("low"), F.ceil(x).alias("high"), F.abs(x).alias("size"), F.sqrt(F.abs(x)).alias("root"), F.log(F.abs(x) + 1).alias("log"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'debt' WHEN c_acctbal < 5000 THEN 'some' ELSE 'much' END AS band, coalesce(nullif(c_mktsegment, 'BUILDING'), 'other') AS segment FROM customer")
+def f17_conditionals(spark, sf_dir):
+    band = F.when(F.col("c_acctbal") < 0, "debt").when(F.col("c_acctbal") < 5000, "some").otherwise("much")
+    return table(spark, sf_dir, "customer").select("c_custkey", band.alias("band"), F.coalesce(F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")), F.lit("other")).alias("segment"))
+
+
+@query()
+def m5_haplotype_clusters(spark, sf_dir):
+    rows = clusters.haplotypes(alignments.split_segments(segment_rows(spark, sf_dir)))
+    return clusters.haplotype_clusters(rows).groupBy("file_stem", "haplotype_cluster").agg(F.count("*").alias("n"), F.min("haplotype").alias("first_haplotype"))
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, qname, 1 AS cluster_number FROM reads")
+def m8_single_cluster(spark, sf_dir):
+    return clusters.assign_clusters(counted_reads(spark, sf_dir), None).select("file_stem", "qname", "cluster_number")
+
+
+@query(
+    f"""WITH {SEGMENT_SQL} SELECT file_stem, qname AS read_id, CAST(length(mid) AS DOUBLE) AS repeat_count_full, CAST(len(regexp_extract_all(mid, 'CAG')) AS INTEGER) AS repeat_count_match,
+    CASE WHEN mid IS NULL THEN NULL WHEN len(regexp_extract_all(mid, 'CAG')) = 0 THEN '0' ELSE array_to_string(list_transform(regexp_extract_all(mid, '((?:CAG)+)', 1), lambda x: length(x) // 3), ',') END AS repeat_count_tracts
+    FROM (SELECT file_stem, qname, mid FROM split)"""
+)
+def k2_read_counts(spark, sf_dir):
+    split = alignments.split_segments(segment_rows(spark, sf_dir))
+    made = sequence.count_repeats(F.col("mid"), "CAG")
+    return split.select("file_stem", F.col("qname").alias("read_id"), F.length("mid").cast("double").alias("repeat_count_full"), made["repeat_count_match"].alias("repeat_count_match"), made["repeat_count_tracts"].alias("repeat_count_tracts"))
+
+
+@query(
+    """WITH v AS (SELECT l_partkey AS position, l_returnflag AS ref, l_linestatus AS query, l_linenumber AS cluster FROM lineitem WHERE l_partkey > 1 AND l_returnflag <> 'N')
+    SELECT position, ref, query, """ + ", ".join(f"CASE WHEN bool_or(cluster = {c}) THEN '0/1' ELSE '0/0' END AS cluster{c}" for c in range(1, 8)) + " FROM v GROUP BY 1, 2, 3"
+)
+def k6_vcf_genotypes(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("position"), F.col("l_returnflag").alias("ref"), F.col("l_linestatus").alias("query"), F.col("l_linenumber").alias("cluster"))
+    has = [F.when(F.bool_or(F.col("cluster") == c), "0/1").otherwise("0/0").alias(f"cluster{c}") for c in range(1, 8)]
+    return consensus.vcf_rows(rows).groupBy("position", "ref", "query").agg(*has)
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
