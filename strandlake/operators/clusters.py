@@ -29,7 +29,7 @@ def mixture_order(x: np.ndarray, w: np.ndarray, most: int, rounds: int = 200) ->
                 top = log.max(1, keepdims=True)
                 total = top[:, 0] + np.log(np.exp(log - top).sum(1))
                 fit = float((total * w).sum())
-                if fit - last < 1e-6 * abs(fit) + 1e-9:
+                if fit - last < 1e-5 * (1 + abs(fit)):
                     break
                 last = fit
                 r = np.exp(log - total[:, None]) * w[:, None]
