@@ -66,6 +66,12 @@ def peaks_wide(peaks: DataFrame, most: int) -> DataFrame:
     return peaks.groupBy(*KEY).agg(*wide)
 
 
+def comprehensive_summary(boundaries: DataFrame, peaks: DataFrame, summary: DataFrame, meta: DataFrame, most: int = 5) -> DataFrame:
+    """Boundaries, peaks side by side, distribution and sample settings of every range in one row."""
+    wide = peaks_wide(peaks, most)
+    return boundaries.join(wide, list(KEY), "left").join(summary, list(KEY), "left").join(meta, "file_stem", "left")
+
+
 def _ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 

@@ -15,7 +15,7 @@ from ..functions.brackets import expand_settings
 from ..operators import alignments, clusters, consensus, ranges, reads, repeats
 from ..operators.aligner import align
 from ..sources import catalog, sequences, sinks, tables
-from . import plotdata
+from . import exports, plotdata
 from .config import Config, Timing
 
 NAMES = {1: "import_and_qc", 2: "alignment", 3: "repeat_detection", 4: "allele_calling", 5: "waterfall", 6: "range_analysis", 7: "visualisation"}
@@ -105,8 +105,9 @@ def module6(spark: SparkSession, config: Config, done: dict) -> dict[str, DataFr
     peaks = ranges.modal_peaks(freq, bounded, config.range_peak_span)
     picked = ranges.control_samples(summary, meta, config.control_setpoint_metric, config.control_sample_selection, config.strict_flags)
     controls = ranges.control_setpoints(picked if config.group_control else picked.limit(0), config.control_setpoint_metric, config.control_aggregation_method)
+    whole = ranges.comprehensive_summary(ranges.range_boundaries(bounded, freq), peaks, summary, meta)
     points = ranges.setpoints(summary, meta, controls, config.control_setpoint_metric)
-    return {"ranges": ranges.range_boundaries(bounded, freq), "length_freq": freq, "modal_peaks": peaks, "distribution_summary": summary, "group_controls": controls, "instability_metrics": ranges.instability(freq, points), "experiment": plotdata.experiment_map(meta)}
+    return {"ranges": ranges.range_boundaries(bounded, freq), "length_freq": freq, "modal_peaks": peaks, "distribution_summary": summary, "group_controls": controls, "instability_metrics": ranges.instability(freq, points), "comprehensive_range_summary": whole, "experiment": plotdata.experiment_map(meta)}
 
 
 def module7(spark: SparkSession, config: Config, done: dict) -> dict[str, DataFrame]:
@@ -144,8 +145,7 @@ def run(spark: SparkSession, config: Config) -> dict[int, dict[str, DataFrame]]:
                 done[need] = done[need] or store.load(NAMES[need])
             done[m] = store.save(NAMES[m], MODULES[m](spark, config, done), config.digest(m))
             timing.seconds[NAMES[m]] = time.monotonic() - began
-            if m == 3 and config.export_read_counts:
-                sinks.write_counts(done[3]["repeat_counts"], f"{config.dir_out}/{NAMES[3]}/per_read")
+            exports.export_module(spark, config, m, NAMES[m], done[m])
         elif not (m == 5 and not config.waterfall):
             done[m] = store.load(NAMES[m])
     if timing.seconds:

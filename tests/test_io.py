@@ -7,6 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from strandlake.plans import exports
 from strandlake.plans.config import Config, Timing
 from strandlake.plans.pipeline import plan, run
 from strandlake.sources import catalog, sequences, sinks, tables
@@ -80,6 +81,18 @@ def test_vcf_and_fasta(spark, tmp_path):
     assert [r.value for r in sinks.fasta_lines(names).collect()] == [">s_cluster03_n10_mode17_prop0.250_mid\nAC-T"]
 
 
+def test_vcf_files(spark, tmp_path):
+    rows = [("s1", 5, "A", "G", "mismatch", "cluster1"), ("s1", 5, "A", "G", "mismatch", "cluster2"), ("s1", 9, "C", "T", "mismatch", "cluster2"), ("s2", 7, "A", "C", "mismatch", "cluster1"), ("s3", 7, "A", "-", "deletion", "cluster1")]
+    df = spark.createDataFrame(rows, "file_stem string, position int, ref string, query string, variant_type string, cluster string")
+    exports.write_lines(exports.vcf_lines(df, "HTT", 100, "ref.fa"), str(tmp_path / "vcf"))
+    text = {p.parent.name: p.read_text().splitlines() for p in (tmp_path / "vcf").glob("*/part-*")}
+    assert set(text) == {"file_stem=s1", "file_stem=s2"}
+    one = text["file_stem=s1"]
+    assert one[0] == "##fileformat=VCFv4.2"
+    assert one[7].split("\t")[9:] == ["cluster1", "cluster2"]
+    assert [x.split("\t")[9:] for x in one[8:]] == [["0/1", "0/1"], ["0/0", "0/1"]]
+
+
 def test_catalog(spark, tmp_path):
     for name in ("a_R1_1.fastq.gz", "a_R2_1.fastq.gz", "b.bam", "notes.md"):
         (tmp_path / name).write_text("x")
@@ -107,6 +120,17 @@ def test_pipeline_runs_resumes_and_recomputes(spark, tmp_path):
     control = {r.file_stem: r.instability_index for r in done[6]["instability_metrics"].filter("setpoint_type = 'control_relative'").collect()}
     assert control["s2"] == pytest.approx(3 + 4 / 7)
     assert done[4]["variants"].columns[:3] == ["file_stem", "cluster_number", "position"]
+    wide = {r.file_stem: r for r in done[6]["comprehensive_range_summary"].collect()}
+    assert (wide["s1"].peak1_length, wide["s1"].n_reads, wide["s1"].group) == (17, 9, "g")
+    out = tmp_path / "out"
+    book = tables.xlsx_rows((out / "range_analysis" / "range_analysis.xlsx").read_bytes(), 3)
+    assert book[0][:2] == ["file_stem", "analysis_range_name"]
+    assert len(book) == 3
+    names = [x for f in (out / "allele_calling" / "consensus_mid").glob("part-*") for x in f.read_text().split() if x[0] == ">"]
+    assert any(n.startswith(">s1_cluster01_n") and n.endswith("_mid") for n in names)
+    reads_out = spark.read.option("header", True).option("sep", "\t").csv(str(out / "repeat_detection" / "per_read"))
+    assert reads_out.count() == 16
+    assert (out / "allele_calling" / "variants_csv").exists()
     assert {w for _, w in plan(spark, config) if _ not in (5, 7)} == {"SKIP"}
     changed = Config(**{**config.__dict__, "rpt_min_repeats": 3})
     assert dict(plan(spark, changed))[2] == "SKIP"
