@@ -4,8 +4,8 @@ A document's posterior combines the likelihood of its text (byte trigrams, fitte
 declares, and a prior of its host. Priors are smoothed from all documents to address suffix to host, and come from one grouped
 aggregation of text posteriors; so does the reliability of declarations.
 
-Cases: null and empty texts, and texts without a letter, have language ``und`` and are rejected; so are texts that every language finds
-less likely, by ``FOREIGN`` a trigram, than evenly spread bytes; a null or unknown declaration counts as ``other``; a null host is a host of its own; languages come in alphabetical
+Cases: null and empty texts, and texts without a letter, have language ``und`` and are rejected; so are texts of
+whose trigrams less than ``KNOWN`` occur in any language's sample; a null or unknown declaration counts as ``other``; a null host is a host of its own; languages come in alphabetical
 order, the first of equals wins; repeated rows are judged alike; an empty table gives no row.
 """
 
@@ -20,24 +20,31 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SLOTS = 1 << 12
+SLOTS = 1 << 15
 SAMPLE = 300
-LANGUAGES = 200
+LANGUAGES = 50
 HOSTS = 100_000
 EVIDENCE = 60.0
-FOREIGN = 2.5
+KNOWN = 0.3
 SMOOTH_HOST, SMOOTH_SUFFIX = 20.0, 20.0
 LEAST = 0.5
+LETTER = np.array([97 <= b <= 122 or b >= 128 or b in (10, 32) for b in range(256)])
+
+
+def gram_slots(text: str) -> np.ndarray:
+    """The slots of hashed byte trigrams in the lower-cased letters and spaces of a text, a space at each end; none without a letter."""
+    raw = np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace"), np.uint8)
+    raw = raw[LETTER[raw]]
+    if not (raw > 32).any():
+        return np.zeros(0, np.int64)
+    raw = raw.astype(np.uint32)
+    h = (raw[:-2] * np.uint32(40503) + raw[1:-1] * np.uint32(9973) + raw[2:] * np.uint32(31)) * np.uint32(2654435761)
+    return (h >> np.uint32(17)).astype(np.int64)
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """How often each slot of hashed byte trigrams occurs in the lower-cased letters and spaces of a text."""
-    raw = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
-    raw = raw[(raw >= 97) & (raw <= 122) | (raw >= 128) | (raw == 32) | (raw == 10)].astype(np.uint32)
-    if len(raw) < 3 or not (raw > 32).any():
-        return np.zeros(SLOTS, np.int64)
-    h = (raw[:-2] * 40503 + raw[1:-1] * 9973 + raw[2:] * 31) * np.uint32(2654435761)
-    return np.bincount(h >> 20, minlength=SLOTS)
+    """How often each slot occurs in a text."""
+    return np.bincount(gram_slots(text), minlength=SLOTS)
 
 
 def declared_code(column: Column) -> Column:
@@ -53,21 +60,21 @@ def page_evidence(html: Column, url: Column) -> tuple[Column, Column, Column]:
 
 
 class TextModel:
-    """Log probabilities of trigram slots for each language."""
+    """Log probabilities of trigram slots for each language, and which slots any language's sample has."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        self.table = np.log((counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)) if len(languages) else np.zeros((0, SLOTS))
+        logs = np.log((counts + 0.5) / (counts + 0.5).sum(1, keepdims=True)) if len(languages) else np.zeros((0, SLOTS))
+        self.table = np.ascontiguousarray(np.vstack([logs, counts.sum(0) > 0]).T, np.float32)
 
-    def likelihoods(self, text: str | None) -> list[float] | None:
+    def likelihoods(self, text: str | None, chunk: int = 1 << 16) -> list[float] | None:
         """Tempered log likelihoods of a text; None where it has no letter or is like no language."""
-        counts = gram_counts(text or "")
-        n = counts.sum()
+        slots = gram_slots(text or "")
+        n = len(slots)
         if not n or not self.languages:
             return None
-        at = np.flatnonzero(counts)
-        mean = self.table[:, at] @ counts[at] / n
-        return None if mean.max() < -np.log(SLOTS) - FOREIGN else (mean * min(n, EVIDENCE)).tolist()
+        total = sum(self.table[slots[i : i + chunk]].sum(0, dtype=np.float64) for i in range(0, n, chunk))
+        return None if total[-1] < KNOWN * n else (total[:-1] / n * min(n, EVIDENCE)).tolist()
 
 
 def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> TextModel:
@@ -93,8 +100,11 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", samp
 
     common.small_batches(docs.sparkSession)
     counts = np.zeros((len(names), SLOTS))
-    for r in picked.mapInArrow(run, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).collect():
-        counts[names.index(r["lang"]), r["slot"]] = r["n"]
+    # languages * SLOTS rows at most
+    found = picked.mapInArrow(run, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+    place = {x: i for i, x in enumerate(names)}
+    rows = np.array([place[x] for x in found["lang"].to_pylist()], int)
+    counts[rows, found["slot"].to_numpy()] = found["n"].to_numpy()
     return TextModel(names, counts)
 
 

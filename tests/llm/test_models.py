@@ -96,6 +96,17 @@ def test_language_evidence_is_fused(spark):
     assert tuple(page.select(*langid.page_evidence(F.col("html"), F.col("url"))).first()) == ("de-AT", "www.shop.example.at", "at")
 
 
+def test_language_of_pages(spark):
+    docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
+    said, host, suffix = langid.page_evidence(F.col("html"), F.col("url"))
+    text = F.regexp_replace("html", "(?s)^.*<article>|</article>.*$|<[^>]*>", " ")
+    pages = spark.read.parquet(f"{DATA}/sf0.01/pages.parquet").select("page_id", text.alias("text"), said.alias("said"), host.alias("host"), suffix.alias("suffix"))
+    found = langid.identify(pages, id_col="page_id", declared_col="said", host_col="host", suffix_col="suffix", model=langid.train(docs))
+    got = found.withColumnRenamed("doc_id", "page_id").join(pages, "page_id").collect()
+    assert np.mean([r.language == r.said for r in got]) > 0.98
+    assert np.mean([r.accepted for r in got]) > 0.98
+
+
 def test_machine_learns_pairs():
     rng = random.Random(0)
     rows = []
