@@ -29,8 +29,8 @@ FACTORS = 8
 SAMPLE = 3000
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-CACHE = 400_000
-CHANCE = 3.0
+CACHE = 150_000
+CHANCE = 0.0
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
