@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,11 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, as the session names it.
 
-    Where ``spark.checkpoint.dir`` is unset (tests, one machine) a temporary folder is made and set.
+    Where ``spark.checkpoint.dir`` is unset (tests, one machine) a temporary folder is made and set, which goes when Python ends. In a folder that
+    the cluster names, stage tables stay until ``release`` or the cluster's own housekeeping removes them: results are read from them lazily.
     """
     found = spark.sparkContext.getConf().get(CHECKPOINT) or spark.conf.get(CHECKPOINT, None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="strandlake-")
+        own = tempfile.mkdtemp(prefix="strandlake-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        found = f"file://{own}"
         spark.conf.set(CHECKPOINT, found)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(found)
