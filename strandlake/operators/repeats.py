@@ -128,10 +128,10 @@ def flank_fences(rows: DataFrame, total: Column | None = None, has_mid: Column |
 
 
 def flank_filter(rows: DataFrame, multiplier: float = 1.5, total: Column | None = None, has_mid: Column | None = None) -> DataFrame:
-    """Reads whose flanks lie within the fences; samples whose quartiles agree, or that have none, keep all reads."""
+    """Reads whose flanks lie within the fences. Samples whose quartiles agree keep all reads; those without any mid segment have no fences and lose all."""
     total = flank_total() if total is None else total
     spread = F.col("fq3") - F.col("fq1")
-    kept = F.col("fq1").isNull() | (spread == 0) | total.between(F.col("fq1") - multiplier * spread, F.col("fq3") + multiplier * spread)
+    kept = (spread == 0) | total.between(F.col("fq1") - multiplier * spread, F.col("fq3") + multiplier * spread)
     return rows.join(flank_fences(rows, total, has_mid), "file_stem", "left").filter(kept).drop("fq1", "fq3")
 
 

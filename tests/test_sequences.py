@@ -91,6 +91,8 @@ def test_flank_fences(spark):
 
     assert kept([100, 100, 100, 100, 140]) == [100, 100, 100, 100, 140]
     assert kept([98, 99, 100, 101, 102, 150]) == [98, 99, 100, 101, 102]
+    none = spark.createDataFrame([("s", "x", "", None)], "file_stem string, left string, right string, mid string")
+    assert repeats.flank_filter(none).count() == 0
 
 
 def test_renumber(spark):
