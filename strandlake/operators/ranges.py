@@ -164,22 +164,31 @@ def control_samples(summary: DataFrame, meta: DataFrame, metric: str = "median_l
     return rows
 
 
+def trimmed_mean(column: str, share: float = 0.1) -> Column:
+    """Mean without the ``share`` of values (rounded down) at each end; for groups of samples, not of reads."""
+    values = F.sort_array(F.collect_list(column))
+    cut = F.floor(F.size(values) * share).cast("int")
+    kept = F.slice(values, cut + 1, F.size(values) - 2 * cut)
+    return F.try_divide(F.aggregate(kept, F.lit(0.0), lambda total, x: total + x), F.size(kept))
+
+
 def control_setpoints(controls: DataFrame, metric: str = "median_length", method: str = "median") -> DataFrame:
-    """(group, range) -> control_setpoint, control_sd, control_sem, control_n. ``trimmed_mean`` drops a tenth at each end."""
-    key = ("group", "analysis_range_name")
-    rows = controls.withColumns({"i": F.row_number().over(Window.partitionBy(*key).orderBy(metric, "file_stem")), "n": F.count("*").over(Window.partitionBy(*key))})
-    cut = F.floor(F.col("n") * 0.1)
-    how = {"mean": F.avg(metric), "median": F.median(metric), "trimmed_mean": F.avg(F.when((F.col("i") > cut) & (F.col("i") <= F.col("n") - cut), F.col(metric)))}
+    """(group, range) -> control_setpoint, control_sd, control_sem, control_n, and the aggregates of all three centres that are there.
+
+    ``method`` is mean, median or trimmed_mean (a tenth at each end).
+    """
+    how = {"mean": F.avg, "median": F.median, "trimmed_mean": trimmed_mean}
     if method not in how:
         raise ValueError(f"unknown way to aggregate controls: {method}")
     sd = F.stddev_samp(metric)
-    return rows.groupBy(*key).agg(how[method].alias("control_setpoint"), sd.alias("control_sd"), (sd / F.sqrt(F.count("*"))).alias("control_sem"), F.count("*").alias("control_n"))
+    centres = [how[method](c).alias(f"control_{c}") for c in ("modal_length", "mean_length", "median_length") if c in controls.columns]
+    return controls.groupBy("group", "analysis_range_name").agg(how[method](metric).alias("control_setpoint"), sd.alias("control_sd"), (sd / F.sqrt(F.count("*"))).alias("control_sem"), F.count("*").alias("control_n"), *centres)
 
 
 def setpoints(summary: DataFrame, meta: DataFrame, controls: DataFrame, metric: str = "median_length") -> DataFrame:
     """Each sample's own setpoint and, where its group has one, the control's."""
     base = summary.filter(F.col(metric).isNotNull()).select(*KEY, F.col(metric).alias("sample_setpoint"), "modal_length", "mean_length", "median_length")
-    rows = base.join(meta.select("file_stem", "group"), "file_stem", "left").join(controls, ["group", "analysis_range_name"], "left")
+    rows = base.join(meta.select("file_stem", "group"), "file_stem", "left").join(controls.select("group", "analysis_range_name", "control_setpoint", "control_sd", "control_sem", "control_n"), ["group", "analysis_range_name"], "left")
     own = rows.withColumn("setpoint_type", F.lit("sample_relative")).withColumn("setpoint", F.col("sample_setpoint"))
     other = rows.filter("control_setpoint is not null").withColumn("setpoint_type", F.lit("control_relative")).withColumn("setpoint", F.col("control_setpoint"))
     return own.unionByName(other)

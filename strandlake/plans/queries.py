@@ -138,7 +138,8 @@ _PICKED = f"""WITH {SUMMARY_SQL}, {META_SQL},
 eligible AS (SELECT n.*, "group", group_control_sample, time FROM named n JOIN meta USING (file_stem) WHERE exclude IS NULL AND median_length IS NOT NULL AND "group" IS NOT NULL)"""
 _CONTROLS = f"""{_PICKED},
 controls AS (
-  SELECT "group", analysis_range_name, median(median_length) AS control_setpoint, stddev_samp(median_length) AS control_sd, stddev_samp(median_length) / sqrt(count(*)) AS control_sem, count(*) AS control_n
+  SELECT "group", analysis_range_name, median(median_length) AS control_setpoint, stddev_samp(median_length) AS control_sd, stddev_samp(median_length) / sqrt(count(*)) AS control_sem, count(*) AS control_n,
+         median(modal_length) AS control_modal_length, median(mean_length) AS control_mean_length, median(median_length) AS control_median_length
   FROM eligible WHERE group_control_sample = 'TRUE' GROUP BY 1, 2
 )"""
 
@@ -153,7 +154,7 @@ def w13_earliest_controls(spark, sf_dir):
     return _controls(spark, sf_dir, "earliest")[2].select("file_stem", "analysis_range_name", "group", "time")
 
 
-@query(f"""{_CONTROLS} SELECT "group", analysis_range_name, {r("control_setpoint", "control_sd", "control_sem")}, control_n FROM controls""")
+@query(f"""{_CONTROLS} SELECT "group", analysis_range_name, {r("control_setpoint", "control_sd", "control_sem", "control_modal_length", "control_mean_length", "control_median_length")}, control_n FROM controls""")
 def a30_control_setpoints(spark, sf_dir):
     return ranges.control_setpoints(_controls(spark, sf_dir)[2], "median_length", "median")
 
@@ -164,7 +165,7 @@ def a30_control_setpoints(spark, sf_dir):
     round(stddev_samp(median_length) / sqrt(count(*)), 6) AS control_sem, count(*) AS control_n FROM placed GROUP BY 1, 2"""
 )
 def a30_trimmed_mean(spark, sf_dir):
-    return ranges.control_setpoints(_controls(spark, sf_dir, "all")[2], "median_length", "trimmed_mean")
+    return ranges.control_setpoints(_controls(spark, sf_dir, "all")[2], "median_length", "trimmed_mean").select("group", "analysis_range_name", "control_setpoint", "control_sd", "control_sem", "control_n")
 
 
 @query(
