@@ -314,9 +314,13 @@ class Plan:
 
 
 def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, salts: int = SALTS, nodes: int = NODES) -> DataFrame:
-    """PLACED: every piece with its sequence and its offset there."""
+    """PLACED: every piece with its sequence and its offset there.
+
+    Pieces of full size are sequences of their own, numbered behind the planned ones without any shuffle; the others are ranked among
+    their length, ``salts`` ways for each, and placed by the plan.
+    """
     pieces = common.staged(tokenised(docs, path or default_tokenizer(), id_col, text_col, size, end_id), "pieces")
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    salted = pieces.filter(F.col("length") < size).withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
     tally = {(r["length"], r["salt"]): r["n"] for r in salted.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()}  # size * salts rows at most
     counts: Counter = Counter()
     first = np.zeros((size + 1, salts), np.int64)
@@ -325,6 +329,7 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
         counts[length] += n
     plan = Plan(bin_completion(dict(counts), size, nodes))
     ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1)
+    alone = pieces.filter(F.col("length") == size).select("*", (F.monotonically_increasing_id() + plan.sequences).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -332,4 +337,5 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
             sequence, offset = plan.place(length, first[length, salt] + rank)
             yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(sequence), pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "salt", F.col("rank").cast("long")).mapInArrow(place, PLACED)
+    placed = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "salt", F.col("rank").cast("long")).mapInArrow(place, PLACED)
+    return placed.unionAll(alone)
