@@ -6,7 +6,8 @@ one (the same value always stands for the same value), which catches an item who
 leaves texts alone that merely share a pattern. An item leaks into a document where windows so confirmed cover at least ``COVER`` of the item's.
 
 Everything is made of column expressions. Cases: null and short texts match nothing (items shorter than a window are one window of all their words);
-windows with fewer than ``LITERAL`` literal words prove nothing and don't count; a null doc_id is one document; repeated rows count once;
+windows with fewer than ``LITERAL`` literal words prove nothing as templates and don't count, but an item that has no others keeps them all and
+leaks where they stand word for word, slot values included; a null doc_id is one document; repeated rows count once;
 items of equal text are found each; an empty table on either side gives no row.
 """
 
@@ -70,16 +71,23 @@ def slot_values(words: Column, at: Column, width: int = WIDTH) -> Column:
     return F.transform(F.slice(words, at + 1, F.lit(width)), lambda w: F.when(w.startswith("#"), w))
 
 
-def _exploded(df: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
+def _exploded(df: DataFrame, id_col: str, text_col: str, width: int, literal: int, whole: bool = True) -> DataFrame:
+    """id, words, pos, hash of each window; one of too few literal words has the hash of its words with their slot values.
+
+    Without ``whole`` a text keeps such windows only where it has no others.
+    """
     made = df.select(F.col(id_col).alias("id"), canonical_words(F.col(text_col).cast("string")).alias("words"))
     made = made.select("id", "words", windows(F.col("words"), width, literal).alias("hashes"))
+    bare = F.lit(True) if whole else ~F.exists("hashes", lambda h: h.isNotNull())
     # The outer form: for the plain one the optimiser adds a filter on the array's size, which makes the array twice.
-    return made.select("id", "words", F.posexplode_outer("hashes").alias("pos", "hash")).filter("hash is not null")
+    made = made.select("id", "words", bare.alias("bare"), F.posexplode_outer("hashes").alias("pos", "hash"))
+    exact = F.when(F.col("bare") & (F.size("words") > 0), F.xxhash64(F.lit("="), F.slice("words", F.col("pos") + 1, F.lit(width))))
+    return made.select("id", "words", "pos", F.coalesce("hash", exact).alias("hash")).filter("hash is not null")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, literal: int = LITERAL, cover: float = COVER) -> DataFrame:
     """doc_id, item_id, n_windows, n_matched, coverage of every item that leaks into a document."""
-    items = _exploded(benchmark, "item_id", "text", width, literal)
+    items = _exploded(benchmark, "item_id", "text", width, literal, whole=False)
     items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), slot_values(F.col("words"), F.col("pos"), width).alias("item_slots"))
     items = common.staged(items, "benchmark-windows")
     sizes = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))

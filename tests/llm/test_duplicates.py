@@ -191,6 +191,16 @@ def test_decontamination_matches_brute_force(spark):
     assert found
 
 
+def test_items_without_template_windows_leak_verbatim(spark):
+    items = [(1, "What is 12 + 35 * 4 - 7?"), (2, "1, 4, 9, 16, 25, 36, what next?"), (3, "Alice, Bob, Carla, Dora: 12, 15, 18, 21.")]
+    docs = [(i, f"Some words before. {text} Some words after.") for i, text in items]
+    docs += [(14, "Some words before. What is 13 + 36 * 5 - 8? Some words after."), (15, "2, 5, 10, 17, 26, 37, what next?"), (16, "Dave, Eve, Frank, Gina: 1, 2, 3, 4."), (17, ""), (18, None)]
+    bench = spark.createDataFrame([*items, (4, ""), (5, None)], "item_id long, text string")
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.leaks(df, bench).collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert sorted(r.doc_id for r in decontam.keep_uncontaminated(df, bench).collect()) == [14, 15, 16, 17, 18]
+
+
 def test_decontamination_stays_native(spark):
     plan = op3_decontamination(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
