@@ -25,13 +25,17 @@ from . import common
 EXTRACTED = "page_id long, url string, text string, n_chars long"
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object canvas audio video title textarea select option head".split()) - {"head"}
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr svg math".split())
+RAW = frozenset("script style noscript template iframe title textarea select".split())  # content that isn't seen
+ENDLESS = frozenset("script style title textarea".split())  # these run to the end of the page where their end tag is missing
+EMBEDDED = frozenset("object canvas audio video".split())  # may stand in a paragraph
+FOREIGN = frozenset("svg math".split())
+FLOW = frozenset("address article aside blockquote body button datalist dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol optgroup option p pre section table tbody td tfoot th thead tr ul".split())  # end drawings and formulas
 CLOSES = {  # an opening tag ends these open elements
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
     "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th"}, "tfoot": {"tr", "td", "th", "tbody"}, "body": {"head"},
 }
-BARRIER = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}}
+BARRIER = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}, "option": {"select", "datalist", "optgroup"}}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
@@ -54,6 +58,8 @@ def blocks(page: str | None) -> list[Block]:
     parts: list[str] = []
     linked = links = 0
     at = 0
+    foreign = False
+    endless: set[str] = set()
 
     def text(raw: str) -> None:
         nonlocal linked
@@ -91,6 +97,15 @@ def blocks(page: str | None) -> list[Block]:
         if not m[2]:
             continue
         tag = m[2].lower()
+        if foreign:
+            first = next((i for i, x in enumerate(stack) if x[0] in FOREIGN), None)
+            foreign = first is not None
+            if foreign and tag in FLOW and not m[1]:
+                del stack[first:]
+                foreign = False
+            elif foreign and tag not in FLOW and tag not in INLINE and tag not in RAW:
+                parts.append(" " if tag == "text" else "")
+                continue
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
@@ -106,10 +121,15 @@ def blocks(page: str | None) -> list[Block]:
                 pop_to({tag})
             continue
         if tag in RAW:
-            close() if tag not in ("script", "noscript", "template", "svg", "math") else None
-            if not m[3].rstrip().endswith("/"):
+            close() if tag not in ("script", "noscript", "template") and not foreign else None
+            if not m[3].rstrip().endswith("/") and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if end:
+                    at = end.end()
+                elif tag in ENDLESS:
+                    at = len(page)
+                else:
+                    endless.add(tag)
             continue
         if tag == "br":
             parts.append(" ")
@@ -117,11 +137,13 @@ def blocks(page: str | None) -> list[Block]:
         if tag in INLINE:
             if tag == "a":
                 links += 1
-            if tag not in VOID:
+            if tag not in VOID and not (tag in FOREIGN and m[3].rstrip().endswith("/")):
                 stack.append((tag, ()))
+                foreign = foreign or tag in FOREIGN
             continue
         close()
-        pop_to({"p"}, {"table", "td", "th", "li", "blockquote", "article", "section", "div", "main", "aside", "button"})
+        if tag not in EMBEDDED:
+            pop_to({"p"}, {"table", "td", "th", "li", "blockquote", "article", "section", "div", "main", "aside", "button"})
         if tag in CLOSES:
             while any(x[0] in CLOSES[tag] for x in stack):
                 n = len(stack)

@@ -47,6 +47,23 @@ def test_blocks_repair_markup():
     assert htmltext.blocks(None) == htmltext.blocks("") == htmltext.blocks("<p> \n</p>") == []
 
 
+def test_blocks_after_unclosed_tags():
+    rest = "<article><h1>Title</h1><p>Body text.</p></article>"
+    said = ["Title", "Body text."]
+    for tag in ("svg", "math", "object", "canvas", "audio", "video", "option", "noscript", "template", "iframe", "select"):
+        assert [b.text for b in htmltext.blocks(f"<div><{tag}></div>{rest}")] == said, tag
+        assert [b.text for b in htmltext.blocks(f"<{tag}>{rest}")] == said, tag
+    assert [b.text for b in htmltext.blocks(f"<datalist><option value=a><option value=b></datalist>{rest}")] == said
+    assert [b.text for b in htmltext.blocks("<p>a<script>var x = 1;")] == ["a"]
+
+
+def test_blocks_keep_formulas_and_objects():
+    page = "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <svg viewBox='0'><title>icon</title><g><path d='M0'/></g></svg>here.</p><object data=a>Instead of it.</object><p>End.</p>"
+    found = htmltext.blocks(page)
+    assert [b.text for b in found] == ["So x=2 holds here.", "Instead of it.", "End."]
+    assert [[t for t, _ in b.path] for b in found] == [["p"], ["object"], ["p"]]
+
+
 def test_extraction(spark, field):
     page = "<html><nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>Title &amp; more</h1><p>First   line\n here.</p><p>Second, line.</p></article><footer>&copy; x &middot; y.</footer></html>"
     rows = [(1, "u", page), (2, None, None), (3, "u", ""), (None, "u", page), (1, "u", page)]
