@@ -211,7 +211,7 @@ def group_haplotypes(seqs: list[str], weights: list[int], method: str = "levensh
         scored = [(silhouette(d, cut_tree(merges, n, k=k), ww), -k) for k in range(2, min(10, reads - 1, n) + 1)]
         labels = cut_tree(merges, n, k=-max(scored)[1])
     else:
-        head = order[: min(n, downsample, 1000)]
+        head = order[:downsample]
         d = pair_distances([seqs[i] for i in head], method)
         some = cut_tree(complete_linkage(d), len(head), height=float(d.max()) * 0.2)
         firsts = [seqs[head[int(np.flatnonzero(some == g)[0])]] for g in range(1, some.max() + 1)]

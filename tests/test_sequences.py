@@ -137,6 +137,14 @@ def test_exact_split_is_optimal():
         assert cost(cuts) == pytest.approx(min(cost((i, j)) for i in range(1, 6) for j in range(i + 1, 7)))
 
 
+def test_rare_allele_beyond_the_thousandth_haplotype_has_its_cluster():
+    base = "ACGT" * 15
+    turn = str.maketrans("ACGT", "CGTA")
+    near = [base[:i] + base[i].translate(turn) + base[i + 1 : j] + base[j].translate(turn) + base[j + 1 :] for i in range(60) for j in range(i + 1, 60)][:1100]
+    got = clusters.group_haplotypes([*near, base.translate(turn)], [2] * 1100 + [1], "hamming", downsample=2000)
+    assert set(got[:-1]) == {1} and got[-1] == 2
+
+
 def test_haplotypes_and_distances():
     assert clusters.pair_distances(["ACGT", "AGT", "TTTT"]).tolist() == [[0, 1, 3], [1, 0, 3], [3, 3, 0]]
     a, b = "ACGTACGTAC", "TTTTGGGGCC"
