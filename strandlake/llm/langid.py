@@ -22,7 +22,6 @@ from . import common
 
 SLOTS = 1 << 15
 SAMPLE = 300
-LANGUAGES = 50
 HOSTS = 100_000
 EVIDENCE = 60.0
 KNOWN = 0.3
@@ -77,10 +76,10 @@ class TextModel:
         return None if total[-1] < KNOWN * n else (total[:-1] / n * min(n, EVIDENCE)).tolist()
 
 
-def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", sample: int = SAMPLE, languages: int = LANGUAGES) -> TextModel:
-    """A text model from about ``sample`` rows of each labelled language, the ``languages`` commonest at most, chosen by a hash of the text."""
+def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", sample: int = SAMPLE) -> TextModel:
+    """A text model from about ``sample`` rows of each labelled language, chosen by a hash of the text."""
     code = declared_code(F.col(label_col).cast("string"))
-    tally = docs.groupBy(code.alias("code")).count().filter("code <> ''").orderBy(F.desc("count"), "code").limit(languages).collect()
+    tally = docs.groupBy(code.alias("code")).count().filter("code <> ''").collect()
     share = {r["code"]: min(1.0, sample / r["count"]) for r in tally}
     names = sorted(share)
     if not names:
@@ -100,7 +99,7 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", samp
 
     common.small_batches(docs.sparkSession)
     counts = np.zeros((len(names), SLOTS))
-    # languages * SLOTS rows at most
+    # a row for each language and slot at most
     found = picked.mapInArrow(run, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     place = {x: i for i, x in enumerate(names)}
     rows = np.array([place[x] for x in found["lang"].to_pylist()], int)
@@ -124,7 +123,7 @@ def normal(logs: Column) -> Column:
 
 
 def _numbers(values) -> Column:
-    return F.array(*(F.lit(float(v)) for v in values))
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")  # one call, however many languages
 
 
 def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | None = "lang", host_col: str | None = "source", suffix_col: str | None = None, label_col: str = "lang", model: TextModel | None = None, least: float = LEAST) -> tuple[DataFrame, dict[str, str]]:
@@ -157,7 +156,7 @@ def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | N
 
     def smoothed(prefix: str, parent: list[Column], weight: float) -> Column:
         own = [F.coalesce(F.col(f"{prefix}{i}"), F.lit(0.0)) for i in range(k)]
-        n = sum(own[1:], own[0])
+        n = F.aggregate(F.array(*own), F.lit(0.0), lambda a, b: a + b)
         return F.array(*((own[i] + parent[i] * weight) / (n + weight) for i in range(k)))
 
     by_suffix = tally.groupBy(suffix).agg(*(F.sum(f"s{i}").alias(f"u{i}") for i in range(k)))

@@ -102,6 +102,18 @@ def test_language_cases(spark):
     assert langid.identify(docs.limit(0)).count() == 0
 
 
+def test_every_declared_language_has_its_class(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(60):
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(25)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(40)), f"{chr(97 + k // 26)}{chr(97 + k % 26)}", "s") for i in range(6 if k < 50 else 4)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    said = {r[0]: r[2] for r in rows}
+    assert all(r.language == said[r.doc_id] and r.accepted for r in got)
+    assert len({r.language for r in got}) == 60
+
+
 def test_language_evidence_is_fused(spark):
     docs = spark.read.parquet(f"{DATA}/sf0.01/documents.parquet")
     model = langid.train(docs)
