@@ -9,7 +9,8 @@ its id, beginning it where needed; ``edit`` replaces its text; ``regenerate`` re
 message; ``delete`` drops it. Unknown ids in edit, regenerate and delete are ignored, as are unknown kinds.
 
 Cases: null text or role = empty; null conversation ids make one conversation of their own; null sequence numbers come first; ties in the
-sequence are ordered by kind, id, role and text, so a rerun gives the same; repeated rows count as often as they stand.
+sequence are ordered by kind, id, role and text, so a rerun gives the same; repeated rows count as often as they stand; long texts and long conversations
+are held whole, one conversation at a time; an empty log gives no row.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -116,7 +117,7 @@ def format_conversations(events: DataFrame) -> DataFrame:
             out.clear()
             return got
 
-        for rows in batches:
+        for rows in common.slices(batches, 4):
             for conv, kind, key, role, text in zip(*(c.to_pylist() for c in rows.columns), strict=True):
                 if now is ... or conv != now:
                     if now is not ...:
@@ -130,7 +131,6 @@ def format_conversations(events: DataFrame) -> DataFrame:
         if out:
             yield batch()
 
-    common.small_batches(events.sparkSession)
     log = events.select(*(F.col(c) for c in EVENTS)).withColumn("conv_id", F.col("conv_id").cast("long"))
     log = log.repartition("conv_id").sortWithinPartitions("conv_id", "seq", "kind", "message_id", "role", "text")
     return log.select("conv_id", "kind", "message_id", "role", "text").mapInArrow(stream, FORMATTED)
@@ -152,7 +152,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        for b in batches:
+        for b in common.slices(batches, 1):
             rows = [one(t, s) for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             found = zip(*rows, strict=True) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(found, kinds, strict=True))], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
@@ -163,3 +163,25 @@ def read_back(formatted: DataFrame) -> DataFrame:
 def turn_events(conversations: DataFrame) -> DataFrame:
     """Rows of whole turns (conv_id, turn, role, text) as a log: each turn is one ``message`` event."""
     return conversations.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"), F.lit(None).cast("long").alias("message_id"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
+
+
+def streamed_events(conversations: DataFrame) -> DataFrame:
+    """Rows of whole turns (conv_id, turn, role, text) as the log that streaming them would have left; its fold gives the turns again.
+
+    An assistant's turn is begun, streamed as a draft, answered by a message that comes too early, regenerated, and streamed again in two deltas; any other
+    turn is sent with a slip and edited. Turns count by turn, role and text; each repeated row is a message of its own.
+    """
+    rank = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).cast("long")
+    said = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("n", rank)
+    half = F.floor(F.length("text") / 2).cast("int")
+
+    def event(k: int, kind: str, text: Column, late: int = 0, role: Column | None = None) -> Column:
+        key = F.col("n") * 2 + late
+        return F.struct((F.col("n") * 8 + k).alias("seq"), F.lit(kind).alias("kind"), key.alias("message_id"), (F.col("role") if role is None else role).alias("role"), text.alias("text"))
+
+    streamed = F.array(
+        event(0, "message", F.lit("")), event(1, "delta", F.lit("draft of ")), event(2, "message", F.lit("too early"), 1, F.lit("user")),
+        event(3, "regenerate", F.lit("")), event(4, "delta", F.col("text").substr(F.lit(1), half)), event(5, "delta", F.col("text").substr(half + 1, F.length("text"))),
+    )
+    sent = F.array(event(0, "message", F.concat(F.lit("slip "), F.col("text"))), event(1, "edit", F.col("text")))
+    return said.select("conv_id", F.inline(F.when(F.col("role") == "assistant", streamed).otherwise(sent)))

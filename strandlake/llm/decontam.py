@@ -5,10 +5,13 @@ Numbers, units and names become typed placeholders (``#num``, ``#unit``, ``#name
 one (the same value always stands for the same value), which catches an item whose numbers and names were changed and
 leaves texts alone that merely share a pattern. An item leaks into a document where windows so confirmed cover at least ``COVER`` of the item's.
 
+A window with fewer than ``LITERAL`` literal words proves nothing as a template alone. An item that has no other windows, as those full of numbers,
+is looked for in two ways: as a whole, where its literal words and the repeats among its slot values are ``EVIDENCE`` at least (the pattern of the
+window that says most finds the place, then all words of the item are compared), and by windows that stand word for word, slot values included.
+
 Everything is made of column expressions. Cases: null and short texts match nothing (items shorter than a window are one window of all their words);
-windows with fewer than ``LITERAL`` literal words prove nothing as templates and don't count, but an item that has no others keeps them all and
-leaks where they stand word for word, slot values included; a null doc_id is one document; repeated rows count once;
-items of equal text are found each; an empty table on either side gives no row.
+a null doc_id is one document; repeated rows count once; items of equal text are found each; a text is held whole, with its words and
+a hash for each, by one task; an empty table on either side gives no row.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from . import common
 WIDTH = 5
 LITERAL = 3
 COVER = 0.8
-BROADCAST_WINDOWS = 1_000_000
+EVIDENCE = 2
 KEPT = r"\p{L}\p{M}\p{N}.,!?\n"  # characters that stay for the canonical form
 # Units of measure that may follow a number.
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "sec", "seconds", "min", "minutes", "h", "hours", "days", "weeks", "months", "years", "meters", "metres", "miles", "feet", "inches", "pounds", "dollars", "euros", "cents", "percent", "degrees", "liters", "litres", "grams", "kilograms", "kilometers", "kilometres")
@@ -66,44 +69,77 @@ def windows(words: Column, width: int = WIDTH, literal: int = LITERAL) -> Column
     return F.element_at(F.transform(F.array(codes), each), 1)
 
 
-def slot_values(words: Column, at: Column, width: int = WIDTH) -> Column:
-    """kind=value of the window's placeholders by their place, null for literal words."""
-    return F.transform(F.slice(words, at + 1, F.lit(width)), lambda w: F.when(w.startswith("#"), w))
+def is_slot(word: Column) -> Column:
+    return word.startswith("#")
 
 
-def _exploded(df: DataFrame, id_col: str, text_col: str, width: int, literal: int, whole: bool = True) -> DataFrame:
-    """id, words, pos, hash of each window; one of too few literal words has the hash of its words with their slot values.
+def pattern(words: Column) -> Column:
+    """Literal words, and for each placeholder its kind and the place where its value stands first: what a change of values leaves as it is."""
+    return F.transform(words, lambda w: F.when(is_slot(w), F.concat(kind_of(w), F.array_position(words, w).cast("string"))).otherwise(w))
 
-    Without ``whole`` a text keeps such windows only where it has no others.
-    """
+
+def template(words: Column) -> Column:
+    return F.transform(words, lambda w: F.when(is_slot(w), kind_of(w)).otherwise(w))
+
+
+def evidence(words: Column) -> Column:
+    """How many words are literal, and how many placeholders repeat a value."""
+    slots = F.filter(words, is_slot)
+    return F.size(words) - F.size(F.array_distinct(slots))
+
+
+def _hashes(kind: str, words: Column) -> Column:
+    return F.xxhash64(F.lit(kind), words)
+
+
+def _windowed(df: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
+    """id, words and the hashes of their windows."""
     made = df.select(F.col(id_col).alias("id"), canonical_words(F.col(text_col).cast("string")).alias("words"))
-    made = made.select("id", "words", windows(F.col("words"), width, literal).alias("hashes"))
-    bare = F.lit(True) if whole else ~F.exists("hashes", lambda h: h.isNotNull())
+    return made.select("id", "words", windows(F.col("words"), width, literal).alias("hashes"))
+
+
+def document_windows(docs: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
+    """id, words, pos, hash: each window once by its template, or by its values and by its pattern where too few of its words are literal."""
     # The outer form: for the plain one the optimiser adds a filter on the array's size, which makes the array twice.
-    made = made.select("id", "words", bare.alias("bare"), F.posexplode_outer("hashes").alias("pos", "hash"))
-    exact = F.when(F.col("bare") & (F.size("words") > 0), F.xxhash64(F.lit("="), F.slice("words", F.col("pos") + 1, F.lit(width))))
-    return made.select("id", "words", "pos", F.coalesce("hash", exact).alias("hash")).filter("hash is not null")
+    made = _windowed(docs, id_col, text_col, width, literal).select("id", "words", F.posexplode_outer("hashes").alias("pos", "hash"))
+    part = F.slice("words", F.col("pos") + 1, F.lit(width))
+    either = F.when(F.col("hash").isNotNull(), F.array("hash")).when(F.size("words") > 0, F.array(_hashes("=", part), _hashes("~", pattern(part))))
+    return made.select("id", "words", "pos", F.explode(either).alias("hash"))
+
+
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
+    """item_id, item_pos, item_hash, and what has to stand there: first word, slots and template; places: the windows that it proves."""
+    made = _windowed(benchmark, id_col, text_col, width, literal).filter(F.size("words") > 0)
+    made = made.withColumn("bare", ~F.exists("hashes", lambda h: h.isNotNull()))
+    each = made.select("*", F.posexplode("hashes").alias("pos", "hash"))
+    part = F.slice("words", F.col("pos") + 1, F.lit(width))
+    single = each.filter("hash IS NOT NULL OR bare").select("id", "pos", F.coalesce("hash", _hashes("=", part)).alias("hash"), F.col("pos").alias("first"), part.alias("part"), F.array("pos").alias("places"))
+    last = F.greatest(F.size("words") - width, F.lit(0))
+    best = F.array_max(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(evidence(F.slice("words", i + 1, F.lit(width))).alias("said"), (-i).alias("back"))))
+    whole = made.filter(F.col("bare") & (evidence(F.col("words")) >= EVIDENCE)).withColumn("pos", -best["back"])
+    whole = whole.select("id", "pos", _hashes("~", pattern(part)).alias("hash"), F.lit(0).alias("first"), F.col("words").alias("part"), F.sequence(F.lit(0), last).alias("places"))
+    return single.unionByName(whole).select(
+        F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), F.col("first").alias("item_first"),
+        F.col("part").alias("item_part"), template(F.col("part")).alias("item_template"), "places",
+    )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, literal: int = LITERAL, cover: float = COVER) -> DataFrame:
     """doc_id, item_id, n_windows, n_matched, coverage of every item that leaks into a document."""
-    items = _exploded(benchmark, "item_id", "text", width, literal, whole=False)
-    items = items.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), slot_values(F.col("words"), F.col("pos"), width).alias("item_slots"))
-    items = common.staged(items, "benchmark-windows")
-    sizes = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
-    n = items.limit(BROADCAST_WINDOWS + 1).count()  # the size bound of the broadcast
-    small = (lambda df: F.broadcast(df)) if n <= BROADCAST_WINDOWS else (lambda df: df)
-    found = _exploded(docs, id_col, text_col, width, literal).join(small(items), F.col("hash") == F.col("item_hash"))
-    pairs = F.transform(
-        F.filter(F.arrays_zip("item_slots", slot_values(F.col("words"), F.col("pos"), width).alias("doc_slots")), lambda z: z["item_slots"].isNotNull()),
-        lambda z: F.struct(z["item_slots"].alias("theirs"), z["doc_slots"].alias("ours")),
-    )
-    found = found.select(F.col("id").alias("doc_id"), "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"), "item_pos", pairs.alias("pairs"))
-    aligned = found.groupBy("doc_id", "item_id", "shift").agg(F.collect_set("item_pos").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    items = common.staged(item_windows(benchmark, "item_id", "text", width, literal), "benchmark-windows", True)
+    sizes = items.groupBy("item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"))
+    n = items.limit(common.BROADCAST_ROWS + 1).count()  # the size bound of the broadcast
+    small = (lambda df: F.broadcast(df)) if n <= common.BROADCAST_ROWS else (lambda df: df)
+    found = document_windows(docs, id_col, text_col, width, literal).join(small(items), F.col("hash") == F.col("item_hash"))
+    found = found.withColumn("at", F.col("pos") - F.col("item_pos") + F.col("item_first")).filter("at >= 0")
+    found = found.withColumn("ours", F.slice("words", F.col("at") + 1, F.size("item_part"))).filter(template(F.col("ours")) == F.col("item_template"))
+    pairs = F.filter(F.zip_with("item_part", "ours", lambda x, y: F.when(is_slot(x), F.struct(x.alias("theirs"), y.alias("ours")))), lambda p: p.isNotNull())
+    found = found.select(F.col("id").alias("doc_id"), "item_id", (F.col("at") - F.col("item_first")).alias("shift"), "places", pairs.alias("pairs"))
+    aligned = found.groupBy("doc_id", "item_id", "shift").agg(F.array_distinct(F.flatten(F.collect_set("places"))).alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     one_way = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) == F.size("pairs")
     sound = aligned.filter(one_way("theirs") & one_way("ours"))
     total = sound.groupBy("doc_id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"))
-    total = total.join(small(sizes), "item_id").withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
+    total = total.join(small(sizes), "item_id").withColumn("n_windows", F.col("n_windows").cast("long")).withColumn("coverage", F.col("n_matched") / F.col("n_windows"))
     return total.filter(F.col("coverage") >= cover).select("doc_id", "item_id", "n_windows", "n_matched", "coverage")
 
 

@@ -376,9 +376,8 @@ def extract(pages: DataFrame, field: Field | None = None, id_col: str = "page_id
     field = field or fit(labelled_pages())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches, 2):
             texts = [main_text(x, field) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    common.small_batches(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string")).mapInArrow(run, EXTRACTED)

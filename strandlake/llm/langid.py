@@ -90,14 +90,13 @@ def train(docs: DataFrame, text_col: str = "text", label_col: str = "lang", samp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in common.slices(batches, 1):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 total[lang] = total.get(lang, 0) + gram_counts(text or "")
         for lang, counts in total.items():
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["lang", "slot", "n"])
 
-    common.small_batches(docs.sparkSession)
     counts = np.zeros((len(names), SLOTS))
     # a row for each language and slot at most
     found = picked.mapInArrow(run, "lang string, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
@@ -111,7 +110,7 @@ def likelihood_udf(model: TextModel):
     @F.arrow_udf("array<double>")
     def likelihoods(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            yield pa.array([model.likelihoods(x) for x in column.to_pylist()], pa.list_(pa.float64()))
+            yield pa.array([model.likelihoods(x.as_py()) for x in column], pa.list_(pa.float64()))
 
     return likelihoods
 

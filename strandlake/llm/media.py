@@ -191,11 +191,10 @@ def encode_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """MEDIA: every whole text as the samples of one ISO media file."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, 1, 500):
             raw = [x or b"" for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in raw], pa.int64()), pa.array([mux(padded(x, unit)) for x in raw], pa.binary())], names=["doc_id", "n_bytes", "media"])
 
-    common.small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long"), F.encode(F.col(text_col), "UTF-8")).mapInArrow(encode, MEDIA)
 
 
@@ -214,7 +213,7 @@ def media_features(media: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
         names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-        for batch in batches:
+        for batch in common.slices(batches, 2, 500):
             rows = [one(x) for x in batch.column(2).to_pylist()]
             found = zip(*rows, strict=True) if rows else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(found, kinds, strict=True))], names=names)

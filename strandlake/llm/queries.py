@@ -48,7 +48,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.read_back(chat.format_conversations(chat.turn_events(turns)))
+    return chat.read_back(chat.format_conversations(chat.streamed_events(turns)))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,11 +137,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = docs.sparkSession.createDataFrame(picked.collect(), "labelled_id long, label int")  # 2 * sample rows at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches, 1):
             rows = [text_slots(x).astype("<i4").tobytes() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary()), b.column(2)], names=["id", "slots", "label"])
 
-    common.small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("labelled_id"), F.col(text_col).cast("string").alias("body")).join(F.broadcast(chosen), "labelled_id")
     found = texts.dropDuplicates(["labelled_id"]).select("labelled_id", "body", "label").mapInArrow(run, "id long, slots binary, label int").collect()
     found.sort(key=lambda r: r["id"])
@@ -154,7 +153,7 @@ def scorer(machine: Machine):
     @F.arrow_udf("double")
     def toxicity(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in texts:
-            yield pa.array([machine.score(x) for x in column.to_pylist()], pa.float64())
+            yield pa.array([machine.score(x.as_py()) for x in column], pa.float64())
 
     return toxicity
 

@@ -6,7 +6,8 @@ one record costs one ranged read and one frame of decompression.
 
 Cases: null payload = empty payload; null url = the record's own URN as target; null id = an id of
 ``null``, never preferred as the response of its group; repeated rows (same id, same payload) give one
-response, the repeats are revisits of that id; an empty table gives no bundle and no row.
+response, the repeats are revisits of that id; an empty table gives no bundle and no row. A record is held whole by its task, and
+its frame may hold no more than the seek table's 32-bit sizes say: a payload near 4 GB raises OverflowError.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from urllib.parse import quote
 import pyarrow as pa
 import zstandard
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -121,6 +122,8 @@ class BundleWriter:
         return place
 
     def flush(self) -> None:
+        if len(self.held) >= 1 << 32:
+            raise OverflowError("a frame of 4 GB or more doesn't fit the seek table")
         if self.held:
             packed = self.packer.compress(bytes(self.held))
             self.sink.write(packed)
@@ -162,10 +165,30 @@ def page_of(headers: dict[str, str], block: memoryview) -> tuple:
     return page_id, stated, digest, kind, from_urn(headers["warc-refers-to"])
 
 
+def ranked_repeats(base: DataFrame, salts: int) -> DataFrame:
+    """``base`` with ``again``: False for one row of each (id, payload), True for its repeats.
+
+    Ids that stand once, nearly all, aren't moved. The rows of the others are ranked by (digest, id, salt) first and the salts' first rows among
+    themselves, so that no row group is unbounded however often a row is repeated.
+    """
+    repeated = common.staged(base.groupBy("page_id").count().filter("count > 1").select(F.col("page_id").alias("twice")), "repeated-ids", True)
+    n = repeated.limit(common.BROADCAST_ROWS + 1).count()
+    if not n:
+        return base.withColumn("again", F.lit(False))
+    ids = F.broadcast(repeated) if n <= common.BROADCAST_ROWS else repeated
+    met = base["page_id"].eqNullSafe(F.col("twice"))
+    marked = base.join(ids, met, "left_semi").withColumn("part", F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    first = F.row_number().over(Window.partitionBy("digest", "page_id", "part").orderBy("url"))
+    marked = marked.withColumn("part", F.when(first == 1, -1).otherwise(F.col("part")))
+    last = F.row_number().over(Window.partitionBy("digest", "page_id", "part").orderBy("url"))
+    marked = marked.withColumn("again", (F.col("part") >= 0) | (last > 1)).drop("part")
+    return base.join(ids, met, "left_anti").withColumn("again", F.lit(False)).unionByName(marked)
+
+
 def with_keepers(pages: DataFrame, id_col: str, url_col: str, body_col: str, min_bytes: int, salts: int) -> DataFrame:
-    """page_id, url, payload, digest, keeper: the largest id among equal payloads (null: below ``min_bytes``).
+    """page_id, url, payload, digest, keeper, response: the largest id among equal payloads, and whether the row is their one response.
 
-    The groups meet in two steps, by (digest, salt) and then by digest, so that a payload which a third
+    Payloads below ``min_bytes`` are responses all. The groups meet in two steps, by (digest, salt) and then by digest, so that a payload which a third
     of all pages share is spread over ``salts`` keys; only ids and digests move for it.
     """
     payload = F.encode(F.coalesce(F.col(body_col), F.lit("")), "UTF-8")
@@ -174,7 +197,9 @@ def with_keepers(pages: DataFrame, id_col: str, url_col: str, body_col: str, min
     part = base.filter(F.octet_length("payload") >= min_bytes).groupBy("digest", "salt").agg(F.max("page_id").alias("top"))
     keeper = part.groupBy("digest").agg(F.max("top").alias("keeper"), F.lit(True).alias("grouped"))
     spread = part.select("digest", "salt").join(keeper, "digest")
-    return base.join(spread, ["digest", "salt"], "left").select("page_id", "url", "payload", "digest", "keeper", "grouped")
+    found = ranked_repeats(base, salts).join(spread, ["digest", "salt"], "left")
+    response = F.col("grouped").isNull() | (F.col("page_id").eqNullSafe(F.col("keeper")) & ~F.col("again"))
+    return found.select("page_id", "url", "payload", "digest", "keeper", response.alias("response"))
 
 
 def write_bundles(
@@ -185,23 +210,17 @@ def write_bundles(
 
     A task that runs again writes files of other names; the index holds those of the attempt that counted.
     """
-    spark = pages.sparkSession
-    common.small_batches(spark)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, root = store(folder)
         filesystem.create_dir(root, recursive=True)
         schema = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("path", pa.string()), ("frame", pa.int32()), ("frame_start", pa.int64()), ("offset", pa.int64()), ("length", pa.int64())])
         writer, written = None, 0
-        answered: set[bytes] = set()
-        for batch in batches:
+        for batch in common.slices(batches, 2):
             rows = []
             for row in batch.to_pylist():
-                page_id, digest, keeper = row["page_id"], row["digest"], row["keeper"]
-                first = not row["grouped"] or (page_id == keeper and digest not in answered)
-                if first and row["grouped"]:
-                    answered.add(digest)
-                record = page_record(page_id, row["url"], row["payload"], base64.b32encode(digest).decode(), ... if first else keeper, date)
+                page_id, first = row["page_id"], row["response"]
+                record = page_record(page_id, row["url"], row["payload"], base64.b32encode(row["digest"]).decode(), ... if first else row["keeper"], date)
                 if writer is None or written > bundle_bytes:
                     if writer:
                         writer.close()
@@ -220,25 +239,38 @@ def write_bundles(
 
 
 def read_bundles(index: DataFrame, folder: str) -> DataFrame:
-    """Every page record (RECORDS) of the bundles that the index names, one bundle after another in a task."""
+    """Every page record (RECORDS) that the index names, by its frame and its offset there; each frame is read and unpacked once, by one task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filesystem, _ = store(folder)
         unpack = zstandard.ZstdDecompressor()
         schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())])
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                size = filesystem.get_file_info(path).size
-                with filesystem.open_input_file(path) as handle:
-                    for start, packed, plain in read_seek_table(handle, size):
+        path, handle, sizes, start, frame = None, None, {}, None, b""
+        try:
+            for batch in batches:
+                rows = []
+                for row in batch.to_pylist():
+                    if row["path"] != path:
+                        if handle:
+                            handle.close()
+                        path, start = row["path"], None
+                        handle = filesystem.open_input_file(path)
+                        sizes = {at: (packed, plain) for at, packed, plain in read_seek_table(handle, handle.size())}
+                    if row["frame_start"] != start:
+                        start = row["frame_start"]
+                        packed, plain = sizes[start]
                         handle.seek(start)
                         frame = unpack.decompress(handle.read(packed), max_output_size=plain)
-                        rows = [page_of(h, b) for h, b, _, _ in parse_records(frame) if h["warc-type"] != "warcinfo"]
-                        if rows:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    paths = index.select("path").distinct()
-    return paths.mapInArrow(read, RECORDS)
+                    headers, block, _, _ = next(parse_records(frame[row["offset"] : row["offset"] + row["length"]]))
+                    rows.append(page_of(headers, block))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+        finally:
+            if handle:
+                handle.close()
+
+    places = index.select("path", "frame_start", "offset", "length").repartition("path", "frame_start").sortWithinPartitions("path", "frame_start", "offset")
+    return places.mapInArrow(read, RECORDS)
 
 
 def fetch(path: str, frame_start: int, offset: int, length: int, folder: str = "") -> tuple[dict[str, str], bytes]:

@@ -68,6 +68,20 @@ def test_warc_cases(spark):
     assert short[4] == short[5] == "response"
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_repeated_rows_give_one_response(spark, threshold, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    rows = [(7, "u", "again")] * 64 + [(6, "v", "again"), (8, "w", "other")] + [(None, "n", "null")] * 5
+    pages(spark, rows).repartition(8).write.parquet(str(tmp_path / "p"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = warc.archive_round_trip(spark.read.parquet(str(tmp_path / "p")), salts=4).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    kinds = sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in got)
+    assert kinds == sorted([(7, "response", 0), *[(7, "revisit", 7)] * 63, (6, "revisit", 7), (8, "response", 0), (0, "response", 0), *[(0, "revisit", 0)] * 4])
+
+
 def test_media_round_trip(spark):
     texts = [(1, "hello"), (2, None), (3, ""), (4, "x" * 192), (5, "é" * 50_000), (6, "hello")]
     got = {r.doc_id: r for r in media.store_and_read(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
@@ -161,3 +175,7 @@ def test_chat_digests(spark):
     assert (got[-1].n_turns, got[-1].loss_chars, got[-1].loss_sha256) == (2, len(said), hashlib.sha256(said.encode()).hexdigest())
     assert (got[5].n_turns, got[5].loss_sha256) == (3, hashlib.sha256(b"bb").hexdigest())
     assert chat.format_conversations(chat.turn_events(df.limit(0))).count() == 0
+    streamed = chat.streamed_events(df)
+    assert {r.kind for r in streamed.collect()} == {"message", "delta", "edit", "regenerate"}
+    assert {r.conv_id: r for r in chat.read_back(chat.format_conversations(streamed)).collect()} == got
+    assert chat.format_conversations(chat.streamed_events(df.limit(0))).count() == 0
