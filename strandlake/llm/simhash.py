@@ -2,17 +2,22 @@
 
 Fingerprints that differ in k bits at most, cut into k // 2 + 1 segments, agree in some segment up to one bit. So each distinct
 fingerprint is indexed under every segment with one bit as a wildcard; equal keys meet, and the pairs are verified on all 64 bits. A key's
-fingerprints are linked to a spanning forest, never to all their pairs; keys with more than ``BLOCK`` fingerprints are
-compared in blocks, one task for each pair of blocks.
+fingerprints are linked to a spanning forest, never to all their pairs. Keys with more than about ``BLOCK`` fingerprints are known beforehand from
+counts of segment values; their fingerprints go another exact way, whose cost grows with their number and not with its square: two of them
+lie within k bits if and only if some bit string lies within k / 2 bits of both (rounded up for one of them), so each is sent to every string
+around it, and those that meet there are tied to one of them.
 
 Cases: null text and texts without a word have fingerprint zero and link like any other; exact copies share a fingerprint and are
-indexed once; ties don't arise (a component's id is its least doc_id); rows that repeat a doc_id belong to it; an empty table gives no row.
+indexed once; ties don't arise (a component's id is its least doc_id); rows that repeat a doc_id belong to it; a text is held whole by one
+task, its shingles in chunks; columns of other names don't matter; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +31,7 @@ from .components import components
 BITS = 64
 MAX_DIFFER = 4
 SHINGLE = 4
-BLOCK = 1024
+BLOCK = 4096
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -52,11 +57,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, fp (the fingerprint's bits as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches, 1):
             found = np.array([fingerprint(x, shingle) for x in batch.column(1).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
-    common.small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
@@ -67,29 +71,30 @@ def segments(differ: int = MAX_DIFFER) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def variants(reps: DataFrame, differ: int = MAX_DIFFER) -> DataFrame:
-    """key, fp: one row for each segment and wildcard bit; the key packs segment, wildcard and the other bits."""
-    keys, number = [], 0
-    for low, width in segments(differ):
-        seg = F.shiftrightunsigned(F.col("fp"), low).bitwiseAND(F.lit((1 << width) - 1))
-        for bit in range(width):
-            keys.append(F.shiftleft(F.lit(number).cast("long"), 56).bitwiseOR(seg.bitwiseAND(F.lit(((1 << width) - 1) & ~(1 << bit)))))
-            number += 1
-    return reps.select("fp", F.explode(F.array(*keys)).alias("key"))
+def segment_values(reps: DataFrame, differ: int = MAX_DIFFER) -> DataFrame:
+    """fp, segment, value: one row for each segment of a fingerprint."""
+    values = [F.struct(F.lit(i).alias("segment"), (F.shiftrightunsigned(F.col("fp"), low).bitwiseAND(F.lit((1 << width) - 1)) if width < BITS else F.col("fp")).alias("value")) for i, (low, width) in enumerate(segments(differ))]
+    return reps.select("fp", F.inline(F.array(*values)))
+
+
+def variants(values: DataFrame, differ: int = MAX_DIFFER) -> DataFrame:
+    """``values`` with a key for each wildcard bit of its segment; the key packs segment, wildcard and the other bits."""
+    widths = [width for _, width in segments(differ)]
+    before = [sum(widths[:i]) for i in range(len(widths))]
+    width, first = (F.element_at(F.array(*map(F.lit, x)), F.col("segment") + 1) for x in (widths, before))
+    spread = values.withColumn("bit", F.explode(F.sequence(F.lit(0), width - 1)))
+    mask = F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit")))
+    return spread.withColumn("key", F.call_function("shiftleft", (first + F.col("bit")).cast("long"), F.lit(56)).bitwiseOR(F.col("value").bitwiseAND(mask))).drop("segment", "value", "bit")
 
 
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x) if hasattr(np, "bitwise_count") else np.unpackbits(x.view(np.uint8).reshape(*x.shape, 8), axis=-1).sum(-1)
 
 
-def forest(left: np.ndarray, right: np.ndarray | None, differ: int) -> list[tuple[int, int]]:
-    """Links (index, index) that join what is within ``differ`` bits to a spanning forest.
-
-    One array: within it. Two: between them; indexes of the second follow those of the first.
-    """
-    both = left if right is None else np.concatenate([left, right])
-    n, out = len(both), []
-    parent = np.arange(n)
+def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
+    """Links (index, index) that join what is within ``differ`` bits to a spanning forest."""
+    n, out = len(fps), []
+    parent = list(range(n))
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -97,9 +102,8 @@ def forest(left: np.ndarray, right: np.ndarray | None, differ: int) -> list[tupl
             i = parent[i]
         return i
 
-    for i in range(n if right is None else len(left)):
-        rest = i + 1 if right is None else len(left)
-        for j in (np.flatnonzero(popcount(both[rest:] ^ both[i]) <= differ) + rest).tolist():
+    for i in range(n):
+        for j in (np.flatnonzero(popcount(fps[i + 1 :] ^ fps[i]) <= differ) + i + 1).tolist():
             a, b = root(i), root(j)
             if a != b:
                 parent[max(a, b)] = min(a, b)
@@ -107,95 +111,71 @@ def forest(left: np.ndarray, right: np.ndarray | None, differ: int) -> list[tupl
     return out
 
 
-class _KeyLinker:
-    """Streams rows sorted by key: links small keys, passes the members of large ones on in numbered blocks."""
-
-    NAMES = ("a", "b", "key", "part")
-    TYPES = (pa.int64(), pa.int64(), pa.int64(), pa.int32())
-
-    def __init__(self, differ: int, block: int):
-        self.differ, self.block = differ, block
-        self.key: int | None = None
-        self.held: list[np.ndarray] = []
-        self.count = self.sent = 0
-        self.out: list[tuple] = []
-
-    def push(self, key: int, fps: np.ndarray) -> None:
-        if key != self.key:
-            self.close()
-            self.key = key
-        self.held.append(fps)
-        self.count += len(fps)
-        if self.sent or self.count > self.block:
-            self.pass_on()
-
-    def pass_on(self) -> None:
-        for fp in np.concatenate(self.held).view(np.int64).tolist():
-            self.out.append((fp, None, self.key, self.sent // self.block))
-            self.sent += 1
-        self.held, self.count = [], 0
-
-    def close(self) -> None:
-        if self.count > 1:
-            fps = np.concatenate(self.held)
-            signed = fps.view(np.int64).tolist()
-            self.out.extend((signed[i], signed[j], None, None) for i, j in forest(fps, None, self.differ))
-        self.held, self.count, self.sent = [], 0, 0
-
-    def flush(self) -> pa.RecordBatch:
-        columns = list(zip(*self.out, strict=True)) or [()] * 4
-        self.out = []
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, self.TYPES, strict=True)], names=self.NAMES)
-
-    def run(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = batch.column(0).to_numpy(zero_copy_only=False)
-            fps = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-            if not len(keys):
-                continue
-            cuts = np.flatnonzero(np.diff(keys)) + 1
-            starts, ends = np.append(0, cuts), np.append(cuts, len(keys))
-            inner = np.ones(len(starts), bool)
-            inner[[0, -1]] = False  # the first and last key may go on in another batch
-            self.push(int(keys[0]), fps[: ends[0]])
-            two = starts[inner & (ends - starts == 2)]
-            near = two[popcount(fps[two] ^ fps[two + 1]) <= self.differ]
-            self.out.extend((a, b, None, None) for a, b in zip(fps[near].view(np.int64).tolist(), fps[near + 1].view(np.int64).tolist(), strict=True))
-            for g in np.flatnonzero(inner & (ends - starts > 2)).tolist():
-                self.push(int(keys[starts[g]]), fps[starts[g] : ends[g]])
-            if len(starts) > 1:
-                self.push(int(keys[starts[-1]]), fps[starts[-1] :])
-            if len(self.out) >= 4096:
-                yield self.flush()
-        self.close()
-        if self.out:
-            yield self.flush()
+def key_links(batches: Iterator[pa.RecordBatch], differ: int) -> Iterator[pa.RecordBatch]:
+    """a, b: the links of each key, from rows (key, fp) sorted by key. Holds one batch and the fingerprints of one key."""
+    now, held = None, []
+
+    def batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        both = np.array(found, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    def close() -> list[tuple[int, int]]:
+        fps = np.concatenate(held) if held else np.empty(0, np.uint64)
+        signed = fps.view(np.int64).tolist()
+        return [(signed[i], signed[j]) for i, j in forest(fps, differ)] if len(fps) > 1 else []
+
+    for rows in batches:
+        keys = rows.column(0).to_numpy(zero_copy_only=False)
+        fps = rows.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+        if not len(keys):
+            continue
+        cuts = np.flatnonzero(np.diff(keys)) + 1
+        starts, ends = np.append(0, cuts), np.append(cuts, len(keys))
+        out: list[tuple[int, int]] = []
+        inner = np.ones(len(starts), bool)
+        inner[[0, -1]] = False  # the first and last key may go on in another batch
+        two = starts[inner & (ends - starts == 2)]
+        near = two[popcount(fps[two] ^ fps[two + 1]) <= differ]
+        out.extend(zip(fps[near].view(np.int64).tolist(), fps[near + 1].view(np.int64).tolist(), strict=True))
+        for g in [0, *np.flatnonzero(inner & (ends - starts > 2)).tolist(), *([len(starts) - 1] if len(starts) > 1 else [])]:
+            if keys[starts[g]] != now:
+                out += close()
+                now, held = keys[starts[g]], []
+            held.append(fps[starts[g] : ends[g]])
+        yield batch(out)
+    yield batch(close())
+
+
+def ball_links(hot: DataFrame, differ: int) -> DataFrame:
+    """a, b: links of fingerprints (column fp, distinct) by the strings around them; as many rows for each as there are strings."""
+    near, far = differ // 2, differ - differ // 2
+    masks = [sum(1 << i for i in bits) for k in range(far + 1) for bits in combinations(range(BITS), k)]
+    signed = [m - (1 << BITS) if m >> BITS - 1 else m for m in masks]
+    listed = F.split(F.lit(",".join(map(str, signed))), ",").cast("array<long>")  # folds to one literal
+    centres = hot.select("fp", F.posexplode(listed).alias("place", "mask"))
+    inside = sum(comb(BITS, k) for k in range(near + 1))
+    centres = centres.select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("centre"), (F.col("place") < inside).alias("inside"))
+    hubs = centres.groupBy("centre").agg(F.min(F.when(F.col("inside"), F.col("fp"))).alias("hub"), F.count("*").alias("n")).filter("n > 1 AND hub IS NOT NULL")
+    return centres.join(hubs.select("centre", "hub"), "centre").filter("fp != hub").select(F.col("hub").alias("a"), F.col("fp").alias("b"))
 
 
 def links(reps: DataFrame, differ: int = MAX_DIFFER, block: int = BLOCK) -> DataFrame:
     """a, b: links between distinct fingerprints (column fp) that connect whatever lies within ``differ`` bits."""
-    reps.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    keyed = variants(reps, differ).repartition("key").sortWithinPartitions("key", "fp").select("key", "fp")
-    found = common.staged(keyed.mapInArrow(lambda batches: _KeyLinker(differ, block).run(batches), "a long, b long, key long, part int"), "links")
-    near = found.filter("key is null").select("a", "b").distinct()
-    hot = found.filter("key is not null").select("key", "part", F.col("a").alias("fp"))
-    if hot.isEmpty():
-        return near
-    parts = hot.groupBy("key").agg((F.max("part") + 1).alias("parts"))
-    spread = hot.join(parts, "key").select("key", "part", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    spread = spread.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "fp")
-
-    def pair(pdf):
-        import pandas as pd
-
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        left = pdf.loc[pdf["part"] == i, "fp"].to_numpy().view(np.uint64)
-        right = None if i == j else pdf.loc[pdf["part"] == j, "fp"].to_numpy().view(np.uint64)
-        both = (left if right is None else np.concatenate([left, right])).view(np.int64)
-        got = forest(left, right, differ)
-        return pd.DataFrame({"a": [both[x] for x, _ in got], "b": [both[y] for _, y in got]}, dtype="int64")
-
-    return near.unionAll(spread.groupBy("key", "i", "j").applyInPandas(pair, "a long, b long")).distinct()
+    spark = reps.sparkSession
+    values = segment_values(reps, differ)
+    # A key holds the fingerprints of two values of its segment: no more than ``block`` where neither has more than half.
+    heavy = common.staged(values.groupBy("segment", "value").agg(F.count("*").alias("n")).filter(F.col("n") > block // 2).select("segment", "value"), "heavy", True)
+    keyed = variants(values, differ)
+    n = heavy.limit(common.BROADCAST_ROWS + 1).count()
+    around = None
+    if n:
+        hot_keys = variants(heavy, differ).distinct().withColumn("hot", F.lit(True))
+        keyed = keyed.join(F.broadcast(hot_keys) if n * BITS <= common.BROADCAST_ROWS else hot_keys, "key", "left")
+        around = ball_links(common.staged(keyed.filter("hot").select("fp").distinct(), "hot", True), differ)
+        keyed = keyed.filter("hot IS NULL")
+    spread = keyed.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
+    found = spread.mapInArrow(lambda batches: key_links(batches, differ), "a long, b long")
+    return common.staged((found.unionAll(around) if around is not None else found).distinct(), "links", True)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", differ: int = MAX_DIFFER, shingle: int = SHINGLE) -> DataFrame:
@@ -204,12 +184,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Only ids and fingerprints are shuffled, one row for each distinct fingerprint wherever copies allow it.
     """
     prints = common.staged(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    reps = common.staged(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "reps")
-    roots = components(links(reps.select("fp"), differ))
-    grouped = reps.join(roots, reps["fp"] == roots["node"]).select("fp", "first_id", "root")
-    least = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
-    moved = common.staged(grouped.select("fp", "root"), "moved").join(common.staged(least, "least-id"), "root").select("fp", "least_id")
-    classes = common.staged(reps.join(moved, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id")), "classes")
+    with common.scratch(docs.sparkSession) as stage:
+        reps = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "reps", True)
+        roots = components(links(reps.select("fp"), differ))
+        grouped = reps.join(roots, reps["fp"] == roots["node"]).select("fp", "first_id", "root")
+        least = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
+        moved = grouped.select("fp", "root").join(least, "root").select("fp", "least_id")
+        classes = common.staged(reps.join(moved, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id")), "classes", True)
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
