@@ -109,8 +109,3 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, rows: int = 1000, mos
             end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + most, "right"))))
             yield batch.slice(at, end - at)
             at = end
-
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Long texts: fewer rows in each Arrow batch than the default of 10,000 bound a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

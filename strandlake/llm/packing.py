@@ -4,13 +4,14 @@ Sequences are planned from the histogram of piece lengths, which has ``size`` en
 place by their rank among those of their length, so no task and no driver ever sees all documents.
 
 Cases: null text = empty text = one piece of length 1 (the end id); repeated rows are documents of their own; a null doc_id is carried along;
-equal lengths are ranked by doc_id and piece; an empty table gives no row.
+equal lengths are ranked by doc_id and piece; a text is tokenised whole, one document at a time; an empty table gives no row.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -27,7 +28,7 @@ from . import common
 SIZE = 2048
 END_ID = 0
 SALTS = 64
-NODES = 20_000
+STEPS = 3_000_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
 
@@ -50,18 +51,18 @@ def _alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=4)
 def encoder(path: str):
-    """text -> ids of a tokenizers JSON file, special strings taken as ordinary text.
+    """text -> ids of a tokenizers JSON file, as ``encode(text, add_special_tokens=False)`` gives them.
 
-    A byte-level BPE file whose ids follow its merges is run by tiktoken, which gives the same ids in a quarter of the time; any other file by
-    tokenizers itself.
+    A byte-level BPE file whose ids follow its merges is run by tiktoken, which gives the same ids in a quarter of the time, the text cut at the
+    file's added tokens first; any other file by tokenizers itself.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    model, pre, added = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
     plain = model.get("type") == "BPE" and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and not spec.get("normalizer") and not model.get("unk_token")
-    if plain:
-        alphabet, special = _alphabet(), {x["content"] for x in spec.get("added_tokens", ())}
+    if plain and not any(x.get("lstrip") or x.get("rstrip") or x.get("single_word") for x in added):
+        alphabet, special = _alphabet(), {x["content"]: x["id"] for x in added}
         vocab = {k: v for k, v in model["vocab"].items() if k not in special}
         merges = ["".join(m.split(" ")) if isinstance(m, str) else "".join(m) for m in model["merges"]]
         ids = [vocab[m] for m in merges if m in vocab]
@@ -69,11 +70,19 @@ def encoder(path: str):
             import tiktoken
 
             ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items()}
-            return tiktoken.Encoding("from-json", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            ordinary = tiktoken.Encoding("from-json", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            # The longest of those that begin at a place counts, as in tokenizers.
+            marks = re.compile("(" + "|".join(re.escape(x) for x in sorted(special, key=len, reverse=True)) + ")") if special else None
+
+            def encode(text: str) -> list[int]:
+                if not marks or not any(x in text for x in special):
+                    return ordinary(text)
+                return [i for part in marks.split(text) if part for i in ([special[part]] if part in special else ordinary(part))]
+
+            return encode
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return lambda text: tok.encode(text, add_special_tokens=False).ids
 
 
@@ -89,7 +98,7 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        for batch in batches:
+        for batch in common.slices(batches, 1, 500):
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 ids = np.array([*encode(text or ""), end_id], "<u4")
@@ -97,7 +106,6 @@ def tokenised(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             found = zip(*rows, strict=True) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    common.small_batches(docs.sparkSession, 500)
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(run, PIECES)
 
 
@@ -157,107 +165,138 @@ def least_bins(counts: dict[int, int], size: int) -> int:
     return int(max((alone + middle_n + need).max(), -(-volume[-1] // size)))
 
 
-def dominated(filling: tuple[int, ...], counts: dict[int, int], room: int) -> bool:
-    """Whether a piece that is left could take the place of some of the filling's pieces that are together no longer than it."""
-    used, free = Counter(filling), room - sum(filling)
-    sums = {(0, 0)}
-    for x in filling[:12]:
-        sums |= {(s + x, min(k + 1, 2)) for s, k in sums}
-    return any(used[x] < n and any((s < x or (s == x and k > 1)) and x <= s + free for s, k in sums) for x, n in counts.items() if n and x <= room)
+class _Work:
+    """Elementary steps that a search may still take; its answer depends on them, never on the clock."""
+
+    def __init__(self, steps: int):
+        self.left = steps
+
+    def spent(self, steps: int) -> bool:
+        self.left -= steps
+        return self.left < 0
+
+
+def _copies(sums: int, length: int, count: int, mask: int) -> int:
+    """A bit set of sums (bit s: the sum s) with up to ``count`` more pieces of a length."""
+    step = 1
+    while count:
+        take = min(step, count)
+        sums |= sums << take * length & mask
+        count -= take
+        step *= 2
+    return sums
 
 
-def fillings(counts: dict[int, int], room: int, steps: int = 3000, wide: int = 6) -> list[tuple[int, ...]]:
-    """Fillings of ``room`` by pieces of ``counts``, least waste first: all undominated ones where ``steps`` steps enumerate them.
+def dominated(filling: tuple[int, ...], spare: int, room: int) -> bool:
+    """Whether a spare piece (bit set of lengths beyond those of the filling) could take the place of some of the filling's pieces.
 
-    Else the perfect fillings by up to three pieces with the largest pieces, or the fullest that were found.
+    It can where they are together no longer than it and it fits; a single piece of its own length doesn't count.
     """
-    lengths = sorted((k for k, n in counts.items() if n and k <= room), reverse=True)
-    if not lengths:
-        return [()]
-    found: list[tuple[int, ...]] = []
-    left = steps
-
-    def grow(i: int, held: tuple[int, ...], free: int) -> None:
-        nonlocal left
-        whole = True
-        for k in range(i, len(lengths)):
-            x = lengths[k]
-            if x <= free and held.count(x) < counts[x]:
-                whole = False
-                left -= 1
-                if left < 0:
-                    return
-                grow(k, (*held, x), free - x)
-        if whole:
-            found.append(held)
-
-    if len(lengths) <= 40:
-        grow(0, (), room)
-        if left >= 0:
-            return sorted((f for f in dict.fromkeys(found) if not dominated(f, counts, room)), key=lambda f: (-sum(f), len(f), [-x for x in f]))
-    have = lambda x, *others: counts.get(x, 0) > others.count(x)
-    perfect: list[tuple[int, ...]] = [(room,)] if have(room) else []
-    for x in lengths:
-        if len(perfect) >= wide or 2 * x < room:
-            break
-        if x < room and have(room - x, x):
-            perfect.append((x, room - x))
-    if not perfect:
-        for x in lengths:
-            if 3 * x < room or left < 0 or len(perfect) >= wide:
-                break
-            for y in lengths[bisect_left(lengths, -min(x, room - x - 1), key=lambda v: -v) :]:
-                left -= 1
-                if left < 0 or 2 * y < room - x or len(perfect) >= wide:
-                    break
-                if have(y, x) and have(room - x - y, x, y):
-                    perfect.append((x, y, room - x - y))
-    if perfect:
-        return perfect
-    left = steps
-    found.clear()
-    grow(0, (), room)
-    return sorted(dict.fromkeys(found), key=lambda f: (-sum(f), len(f), [-x for x in f]))[:wide] or [(lengths[0],)]
-
-
-def bin_completion(counts: dict[int, int], size: int = SIZE, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
+    free = room - sum(filling)
+    one, more = 0, 0  # sums of single pieces, and of two or more
+    for x in filling:
+        more |= (one | more) << x
+        one |= 1 << x
+    longer, done = ((1 | one | more) << 1, 1) if free else (0, 0)  # lengths one above a sum (no piece at all: 0), widened to ``free`` above it
+    while done < free:
+        step = min(done, free - done)
+        longer |= longer << step
+        done += step
+    return bool((more | longer) & spare)
+
+
+def fillings(lengths: list[int], counts: dict[int, int], room: int, work: _Work) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room``, least waste first and then longest pieces first, made one by one.
+
+    ``lengths`` are those left that fit, longest first. Bit sets of the sums that the lengths from some place on can make lead straight to the
+    fillings of each sum, so no step is lost on sums that can't be reached.
+    """
+    mask = (1 << room + 1) - 1
+    reach = [1]
+    for x in reversed(lengths):
+        reach.append(_copies(reach[-1], x, min(counts[x], room // x), mask))
+    if work.spent(2 * len(lengths) + 1):
+        return
+    reach.reverse()  # reach[i]: sums by lengths[i:]
+
+    def exact(total: int) -> Iterator[tuple[int, ...]]:
+        stack = [(0, total, ())]
+        while stack:
+            i, rest, held = stack.pop()
+            if work.spent(1):
+                return
+            if not rest:
+                yield held
+                continue
+            while i < len(lengths) and lengths[i] > rest:
+                i += 1
+            if i == len(lengths):
+                continue
+            x = lengths[i]
+            for k in range(min(counts[x], rest // x) + 1):  # the most copies lie on top of the stack
+                if reach[i + 1] >> rest - k * x & 1:
+                    stack.append((i + 1, rest - k * x, held + (x,) * k))
+
+    sums = reach[0]
+    while sums:
+        total = sums.bit_length() - 1
+        sums ^= 1 << total
+        for filling in exact(total):
+            used = Counter(filling)
+            spare = sum(1 << x for x in lengths if counts[x] > used[x])
+            if work.spent(1 + len(lengths) // 16):
+                return
+            if not dominated(filling, spare, room):
+                yield filling
+        if work.left < 0:
+            return
+
+
+def bin_completion(counts: dict[int, int], size: int = SIZE, steps: int = STEPS) -> list[tuple[tuple[int, ...], int]]:
     """Few bins for a histogram of lengths: bins as (lengths, number of such bins).
 
-    Best-fit gives the first incumbent. While it lies above the lower bound, the largest piece left is completed by each of its fillings, as
-    often as counts allow and then once; a branch ends where the space that it wastes leaves no room to beat the incumbent. Best-fit on what a branch leaves
-    may improve the incumbent, which stands after ``nodes`` nodes: the limit bounds the search, never the pieces.
+    Best-fit gives the first incumbent. While it lies above the lower bound, the largest piece left is completed by each of its undominated fillings, as
+    often as counts allow and then once; a branch ends where its waste leaves no room to beat the incumbent, or where the lower bound of what is left
+    does. Best-fit on what a branch leaves may improve the incumbent, which stands after ``steps`` elementary steps: the limit bounds the search, never
+    the pieces, and holds at every size alike.
     """
-    left = {k: n for k, n in counts.items() if n}
+    left = {k: n for k, n in sorted(counts.items(), reverse=True) if n}
     if not left:
         return []
     best = best_fit(left, size)
     best_n, bound = sum(n for _, n in best), least_bins(left, size)
     total = sum(k * n for k, n in left.items())
+    order = list(left)  # longest first
+    work = _Work(steps)
     used = wasted = seen = 0
     done: list[tuple[tuple[int, ...], int]] = []
 
-    def options() -> Iterator[tuple[tuple[int, ...], int]]:
-        top = max(left)
+    def options(last: tuple[int, ...] | None) -> Iterator[tuple[tuple[int, ...], int]]:
+        """Bins around the largest piece; of bins with the same largest piece, those behind the last one (orders of equal bins are one solution)."""
+        top = next(x for x in order if left[x])
         left[top] -= 1
-        made = fillings(left, size - top)
+        fit = [x for x in order if left[x] and x <= size - top]
+        held = {x: left[x] for x in fit}
         left[top] += 1
-        for filling in made:
-            need = Counter((top, *filling))
+        place = (lambda b: (-sum(b), [-x for x in b])) if last and last[0] == top else None
+        for filling in fillings(fit, held, size - top, work):
+            made = (top, *filling)
+            if place and place(made) < place(last):
+                continue
+            need = Counter(made)
             most = min(left[x] // n for x, n in need.items())
             for times in dict.fromkeys((most, 1)):
-                yield (top, *filling), times
+                yield made, times
 
     def move(lengths: tuple[int, ...], times: int) -> None:
         nonlocal used, wasted
         for x in lengths:
-            left[x] = left.get(x, 0) - times
-            if not left[x]:
-                del left[x]
+            left[x] -= times
         used += times
         wasted += times * (size - sum(lengths))
 
-    stack: list[list] = [[options(), None]]
-    while stack and best_n > bound and seen <= nodes:
+    stack: list[list] = [[options(None), None]]
+    while stack and best_n > bound and work.left > 0:
         frame = stack[-1]
         if frame[1]:
             move(frame[1][0], -frame[1][1])
@@ -271,16 +310,19 @@ def bin_completion(counts: dict[int, int], size: int = SIZE, nodes: int = NODES)
         done.append(frame[1])
         if wasted > (best_n - 1) * size - total:
             continue
-        if not left:
+        rest = {x: n for x, n in left.items() if n}
+        if not rest:
             best, best_n = list(done), used
             continue
-        if len(left) <= 64 or seen % 64 == 0:
-            rest = best_fit(left, size)
-            if used + sum(n for _, n in rest) < best_n:
-                best, best_n = done + rest, used + sum(n for _, n in rest)
-            if used + least_bins(left, size) >= best_n:
+        if seen % 8 == 0 or len(rest) <= 32:
+            work.spent(8 * len(rest))
+            more = best_fit(rest, size)
+            if used + sum(n for _, n in more) < best_n:
+                best, best_n = done + more, used + sum(n for _, n in more)
+            work.spent(50)
+            if used + least_bins(rest, size) >= best_n:
                 continue
-        stack.append([options(), None])
+        stack.append([options(frame[1][0]), None])
     return best
 
 
@@ -313,7 +355,7 @@ class Plan:
         return sequence, offset
 
 
-def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, salts: int = SALTS, nodes: int = NODES) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, end_id: int = END_ID, salts: int = SALTS, steps: int = STEPS) -> DataFrame:
     """PLACED: every piece with its sequence and its offset there.
 
     Pieces of full size are sequences of their own, numbered behind the planned ones without any shuffle; the others are ranked among
@@ -327,7 +369,7 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
     for (length, salt), n in sorted(tally.items()):
         first[length, salt] = counts[length]
         counts[length] += n
-    plan = Plan(bin_completion(dict(counts), size, nodes))
+    plan = Plan(bin_completion(dict(counts), size, steps))
     ranked = salted.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece")) - 1)
     alone = pieces.filter(F.col("length") == size).select("*", (F.monotonically_increasing_id() + plan.sequences).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 

@@ -1,5 +1,6 @@
 """Trained operators: held-out quality, defined cases, and the packing plan against brute force."""
 
+import itertools
 import random
 import re
 import zlib
@@ -29,8 +30,6 @@ def test_field_on_held_out_pages(field):
 
 
 def test_viterbi_is_exact(field):
-    import itertools
-
     found = htmltext.blocks("<body><nav><a href=/>x</a></nav><article><h1>T</h1><p>Some text, here.</p><p>More.</p></article><div class=comments><p>No.</p></div>")
     gain = [field.weights["bias"] + sum(field.weights.get(f, 0) for f in x) for x in htmltext.features(found)]
     kind = htmltext.same_parent(found)
@@ -218,15 +217,45 @@ def test_bin_completion_of_many():
     assert sum(n for _, n in bins) <= packing.least_bins(dict(counts), 2048) + 1
 
 
+@pytest.mark.parametrize("low,high", [(60, 200), (30, 300)])
+def test_bin_completion_of_many_short_pieces(low, high):
+    rng = random.Random(5)
+    counts = Counter(rng.randint(low, high) for _ in range(50_000))
+    bins = packing.bin_completion(dict(counts))
+    assert sum(n for _, n in bins) <= packing.least_bins(dict(counts), 2048) + 1
+
+
+def test_fillings_are_all_undominated_ones():
+    rng = random.Random(6)
+    for _ in range(60):
+        counts = Counter(rng.randint(3, 30) for _ in range(rng.randint(1, 9)))
+        room = rng.randint(10, 60)
+        lengths = sorted((x for x in counts if x <= room), reverse=True)
+        work = packing._Work(10**9)
+        got = list(packing.fillings(lengths, counts, room, work))
+        every = {tuple(sorted(c, reverse=True)) for k in range(len(list(counts.elements())) + 1) for c in itertools.combinations([x for x in counts.elements() if x <= room], k) if sum(c) <= room}
+
+        def beaten(f, every=every, counts=counts, room=room):
+            left = counts - Counter(f)
+            for k in range(len(f) + 1):
+                for part in itertools.combinations(f, k):
+                    if any(sum(part) <= y <= room - sum(f) + sum(part) and not (len(part) == 1 and part[0] == y) for y in left):
+                        return True
+            return False
+
+        assert set(got) == {f for f in every if not beaten(f)}
+        assert len(got) == len(set(got))
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+
+
 def test_ids_are_those_of_tokenizers(spark):
     from tokenizers import Tokenizer
 
     path = packing.default_tokenizer()
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     encode = packing.encoder(path)
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
-    for t in [*texts, "", " ", "\n\n  x", "a<|endoftext|>b", "don't  stop\t123 é漢字🙂"]:
+    for t in [*texts, "", " ", "\n\n  x", "a<|endoftext|>b", "hello <|endoftext|> world", "<|endoftext|>", "<|endoftext|><|endoftext|> <|endoftext", "x" * 20_000, " " * 20_000, "don't  stop\t123 é漢字🙂"]:
         assert list(encode(t)) == tok.encode(t, add_special_tokens=False).ids
 
 
