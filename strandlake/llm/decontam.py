@@ -47,28 +47,6 @@ def kind_of(word: Column) -> Column:
     return F.substring_index(word, "=", 1)
 
 
-def windows(words: Column, width: int = WIDTH, literal: int = LITERAL) -> Column:
-    """The hash of each window of canonical words, null where too few of them are literal.
-
-    A text of fewer words is one window of all of them.
-    """
-    codes = F.transform(words, lambda w: F.when(w.startswith("#"), -F.abs(F.xxhash64(kind_of(w)))).otherwise(F.abs(F.xxhash64(w))))
-
-    def each(codes: Column) -> Column:
-        last = F.greatest(F.size(codes) - width, F.lit(0))
-
-        def one(i: Column) -> Column:
-            part = [F.get(codes, i + j) for j in range(width)]
-            plain = reduce(lambda a, b: a + b, (F.when(p > 0, 1).otherwise(0) for p in part))
-            enough = plain >= F.greatest(F.least(F.lit(literal), F.size(codes)), F.lit(1))
-            return F.when((F.least(*part) > 0) | enough, F.xxhash64(*part))
-
-        return F.transform(F.sequence(F.lit(0), last), one)
-
-    # The codes are bound once, else each window would make all of them again.
-    return F.element_at(F.transform(F.array(codes), each), 1)
-
-
 def is_slot(word: Column) -> Column:
     return word.startswith("#")
 
@@ -88,36 +66,77 @@ def evidence(words: Column) -> Column:
     return F.size(words) - F.size(F.array_distinct(slots))
 
 
-def _hashes(kind: str, words: Column) -> Column:
-    return F.xxhash64(F.lit(kind), words)
+def exact_hash(words: Column) -> Column:
+    """Of words with their values; odd, while templates are even."""
+    return F.shiftleft(F.xxhash64(F.lit("="), words), 1) + 1
+
+
+def pattern_hash(words: Column) -> Column:
+    return F.shiftleft(F.xxhash64(F.lit("~"), pattern(words)), 1) + 1
+
+
+def is_exact(h: Column) -> Column:
+    return h.bitwiseAND(F.lit(1)) == 1
+
+
+def windows(words: Column, width: int = WIDTH, literal: int = LITERAL) -> Column:
+    """The hash of each window of canonical words: of its template, or of its very words where too few of them are literal.
+
+    A text of fewer words is one window of all of them.
+    """
+    codes = F.transform(words, lambda w: F.when(is_slot(w), -F.abs(F.xxhash64(kind_of(w)))).otherwise(F.abs(F.xxhash64(w))))
+
+    def each(codes: Column) -> Column:
+        last = F.greatest(F.size(codes) - width, F.lit(0))
+
+        def one(i: Column) -> Column:
+            part = [F.get(codes, i + j) for j in range(width)]
+            plain = reduce(lambda a, b: a + b, (F.when(p > 0, 1).otherwise(0) for p in part))
+            enough = plain >= F.greatest(F.least(F.lit(literal), F.size(codes)), F.lit(1))
+            return F.when((F.least(*part) > 0) | enough, F.shiftleft(F.xxhash64(*part), 1)).otherwise(exact_hash(F.slice(words, i + 1, F.lit(width))))
+
+        return F.transform(F.sequence(F.lit(0), last), one)
+
+    # The codes are bound once, else each window would make all of them again.
+    return F.element_at(F.transform(F.array(codes), each), 1)
+
+
+def exact_places(hashes: Column) -> Column:
+    """The windows that have no template."""
+    return F.filter(F.transform(hashes, lambda h, i: F.when(is_exact(h), i)), lambda i: i.isNotNull())
 
 
 def _windowed(df: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
     """id, words and the hashes of their windows."""
     made = df.select(F.col(id_col).alias("id"), canonical_words(F.col(text_col).cast("string")).alias("words"))
-    return made.select("id", "words", windows(F.col("words"), width, literal).alias("hashes"))
+    return made.select("id", "words", F.when(F.size("words") > 0, windows(F.col("words"), width, literal)).alias("hashes"))
 
 
 def document_windows(docs: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
-    """id, words, pos, hash: each window once by its template, or by its values and by its pattern where too few of its words are literal."""
+    """id, words, hashes, place, hash: each window once, and once more by its pattern where it has no template (places behind the last window)."""
+    made = _windowed(docs, id_col, text_col, width, literal)
+    patterns = F.transform(exact_places(F.col("hashes")), lambda i: pattern_hash(F.slice("words", i + 1, F.lit(width))))
+    listed = F.when(F.exists("hashes", is_exact), F.concat("hashes", patterns)).otherwise(F.col("hashes"))
     # The outer form: for the plain one the optimiser adds a filter on the array's size, which makes the array twice.
-    made = _windowed(docs, id_col, text_col, width, literal).select("id", "words", F.posexplode_outer("hashes").alias("pos", "hash"))
-    part = F.slice("words", F.col("pos") + 1, F.lit(width))
-    either = F.when(F.col("hash").isNotNull(), F.array("hash")).when(F.size("words") > 0, F.array(_hashes("=", part), _hashes("~", pattern(part))))
-    return made.select("id", "words", "pos", F.explode(either).alias("hash"))
+    return made.select("id", "words", "hashes", F.posexplode_outer(listed).alias("place", "hash"))
+
+
+def position(hashes: Column, place: Column) -> Column:
+    """The window of a place."""
+    return F.when(place < F.size(hashes), place).otherwise(F.get(exact_places(hashes), place - F.size(hashes)))
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, width: int, literal: int) -> DataFrame:
     """item_id, item_pos, item_hash, and what has to stand there: first word, slots and template; places: the windows that it proves."""
     made = _windowed(benchmark, id_col, text_col, width, literal).filter(F.size("words") > 0)
-    made = made.withColumn("bare", ~F.exists("hashes", lambda h: h.isNotNull()))
+    made = made.withColumn("bare", ~F.exists("hashes", lambda h: ~is_exact(h)))
     each = made.select("*", F.posexplode("hashes").alias("pos", "hash"))
     part = F.slice("words", F.col("pos") + 1, F.lit(width))
-    single = each.filter("hash IS NOT NULL OR bare").select("id", "pos", F.coalesce("hash", _hashes("=", part)).alias("hash"), F.col("pos").alias("first"), part.alias("part"), F.array("pos").alias("places"))
+    single = each.filter(F.col("bare") | ~is_exact(F.col("hash"))).select("id", "pos", "hash", F.col("pos").alias("first"), part.alias("part"), F.array("pos").alias("places"))
     last = F.greatest(F.size("words") - width, F.lit(0))
     best = F.array_max(F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(evidence(F.slice("words", i + 1, F.lit(width))).alias("said"), (-i).alias("back"))))
     whole = made.filter(F.col("bare") & (evidence(F.col("words")) >= EVIDENCE)).withColumn("pos", -best["back"])
-    whole = whole.select("id", "pos", _hashes("~", pattern(part)).alias("hash"), F.lit(0).alias("first"), F.col("words").alias("part"), F.sequence(F.lit(0), last).alias("places"))
+    whole = whole.select("id", "pos", pattern_hash(part).alias("hash"), F.lit(0).alias("first"), F.col("words").alias("part"), F.sequence(F.lit(0), last).alias("places"))
     return single.unionByName(whole).select(
         F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), F.col("first").alias("item_first"),
         F.col("part").alias("item_part"), template(F.col("part")).alias("item_template"), "places",
@@ -130,8 +149,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     sizes = items.groupBy("item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n_windows"))
     n = items.limit(common.BROADCAST_ROWS + 1).count()  # the size bound of the broadcast
     small = (lambda df: F.broadcast(df)) if n <= common.BROADCAST_ROWS else (lambda df: df)
-    found = document_windows(docs, id_col, text_col, width, literal).join(small(items), F.col("hash") == F.col("item_hash"))
-    found = found.withColumn("at", F.col("pos") - F.col("item_pos") + F.col("item_first")).filter("at >= 0")
+    # All documents by hashes alone, so that their words aren't copied for each window; then those whose hashes cover an item, word by word.
+    met = document_windows(docs, id_col, text_col, width, literal).select("id", "hash").join(small(items.select("item_id", "item_hash", "places")), F.col("hash") == F.col("item_hash"))
+    met = met.groupBy("id", "item_id").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n")).join(small(sizes), "item_id")
+    likely = common.staged(met.filter(F.col("n") >= F.col("n_windows") * cover).select(F.col("id").alias("likely_id")).distinct(), "likely", True)
+    few = likely.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
+    docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    docs = docs.join(F.broadcast(likely) if few else likely, docs["id"].eqNullSafe(likely["likely_id"]), "left_semi")
+    found = document_windows(docs, "id", "text", width, literal).join(small(items), F.col("hash") == F.col("item_hash"))
+    found = found.withColumn("at", position(F.col("hashes"), F.col("place")) - F.col("item_pos") + F.col("item_first")).filter("at >= 0")
     found = found.withColumn("ours", F.slice("words", F.col("at") + 1, F.size("item_part"))).filter(template(F.col("ours")) == F.col("item_template"))
     pairs = F.filter(F.zip_with("item_part", "ours", lambda x, y: F.when(is_slot(x), F.struct(x.alias("theirs"), y.alias("ours")))), lambda p: p.isNotNull())
     found = found.select(F.col("id").alias("doc_id"), "item_id", (F.col("at") - F.col("item_first")).alias("shift"), "places", pairs.alias("pairs"))
