@@ -5,7 +5,8 @@ and text features; the chain's two labels (main text or not) are decoded by Vite
 pages; where none are given, from ``labelled_pages``, a generated set of page layouts.
 
 Cases: null or empty html gives an empty text; text outside any element is a block of the page; unclosed and stray tags are repaired
-as far as block boundaries need it; repeated rows give equal results; an empty table gives no row.
+as far as block boundaries need it; a page is read whole, in time linear in its length; repeated rows give equal results; other columns don't matter;
+an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -26,9 +27,9 @@ EXTRACTED = "page_id long, url string, text string, n_chars long"
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr svg math".split())
-RAW = frozenset("script style noscript template iframe title textarea select".split())  # content that isn't seen
+RAW = frozenset("script style template iframe title textarea select".split())  # content that isn't seen
 ENDLESS = frozenset("script style title textarea".split())  # these run to the end of the page where their end tag is missing
-EMBEDDED = frozenset("object canvas audio video".split())  # may stand in a paragraph
+EMBEDDED = frozenset("object canvas audio video noscript".split())  # may stand in a paragraph
 FOREIGN = frozenset("svg math".split())
 FLOW = frozenset("address article aside blockquote body button datalist dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol optgroup option p pre section table tbody td tfoot th thead tr ul".split())  # end drawings and formulas
 CLOSES = {  # an opening tag ends these open elements
@@ -36,7 +37,9 @@ CLOSES = {  # an opening tag ends these open elements
     "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"tr", "td", "th"}, "tfoot": {"tr", "td", "th", "tbody"}, "body": {"head"},
 }
 BARRIER = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "tbody": {"table"}, "thead": {"table"}, "tfoot": {"table"}, "option": {"select", "datalist", "optgroup"}}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+DEPTH = 256  # elements nested deeper count as the deepest one's content, as browsers have it (at 512)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_IN_TAG = re.compile(r">|=\s*+([\"'])")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 
@@ -50,9 +53,30 @@ class Block:
         self.text, self.path, self.linked = text, path, linked
 
 
+class _TagEnds:
+    """Where tags end, in time linear in the page: a value's quote that is never closed is an ordinary sign, and is looked for once."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, {q: page.rfind(q) for q in "\"'"}
+
+    def after(self, at: int) -> tuple[int, int]:
+        """(end of the attributes, place behind the tag) of a tag whose name ends at ``at``."""
+        while True:
+            m = _IN_TAG.search(self.page, at)
+            if not m:
+                return len(self.page), len(self.page)
+            if m[0] == ">":
+                return m.start(), m.end()
+            at = m.end()
+            if at <= self.last[m[1]]:
+                at = self.page.index(m[1], at) + 1
+
+
 def blocks(page: str | None) -> list[Block]:
     """The leaf blocks of a page in order; scripts, styles and other unseen content left out."""
     page = page or ""
+    ends = _TagEnds(page)
+    over: dict[str, int] = {}  # open elements beyond DEPTH
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
@@ -97,6 +121,8 @@ def blocks(page: str | None) -> list[Block]:
         if not m[2]:
             continue
         tag = m[2].lower()
+        stop, at = ends.after(at)
+        said = page[m.end() : stop]
         if foreign:
             first = next((i for i, x in enumerate(stack) if x[0] in FOREIGN), None)
             foreign = first is not None
@@ -109,7 +135,10 @@ def blocks(page: str | None) -> list[Block]:
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
-            if tag in INLINE:
+            if over.get(tag):
+                over[tag] -= 1
+                close() if tag not in INLINE else None
+            elif tag in INLINE:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
                         del stack[i]
@@ -121,8 +150,8 @@ def blocks(page: str | None) -> list[Block]:
                 pop_to({tag})
             continue
         if tag in RAW:
-            close() if tag not in ("script", "noscript", "template") and not foreign else None
-            if not m[3].rstrip().endswith("/") and tag not in endless:
+            close() if tag not in ("script", "template") and not foreign else None
+            if not said.rstrip().endswith("/") and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 if end:
                     at = end.end()
@@ -137,7 +166,10 @@ def blocks(page: str | None) -> list[Block]:
         if tag in INLINE:
             if tag == "a":
                 links += 1
-            if tag not in VOID and not (tag in FOREIGN and m[3].rstrip().endswith("/")):
+            if tag not in VOID and not (tag in FOREIGN and said.rstrip().endswith("/")):
+                if len(stack) >= DEPTH and tag not in FOREIGN:
+                    over[tag] = over.get(tag, 0) + 1
+                    continue
                 stack.append((tag, ()))
                 foreign = foreign or tag in FOREIGN
             continue
@@ -151,9 +183,11 @@ def blocks(page: str | None) -> list[Block]:
                 if len(stack) == n:
                     break
         links = 0 if tag in ("p", "li", "div", "article", "section") and not any(x[0] == "a" for x in stack) else links
-        if tag not in VOID:
+        if tag not in VOID and len(stack) >= DEPTH:
+            over[tag] = over.get(tag, 0) + 1
+        elif tag not in VOID:
             words: list[str] = []
-            for a in _ATTR.finditer(m[3]):
+            for a in _ATTR.finditer(said):
                 words += _NAME.findall((a[2] or a[3] or a[4] or "").lower())
             stack.append((tag, tuple(words)))
     close()
@@ -299,6 +333,8 @@ def labelled_pages(n: int = 300, seed: int = 11) -> list[tuple[str, list[int]]]:
 
         def notice(add=add) -> None:
             add(f'<div class="{rng.choice(["cookie", "cookie-banner", "notice", "consent", "newsletter", "alert", "popup"])}">{rng.choice(["<p>", ""])}{prose(1, 3)}</div>', 0)
+            if rng.random() < 0.2:
+                add(f"<noscript>{prose(1, 2)}</noscript>", 0)
 
         if rng.random() < 0.5:
             notice()

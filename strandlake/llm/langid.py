@@ -4,9 +4,12 @@ A document's posterior combines the likelihood of its text (byte trigrams, fitte
 declares, and a prior of its host. Priors are smoothed from all documents to address suffix to host, and come from one grouped
 aggregation of text posteriors; so does the reliability of declarations.
 
+Texts are scored once: their likelihoods are staged, and both the aggregation and the fusion read them there. The text model is the only part that learns from
+labels; a label column is no evidence of its own row unless a caller names it as the declared one.
+
 Cases: null and empty texts, and texts without a letter, have language ``und`` and are rejected; so are texts of
 whose trigrams less than ``KNOWN`` occur in any language's sample; a null or unknown declaration counts as ``other``; a null host is a host of its own; languages come in alphabetical
-order, the first of equals wins; repeated rows are judged alike; an empty table gives no row.
+order, the first of equals wins; a text is held whole by one task, its trigrams added up in chunks; repeated rows are judged alike; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -125,22 +128,24 @@ def _numbers(values) -> Column:
     return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")  # one call, however many languages
 
 
-def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | None = "lang", host_col: str | None = "source", suffix_col: str | None = None, label_col: str = "lang", model: TextModel | None = None, least: float = LEAST) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with three more columns (their names: language, posterior, accepted), every row and column kept."""
+def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | None = None, host_col: str | None = "source", suffix_col: str | None = None, label_col: str = "lang", model: TextModel | None = None, least: float = LEAST, keep: list[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with three more columns (their names: language, posterior, accepted), every row kept, and every column or those in ``keep``."""
     model = model or train(docs, text_col, label_col)
     k = len(model.languages)
+    keep = docs.columns if keep is None else keep
     names = {x: common.free_name(docs, x) for x in ("language", "posterior", "accepted")}
+    kept = [F.col(f"`{c}`") for c in keep]
     if not k:
-        return docs.withColumns({names["language"]: F.lit("und"), names["posterior"]: F.lit(0.0), names["accepted"]: F.lit(False)}), names
+        return docs.select(*kept).withColumns({names["language"]: F.lit("und"), names["posterior"]: F.lit(0.0), names["accepted"]: F.lit(False)}), names
     logs, host, suffix, said, prior = (common.free_name(docs, x) for x in ("sl_logs", "sl_host", "sl_suffix", "sl_said", "sl_prior"))
     code = declared_code(F.col(declared_col).cast("string")) if declared_col else F.lit("")
     place = F.coalesce(*(F.when(code == x, F.lit(i)) for i, x in enumerate(model.languages)), F.lit(k))
-    given = {
-        said: place,
-        host: F.coalesce(F.col(host_col).cast("string"), F.lit("")) if host_col else F.lit(""),
-        suffix: F.coalesce(F.col(suffix_col).cast("string"), F.lit("")) if suffix_col else F.lit(""),
-    }
-    seen = docs.withColumns(given).withColumn(logs, likelihood_udf(model)(F.col(text_col).cast("string")))
+    given = [
+        place.alias(said),
+        (F.coalesce(F.col(host_col).cast("string"), F.lit("")) if host_col else F.lit("")).alias(host),
+        (F.coalesce(F.col(suffix_col).cast("string"), F.lit("")) if suffix_col else F.lit("")).alias(suffix),
+    ]
+    seen = common.staged(docs.select(*kept, *given, likelihood_udf(model)(F.col(text_col).cast("string")).alias(logs)), "likelihoods")
 
     # One grouped aggregation of text posteriors; everything else is rolled up from it.
     belief = seen.filter(F.col(logs).isNotNull()).select(host, suffix, said, normal(F.col(logs)).alias("p"))
@@ -178,15 +183,32 @@ def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | N
         names["posterior"]: F.when(known, top).otherwise(0.0),
         names["accepted"]: F.when(known, top >= least).otherwise(False),
     })
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns), *names.values()), names
+    return out.select(*kept, *names.values()), names
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """doc_id, language, posterior, accepted of every row."""
-    found, names = with_language(docs, **options)
+    """doc_id, language, posterior, accepted of every row; of its columns only the id is staged."""
+    found, names = with_language(docs, keep=[id_col], **options)
     return found.select(F.col(id_col).alias("doc_id"), *(F.col(v).alias(k) for k, v in names.items()))
 
 
+def identify_pages(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """page_id, language, posterior, accepted of every page: its visible text, ``<html lang>``, host and address suffix together."""
+    html = F.col(html_col).cast("string")
+    said, host, suffix = page_evidence(html, F.col(url_col).cast("string"))
+    text = F.regexp_replace(html, r"(?is)<(script|style|title)\b(?:.*?</\1\s*>|.*)|<!--(?:.*?-->|.*)|<[^>]*(?:>|\z)", " ")
+    seen = pages.select(F.col(id_col).cast("long").alias("page_id"), text.alias("text"), said.alias("said"), host.alias("host"), suffix.alias("suffix"))
+    return identify(seen, "page_id", declared_col="said", host_col="host", suffix_col="suffix", model=model).withColumnRenamed("doc_id", "page_id")
+
+
+def identify_corpus(docs: DataFrame, pages: DataFrame, **options) -> DataFrame:
+    """kind, doc_id, page_id, language, posterior, accepted of every document and of every page, by one text model that the documents' labels train."""
+    model = train(docs)
+    one = identify(docs, model=model, **options).select(F.lit("document").alias("kind"), F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("page_id"), "language", "posterior", "accepted")
+    two = identify_pages(pages, model).select(F.lit("page").alias("kind"), F.lit(None).cast("long").alias("doc_id"), "page_id", "language", "posterior", "accepted")
+    return one.unionAll(two)
+
+
 def keep_accepted(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that language identification rejects."""
     found, names = with_language(docs, **options)

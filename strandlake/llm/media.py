@@ -4,8 +4,9 @@
 such file and decodes codec, duration and the byte ranges of its sync samples from the sample tables
 alone: payload bytes are only touched where a caller asks for them.
 
-Cases: null text = empty text, padded to one unit; equal texts give equal files; files whose boxes are cut
-short raise ValueError in ``parse`` and give nulls in ``media_features``.
+Cases: null text = empty text, padded to one unit; equal texts give equal files; repeated rows are files of their own; a text and its file are held whole, a few
+of them at a time by bytes; other columns don't matter; an empty table gives no row; files whose boxes are cut short, or whose tables point outside,
+raise ValueError in ``parse`` and give nulls in ``media_features``. Of several tracks the feature names each, the payload is the first one's.
 """
 
 from __future__ import annotations
@@ -163,22 +164,90 @@ def sample_table(data, leaf: dict[bytes, tuple[int, int]]) -> dict:
     return {"codec": codec, "samples": total, "duration": duration, "keyframes": keyframes, "ranges": [(a, b - a) for a, b in ranges]}
 
 
+def track_runs(data, fragment: tuple[int, list[dict[bytes, list[tuple[int, int]]]]], defaults: dict[int, tuple[int, int, int]]) -> Iterator[tuple[int, int, int, int, bool]]:
+    """(track, start, bytes, duration, sync?) of every sample of a movie fragment: (its start, the boxes of its track fragments)."""
+    begin, parts = fragment
+    end = begin
+    for boxes_of in parts:
+        at = boxes_of[b"tfhd"][0][0]
+        flags, track = _longs(data, at, 2)
+        at += 8
+        lasts, size, kind = defaults.get(track, (0, 0, 0))
+        base = begin if flags & 0x20000 or boxes_of is parts[0] else end
+        if flags & 0x1:
+            (base,) = _longs(data, at, 1, "Q")
+            at += 8
+        at += 4 if flags & 0x2 else 0
+        told = []
+        for bit in (0x8, 0x10, 0x20):
+            told.append(_longs(data, at, 1)[0] if flags & bit else None)
+            at += 4 if flags & bit else 0
+        lasts, size, kind = (x if x is not None else y for x, y in zip(told, (lasts, size, kind), strict=True))
+        end = base
+        for at, _ in boxes_of.get(b"trun", ()):
+            flags, count = _longs(data, at, 2)
+            flags &= 0xFFFFFF
+            at += 8
+            if flags & 0x1:
+                end = base + _longs(data, at, 1, "i")[0]
+                at += 4
+            first = _longs(data, at, 1)[0] if flags & 0x4 else None
+            at += 4 if flags & 0x4 else 0
+            fields = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+            for i in range(count):
+                own = dict(zip(fields, _longs(data, at, len(fields)), strict=True))
+                at += 4 * len(fields)
+                own_kind = own.get(0x400, first if not i and first is not None else kind)
+                n = own.get(0x200, size)
+                yield track, end, n, own.get(0x100, lasts), not own_kind & 0x10000
+                end += n
+
+
 def parse(data) -> list[dict]:
-    """One dict for each track: codec, timescale, duration, samples, keyframes, ranges (start, bytes)."""
+    """One dict for each track: codec, timescale, duration, samples, keyframes, ranges (start, bytes); samples of movie fragments included."""
     tracks: list[dict] = []
     leaf: dict[bytes, tuple[int, int]] = {}
+    fragments: list[tuple[int, list[dict[bytes, list[tuple[int, int]]]]]] = []
+    defaults: dict[int, tuple[int, int, int]] = {}
     for path, a, b in walk(data, 0, len(data)):
         if path[-1] == b"trak":
             leaf = {}
             tracks.append(leaf)
         elif path[:2] == (b"moov", b"trak"):
             leaf[path[-1]] = (a, b)
-    out = []
+        elif path == (b"moov", b"mvex", b"trex"):
+            track, _, lasts, size, kind = _longs(data, a + 4, 5)
+            defaults[track] = lasts, size, kind
+        elif path == (b"moof",):
+            fragments.append((a - (8 if bytes(data[a - 4 : a]) == b"moof" else 16), []))
+        elif path == (b"moof", b"traf"):
+            fragments[-1][1].append({})
+        elif path[:2] == (b"moof", b"traf") and fragments[-1][1]:
+            fragments[-1][1][-1].setdefault(path[-1], []).append((a, b))
+    out, by_id = [], {}
     for leaf in tracks:
         at = leaf[b"mdhd"][0]
         scale = _longs(data, at + (20 if data[at] else 12), 1)[0]
         kind = bytes(data[leaf[b"hdlr"][0] + 8 : leaf[b"hdlr"][0] + 12]).decode("latin-1")
         out.append({"kind": kind, "timescale": scale} | sample_table(data, leaf))
+        if b"tkhd" in leaf:
+            at = leaf[b"tkhd"][0]
+            by_id[_longs(data, at + (20 if data[at] else 12), 1)[0]] = out[-1]
+    for fragment in fragments:
+        for track, start, size, lasts, sync in track_runs(data, fragment, defaults):
+            if start < 0 or start + size > len(data):
+                raise ValueError("a sample lies outside the file")
+            if track not in by_id:
+                raise ValueError(f"a fragment of the unknown track {track}")
+            said = by_id[track]
+            said["samples"] += 1
+            said["duration"] += lasts
+            if sync:
+                said["keyframes"] += 1
+                if said["ranges"] and sum(said["ranges"][-1]) == start:
+                    said["ranges"][-1] = (said["ranges"][-1][0], said["ranges"][-1][1] + size)
+                else:
+                    said["ranges"].append((start, size))
     return out
 
 
@@ -204,11 +273,12 @@ def media_features(media: DataFrame) -> DataFrame:
     def one(data: bytes) -> tuple:
         whole = (len(data), hashlib.sha256(data).hexdigest())
         try:
-            track = parse(data)[0]
+            tracks = parse(data)
+            track = tracks[0]
         except (ValueError, LookupError, struct.error):
             return None, None, None, *whole, None
         payload = b"".join(data[a : a + n] for a, n in track["ranges"])
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), *whole, feature_text(track)
+        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), *whole, "; ".join(map(feature_text, tracks))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]

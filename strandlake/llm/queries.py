@@ -33,7 +33,7 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(table(spark, sf_dir, "documents"))
+    return langid.identify_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

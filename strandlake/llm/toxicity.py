@@ -6,7 +6,7 @@ bounded by ``SAMPLE`` for each label; of the slots that tell the labels apart
 beyond chance it keeps the ``KEPT`` best.
 
 Cases: null and empty texts score as what no term says (the bias); a null doc_id counts as an empty id for the fold, which isn't held out; a
-document with several labels is toxic if one says so; without labelled rows of both kinds every score is the share of toxic rows
+document with several labels is toxic if one says so, one with several texts is learnt by the least of them; a text is held whole by one task; without labelled rows of both kinds every score is the share of toxic rows
 (0.0 without any); repeated rows score alike; an empty table gives no row.
 """
 
@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary()), b.column(2)], names=["id", "slots", "label"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("labelled_id"), F.col(text_col).cast("string").alias("body")).join(F.broadcast(chosen), "labelled_id")
-    found = texts.dropDuplicates(["labelled_id"]).select("labelled_id", "body", "label").mapInArrow(run, "id long, slots binary, label int").collect()
+    found = texts.groupBy("labelled_id").agg(F.min("body").alias("body"), F.first("label").alias("label")).mapInArrow(run, "id long, slots binary, label int").collect()
     found.sort(key=lambda r: r["id"])
     return fit([(np.frombuffer(r["slots"], "<i4").astype(np.int64), r["label"]) for r in found], **options)
 

@@ -5,7 +5,8 @@ weights are fitted on the driver from a small labelled table (``MAX_LABELLED`` r
 expressions.
 
 Cases: a null url, or one without ``://``, has an empty host and path and is judged by the model alone; of rules of equal length
-``block`` wins; repeated rows are judged alike; an empty table gives no row.
+``block`` wins; a url is one row, however long;
+repeated rows are judged alike; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -14,24 +15,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import labelled_urls
+
 MAX_LABELLED = 10_000
 DIMS = 1 << 12
 GRAMS = (3, 4)
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
-BAD_WORDS = ("cheap-pills", "spam-farm", "casino-bonus", "free-viagra", "payday-loan", "adult-cams", "win-prizes", "click-bait", "warez-crack", "porn-tube")
-GOOD_WORDS = ("library", "news", "science", "garden", "history", "museum", "weather", "university", "cooking", "travel", "docs", "council")
-
-
-def labelled_urls() -> list[tuple[str, int]]:
-    """The default labelled table, by rule: (url, 1 to block)."""
-    hosts = ("example.com", "example.org", "example.net")
-    bad = [(f"http://{sub}{w}.{h}/{p}", 1) for w in BAD_WORDS for sub, h, p in zip(("", "www.", "best-"), hosts, ("en/1", "buy-now", "offer.html"), strict=True)]
-    good = [(f"https://{sub}{w}.{h}/{p}", 0) for w in GOOD_WORDS for sub, h, p in zip(("", "www.", "blog.", "m."), (*hosts, "example.org"), ("en/1", "de/about", "fr/2.html", "es/3/"), strict=True)]
-    plain = [(f"https://{a}{b}.example.{t}/{x}/{i * 37 % 1000}{e}", 0) for i, (a, b, t, x, e) in enumerate((a, b, t, x, e) for a in ("", "m.", "blog.", "www.") for b, t in (("river", "com"), ("stone", "net"), ("thering", "org")) for x, e in (("en", ""), ("de", ".html"), ("fr", "/"), ("es", "")))]
-    return bad + good + plain
-
 
 def split_url(url: Column) -> tuple[Column, Column]:
     """Host (A-Z lower-cased) and path of a url column; both empty where it has no ``://``."""
@@ -65,7 +56,7 @@ def gram_slots(host: Column, path: Column, dims: int = DIMS) -> Column:
 
 def fit(spark: SparkSession, labelled: list[tuple[str, int]] | None = None, dims: int = DIMS, epochs: int = 300, rate: float = 0.5, decay: float = 1e-4) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch gradient steps on a labelled table of at most MAX_LABELLED rows."""
-    labelled = labelled_urls() if labelled is None else labelled
+    labelled = labelled_urls.rows() if labelled is None else labelled
     if len(labelled) > MAX_LABELLED:
         raise ValueError(f"at most {MAX_LABELLED} labelled urls")
     df = spark.createDataFrame(labelled, "url string, label int")

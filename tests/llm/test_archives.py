@@ -132,6 +132,38 @@ def test_sample_tables(wide):
         media.parse(data[:-3])
 
 
+@pytest.mark.parametrize("own_base", [False, True])
+def test_movie_fragments(own_base):
+    def full(kind, flags, *words):
+        return media.full_box(kind, 0, flags, struct.pack(f">{len(words)}I", *words))
+
+    empty = media.box(b"stbl", media.full_box(b"stsd", 0, 0, struct.pack(">I", 1), media.box(b"hvc1", bytes(78))), full(b"stts", 0, 0), full(b"stsc", 0, 0), full(b"stsz", 0, 0, 0), full(b"stco", 0, 0))
+    mdia = media.box(b"mdia", media.full_box(b"mdhd", 0, 0, struct.pack(">IIII4x", 0, 0, 1000, 0)), media.full_box(b"hdlr", 0, 0, struct.pack(">I4s12x", 0, b"vide"), b"\0"), media.box(b"minf", empty))
+    trak = media.box(b"trak", media.full_box(b"tkhd", 0, 3, struct.pack(">III", 0, 0, 7), bytes(68)), mdia)
+    data = media.box(b"ftyp", b"iso5" + bytes(4)) + media.box(b"moov", trak, media.box(b"mvex", full(b"trex", 0, 7, 1, 40, 5, 0x10000)))
+    want, at = [], len(data)
+    for sizes in ([11, 5, 5], [9, 5]):
+        def moof(offset, sizes=sizes, at=at):
+            head = full(b"tfhd", 0x1, 7, *divmod(at, 1 << 32)) if own_base else full(b"tfhd", 0x20000, 7)
+            first = full(b"trun", 0x1 | 0x4 | 0x200, len(sizes), offset, 0, *sizes)
+            return media.box(b"moof", media.box(b"traf", head, first, full(b"trun", 0x100, 1, 25)))
+
+        size = len(moof(0))
+        data += moof(size + 8) + media.box(b"mdat", bytes(sum(sizes) + 5))
+        want.append((at + size + 8, sizes[0]))
+        at = len(data)
+    (track,) = media.parse(data)
+    assert (track["codec"], track["samples"], track["duration"], track["keyframes"], track["ranges"]) == ("hvc1", 7, 5 * 40 + 2 * 25, 2, want)
+    with pytest.raises(ValueError, match="outside"):
+        media.parse(data.replace(struct.pack(">II", 11, 5), struct.pack(">II", 11 << 16, 5)))
+
+
+def test_media_columns_that_clash(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a")], "doc_id long, text string").withColumns({"media": F.lit(1), "n_bytes": F.lit("x"), "feature": F.lit(2)})
+    got = media.store_and_read(df).collect()
+    assert len(got) == 2 and len(set(got)) == 1 and got[0].n_bytes == 1
+
+
 def test_damaged_media_gives_nulls(spark):
     good = media.mux(media.padded(b"abc"))
     df = spark.createDataFrame([(1, 3, bytearray(good)), (2, 3, bytearray(good[:200])), (3, 3, bytearray(b""))], media.MEDIA)

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -10,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.llm import htmltext, langid, packing, toxicity, urlfilter
+from strandlake.llm import htmltext, labelled_urls, langid, packing, toxicity, urlfilter
 from strandlake.llm.queries import op5_main_text, op7_toxicity, op8_packing, op10_url_filter
 
 from ..conftest import DATA
@@ -56,6 +57,36 @@ def test_blocks_after_unclosed_tags():
     assert [b.text for b in htmltext.blocks("<p>a<script>var x = 1;")] == ["a"]
 
 
+def hostile_pages():
+    yield "<a " * 340_000 + '"'
+    yield '<a x="' * 170_000
+    yield "<div>" * 200_000 + "x" + "</span>" * 100_000
+    yield "<!--" * 250_000
+    yield "<script>" * 100_000
+    yield "<a " + "= " * 500_000
+
+
+@pytest.mark.parametrize("page", list(hostile_pages()), ids=range(6))
+def test_hostile_pages_take_linear_time(page):
+    htmltext.blocks("<p>x")
+    times = []
+    for part in (page[: len(page) // 4], page):
+        began = time.process_time()
+        htmltext.blocks(part)
+        times.append(time.process_time() - began)
+    assert times[1] < max(1.0, 8 * times[0])
+
+
+def test_extract_cases(spark):
+    empty = spark.createDataFrame([], "page_id long, url string, html string")
+    assert htmltext.extract(empty).collect() == []
+    long = "<article>" + "<p>Some words in a paragraph of the text, as they come.</p>" * 20_000 + "</article>"
+    rows = [(1, "u", None), (2, None, ""), (3, "u", long), (3, "u", long), (None, "u", "<p>x")]
+    got = htmltext.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"text": F.lit(1), "n_chars": F.lit("n")})).collect()
+    assert [(r.text, r.n_chars) for r in got if r.page_id in (1, 2)] == [("", 0)] * 2
+    assert all(r.n_chars == len(r.text) > 1_000_000 for r in got if r.page_id == 3)
+
+
 def test_blocks_keep_formulas_and_objects():
     page = "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds <svg viewBox='0'><title>icon</title><g><path d='M0'/></g></svg>here.</p><object data=a>Instead of it.</object><p>End.</p>"
     found = htmltext.blocks(page)
@@ -118,7 +149,7 @@ def test_language_evidence_is_fused(spark):
     model = langid.train(docs)
     short = spark.createDataFrame([(1, "la", "es", "h"), (2, "la", "fr", "h")] + [(i, "la de", "es" if i % 2 else "fr", "h") for i in range(3, 9)], "doc_id long, text string, lang string, source string")
     many = docs.select("doc_id", "text", "lang", "source").unionByName(short.withColumn("doc_id", -F.col("doc_id")))
-    got = {r.doc_id: r.language for r in langid.identify(many, model=model).filter("doc_id in (-1, -2)").collect()}
+    got = {r.doc_id: r.language for r in langid.identify(many, model=model, declared_col="lang").filter("doc_id in (-1, -2)").collect()}
     assert got == {-1: "es", -2: "fr"}
     page = spark.createDataFrame([("<!DOCTYPE html><html class='x' lang=\"de-AT\"><p>", "https://www.Shop.example.at/x")], "html string, url string")
     assert tuple(page.select(*langid.page_evidence(F.col("html"), F.col("url"))).first()) == ("de-AT", "www.shop.example.at", "at")
@@ -135,6 +166,88 @@ def test_language_of_pages(spark):
     assert np.mean([r.accepted for r in got]) > 0.98
 
 
+def test_language_fusion_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+    found, _ = langid.with_language(docs.withColumn("sfx", F.substring("source", -1, 1)), declared_col="lang", suffix_col="sfx", model=model)
+    rows = [(r.text, r.lang, r.source or "", r.sfx or "", r.language, r.posterior) for r in found.collect()]
+    k = len(model.languages)
+
+    def soft(x):
+        e = np.exp(np.asarray(x) - max(x))
+        return e / e.sum()
+
+    said = lambda lang: model.languages.index(lang) if lang in model.languages else k
+    like = [model.likelihoods(r[0]) for r in rows]
+    host, suffix, table = {}, {}, np.full((k + 1, k), 0.5)
+    for r, x in zip(rows, like, strict=True):
+        if x is not None:
+            p = soft(x)
+            host[r[2], r[3]] = host.get((r[2], r[3]), 0) + p
+            suffix[r[3]] = suffix.get(r[3], 0) + p
+            table[said(r[1])] += p
+    whole = table.sum(0) / table.sum()
+    for r, x in zip(rows, like, strict=True):
+        if x is None:
+            assert (r[4], r[5]) == ("und", 0.0)
+            continue
+        above = (suffix[r[3]] + whole * langid.SMOOTH_SUFFIX) / (suffix[r[3]].sum() + langid.SMOOTH_SUFFIX)
+        own = host[r[2], r[3]]
+        prior = (own + above * langid.SMOOTH_HOST) / (own.sum() + langid.SMOOTH_HOST)
+        p = soft(np.array(x) + np.log(prior) + np.log(table[said(r[1])] / table.sum(0)))
+        assert model.languages[int(p.argmax())] == r[4]
+        assert r[5] == pytest.approx(p.max(), abs=1e-9)
+
+
+def test_text_likelihoods_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.train(docs)
+    for r in docs.limit(40).collect():
+        raw = [b for b in f" {r.text.lower()} ".encode() if 97 <= b <= 122 or b >= 128 or b in (10, 32)]
+        slots = [((a * 40503 + b * 9973 + c * 31) * 2654435761 & 0xFFFFFFFF) >> 17 for a, b, c in zip(raw, raw[1:], raw[2:], strict=False)]
+        got = model.likelihoods(r.text)
+        if got is not None:
+            want = [sum(float(model.table[s, i]) for s in slots) / len(slots) * min(len(slots), langid.EVIDENCE) for i in range(len(model.languages))]
+            assert got == pytest.approx(want, rel=1e-5)
+
+
+def test_languages_tie_in_alphabetical_order(spark):
+    rows = [(i, "same words here", lang, "s") for i, lang in enumerate(["b", "a", "b", "a"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r.language for r in langid.identify(df).collect()} == {"a"}
+
+
+def test_corpus_query_covers_documents_and_pages(spark):
+    docs, pages = (spark.read.parquet(f"{DATA}/sf0.01/{t}.parquet") for t in ("documents", "pages"))
+    got = langid.identify_corpus(docs, pages).collect()
+    assert sorted(r.doc_id for r in got if r.kind == "document") == sorted(r.doc_id for r in docs.collect())
+    assert sorted(r.page_id for r in got if r.kind == "page") == sorted(r.page_id for r in pages.collect())
+    said = {r.page_id: r.lang for r in pages.select("page_id", F.regexp_extract("html", 'lang="([a-z]+)', 1).alias("lang")).collect()}
+    assert np.mean([r.language == said[r.page_id] for r in got if r.kind == "page"]) > 0.97
+
+
+def test_margin_is_the_sum_over_pairs():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 2, 9):
+        w, v, bias = rng.normal(size=n), rng.normal(size=(n, 8)), 0.3
+        scale = 1 / np.sqrt(1 + n / 16)
+        want = bias + scale * sum(w) + scale * scale * sum(float(v[i] @ v[j]) for i in range(n) for j in range(i))
+        assert toxicity.margin(bias, w, v) == pytest.approx(want)
+
+
+def test_scores_match_brute_force(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    machine = toxicity.train(docs, labels)
+    got = {r.doc_id: r.score for r in toxicity.score_documents(docs, labels).collect()}
+    for r in docs.limit(120).collect():
+        terms = {t for w in re.findall(r"[^\W\d_]+", (r.text or "").lower()) for t in (w, *("^" + w[:n] for n in (4, 5) if len(w) > n))}
+        at = sorted({machine.place[s] for s in {zlib.crc32(t.encode()) % toxicity.SLOTS for t in terms} if s in machine.place})
+        scale = 1 / np.sqrt(1 + len(at) / 16)
+        pairs = sum(float(machine.factors[i] @ machine.factors[j]) for i, j in itertools.combinations(at, 2))
+        z = machine.bias + scale * sum(machine.weights[at]) + scale * scale * pairs
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), abs=1e-9)
+
+
 def test_machine_learns_pairs():
     rng = random.Random(0)
     rows = []
@@ -319,12 +432,33 @@ def test_rules(spark):
         assert r.verdict == hit[1] if hit else r.verdict in ("allow", "block")
 
 
-def test_url_model(spark):
-    w = urlfilter.fit(spark)
-    tests = [("http://cheap-pills.shop.org/now", 1), ("https://www.spam-farm.biz/en/1", 1), ("https://library.city.org/en/4", 0), ("https://blog.thehen.example.net/de/12.html", 0)]
-    df = spark.createDataFrame(tests, "url string, y int")
-    got = df.select("y", urlfilter.score(*urlfilter.split_url(F.col("url")), w).alias("p")).collect()
-    assert all((r.p >= 0.5) == bool(r.y) for r in got)
+def test_url_model_on_held_out_hosts(spark):
+    rows = labelled_urls.rows()
+    fold = lambda url: zlib.crc32(url.split("/")[2].encode()) % 5
+    assert len({r[0].split("/")[2] for r in rows}) == len(rows)
+    right = 0
+    for k in range(5):
+        model = urlfilter.fit(spark, [r for r in rows if fold(r[0]) != k])
+        held = spark.createDataFrame([r for r in rows if fold(r[0]) == k], "url string, y int")
+        got = held.select("y", urlfilter.score(*urlfilter.split_url(F.col("url")), model).alias("p")).collect()
+        right += sum((r.p >= 0.5) == bool(r.y) for r in got)
+    assert right / len(rows) > 0.9
+
+
+def test_url_scores_match_brute_force(spark):
+    w, b = urlfilter.fit(spark)
+    urls = ["http://a.net/x", "", None, "https://Blog.Example.org/a/b?c", "x://y", *(r[0] for r in labelled_urls.rows()[::9]), "http://h.org/" + "long/" * 500]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    got = {r.page_id: r for r in urlfilter.judge(df.unionAll(df)).collect()}
+    grams = {f"{mark}^{text}$"[:1] + f"^{text}$"[i : i + n] for r in got.values() for mark, text in (("h", r.host), ("p", r.path)) for n in urlfilter.GRAMS for i in range(max(len(text) + 3 - n, 1))}
+    slot = {r.g: r.s for r in spark.createDataFrame([(g,) for g in grams], "g string").select("g", F.pmod(F.xxhash64("g"), F.lit(urlfilter.DIMS)).alias("s")).collect()}
+    for r in got.values():
+        at = [slot[mark + f"^{text}$"[i : i + n]] for mark, text in (("h", r.host), ("p", r.path)) for n in urlfilter.GRAMS for i in range(max(len(text) + 3 - n, 1))]
+        z = sum(float(f"{w[s]:.6g}") for s in at) / np.sqrt(len(at)) + b
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+def test_url_query(spark):
     plan = op10_url_filter(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
