@@ -12,13 +12,18 @@ from pyspark.sql import functions as F
 
 
 def mixture_order(x: np.ndarray, w: np.ndarray, most: int, rounds: int = 200) -> int:
-    """Number of normal components, up to ``most``, with the best BIC on weighted values; equal and own variances are both tried."""
+    """Number of normal components, up to ``most``, with the best BIC on weighted values; equal and own variances are both tried.
+
+    The search ends where two more components in a row haven't bettered it.
+    """
     n, best, best_k = w.sum(), -np.inf, 1
     order = np.argsort(x)
     x, w = x[order], w[order]
     share = np.cumsum(w) / n
     floor = 1e-2
     for k in range(1, min(most, len(x)) + 1):
+        if k > best_k + 2:
+            break
         for equal in (True, False) if k > 1 else (True,):
             mean = x[np.searchsorted(share, (np.arange(k) + 0.5) / k).clip(0, len(x) - 1)].astype(float)
             mean += np.arange(k) * 1e-6
@@ -116,54 +121,99 @@ def haplotypes(rows: DataFrame, region: str = "both", trim: str | int | None = "
     return rows.withColumn("haplotype", F.nullif(made, F.lit(""))).drop("_left", "_right")
 
 
+def one_length(seqs: list[str]) -> bool:
+    return len({len(s) for s in seqs}) <= 1
+
+
+def code_table(seqs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the sequences' characters, padded with zeros to one width, and their lengths."""
+    size = np.array([len(s) for s in seqs], int)
+    codes = np.zeros((len(seqs), int(size.max()) if len(seqs) else 0), np.uint32)
+    for i, s in enumerate(seqs):
+        codes[i, : len(s)] = np.frombuffer(s.encode("utf-32-le"), np.uint32)
+    return codes, size
+
+
+def distances_to(one: str, codes: np.ndarray, size: np.ndarray, method: str) -> np.ndarray:
+    """Distances of one sequence to the rows of a code table; ``hamming`` needs equal lengths."""
+    said = np.frombuffer(one.encode("utf-32-le"), np.uint32)
+    return (codes != said).sum(1) if method == "hamming" else edit_distances(said, codes, size)
+
+
 def pair_distances(seqs: list[str], method: str = "levenshtein") -> np.ndarray:
-    """Distances of all pairs; each row of the dynamic programme runs over all partners at once."""
+    """Distances of all pairs, one sequence against all later ones at a time; sequences of unequal lengths have edit distances."""
     n = len(seqs)
-    size = np.array([len(s) for s in seqs])
-    wide = int(size.max()) if n else 0
-    codes = np.zeros((n, wide), np.uint32)
-    for i, s in enumerate(seqs):
-        codes[i, : len(s)] = [ord(c) for c in s]
+    codes, size = code_table(seqs)
+    method = method if one_length(seqs) else "levenshtein"
     out = np.zeros((n, n), np.int32)
-    equal = len(set(size.tolist())) <= 1
     for i in range(n - 1):
-        rest = np.arange(i + 1, n)
-        if method == "hamming" and equal:
-            d = (codes[rest] != codes[i]).sum(1)
-        else:
-            d = edit_distances(codes[i, : size[i]], codes[rest], size[rest])
-        out[i, rest] = out[rest, i] = d
+        out[i, i + 1 :] = out[i + 1 :, i] = distances_to(seqs[i], codes[i + 1 :], size[i + 1 :], method)
     return out
 
 
 def edit_distances(one: np.ndarray, many: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Levenshtein distance of one code sequence to many (rows padded to one width)."""
-    m, wide = many.shape
-    row = np.broadcast_to(np.arange(wide + 1, dtype=np.int32), (m, wide + 1)).copy()
-    steps = np.arange(wide + 1, dtype=np.int32)
-    for k, c in enumerate(one):
-        new = np.empty_like(row)
-        new[:, 0] = k + 1
-        np.minimum(row[:, 1:] + 1, row[:, :-1] + (many != c), out=new[:, 1:])
-        # A gap run along the row costs one a step: running minimum of value less place.
-        row = np.minimum.accumulate(new - steps, axis=1) + steps
-    return row[np.arange(m), sizes]
+    """Levenshtein distance of one code sequence to many (rows padded to one width).
+
+    A column of the dynamic programme is a bit vector of its upward and downward steps, in words of 64 bits, so that a character of every
+    row costs a few machine operations a word.
+    """
+    m, n = len(one), len(many)
+    if not m:
+        return np.asarray(sizes, np.int32).copy()
+    letters, place = np.unique(one, return_inverse=True)
+    words = -(-m // 64)
+    bits = np.zeros((len(letters) + 1, words), np.uint64)  # the last row: letters that the sequence doesn't have
+    for i, k in enumerate(place.tolist()):
+        bits[k, i // 64] |= np.uint64(1) << np.uint64(i % 64)
+    at = np.searchsorted(letters, many).clip(0, len(letters) - 1)
+    at = np.where(letters[at] == many, at, len(letters))
+    up, down = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
+    score, out = np.full(n, m, np.int32), np.full(n, m, np.int32)
+    top, last = np.uint64(63), np.uint64((m - 1) % 64)
+    unit = np.uint64(1)
+    for j in range(int(np.max(sizes, initial=0))):
+        here = bits[at[:, j]]
+        plus, minus = np.ones(n, np.uint64), np.zeros(n, np.uint64)  # the step along the row above a word
+        for w in range(words):
+            pv, mv, eq = up[w], down[w], here[:, w]
+            xv = eq | mv
+            eq = eq | minus
+            xh = (((eq & pv) + pv) ^ pv) | eq
+            ph, mh = mv | ~(xh | pv), pv & xh
+            if w == words - 1:
+                score += (ph >> last & unit).astype(np.int32) - (mh >> last & unit).astype(np.int32)
+            ph, mh, plus, minus = ph << unit | plus, mh << unit | minus, ph >> top, mh >> top
+            up[w], down[w] = mh | ~(xv | ph), ph & xv
+        done = sizes == j + 1
+        out[done] = score[done]
+    return out
 
 
 def complete_linkage(d: np.ndarray) -> list[tuple[int, int, float]]:
-    """Merges (a, b, height) of complete-linkage clustering; a keeps the merged cluster, the lower pair wins ties."""
+    """Merges (a, b, height) of complete-linkage clustering; a keeps the merged cluster, the lower pair wins ties.
+
+    Each row knows its nearest other row, which is looked for again only where that row went or moved away.
+    """
     n = len(d)
     work = d.astype(float)
     np.fill_diagonal(work, np.inf)
+    near = work.argmin(1) if n else np.empty(0, int)
+    least = work[np.arange(n), near] if n else np.empty(0)
     out = []
     for _ in range(n - 1):
-        a, b = divmod(int(np.argmin(work)), n)
-        a, b = min(a, b), max(a, b)
+        i = int(np.argmin(least))
+        a, b = sorted((i, int(near[i])))
         out.append((a, b, float(work[a, b])))
         joined = np.maximum(work[a], work[b])
         work[a], work[:, a] = joined, joined
         work[b], work[:, b] = np.inf, np.inf
         work[a, a] = np.inf
+        least[b] = np.inf
+        again = np.flatnonzero(((near == a) | (near == b)) & (least < np.inf))
+        for k in {a, *again.tolist()}:
+            near[k] = work[k].argmin()
+            least[k] = work[k, near[k]]
+        least[b] = np.inf
     return out
 
 
@@ -204,6 +254,7 @@ def group_haplotypes(seqs: list[str], weights: list[int], method: str = "levensh
     reads = int(w.sum())
     if reads < 3 or n == 1:
         return [1] * n
+    method = method if one_length(seqs) else "levenshtein"  # for linkage and for the rest alike
     order = sorted(range(n), key=lambda i: (-weights[i], seqs[i]))
     if reads <= downsample:
         d = pair_distances([seqs[i] for i in order], method)
@@ -218,14 +269,8 @@ def group_haplotypes(seqs: list[str], weights: list[int], method: str = "levensh
         labels = np.empty(n, int)
         labels[: len(head)] = some
         if len(head) < n:
-            rest = [seqs[i] for i in order[len(head) :]]
-            wide = max(map(len, [*rest, *firsts]))
-            codes = np.zeros((len(rest), wide), np.uint32)
-            for i, s in enumerate(rest):
-                codes[i, : len(s)] = [ord(c) for c in s]
-            sizes = np.array([len(s) for s in rest])
-            near = np.stack([edit_distances(np.array([ord(c) for c in f], np.uint32), codes, sizes) for f in firsts])
-            labels[len(head) :] = near.argmin(0) + 1
+            codes, size = code_table([seqs[i] for i in order[len(head) :]])
+            labels[len(head) :] = np.stack([distances_to(f, codes, size, method) for f in firsts]).argmin(0) + 1
     out = [0] * n
     for i, label in zip(order, labels.tolist(), strict=True):
         out[i] = label

@@ -63,7 +63,9 @@ def align_global(query: str, ref: str, match: float = 2.0, mismatch: float = -6.
 def consensus(seqs: list[str], threshold: float = 0.5) -> str | None:
     """Majority sequence of a star alignment around the commonest sequence; gaps dropped, undecided columns N.
 
-    Sequences don't vote beyond their own ends. One sequence is its own consensus; none gives None.
+    ``threshold`` is the disagreement that a column may have: 0.05 calls a base that 95 % share, 0.5 the majority's. Columns that reads put between those of
+    the centre are called alike, what the other reads have there being a gap. Sequences don't vote beyond their own ends. One sequence is its own
+    consensus; none gives None.
     """
     seqs = [s for s in seqs if s]
     if not seqs:
@@ -94,16 +96,19 @@ def consensus(seqs: list[str], threshold: float = 0.5) -> str | None:
         if run:
             inserts.setdefault(at, Counter())[run] += n
         spans.append((first or 0, last, n))
-    out = []
+    out, need = [], 1 - threshold - 1e-12
     for at in range(width + 1):
         if at in inserts:
             text, n = min(inserts[at].items(), key=lambda t: (-t[1], t[0]))
             over = sum(c for a, b, c in spans if a <= at <= b + 1)
-            if over and n / over > threshold:
+            gap = (over - inserts[at].total()) / over if over else 1.0
+            if over and n / over >= need and n / over > gap:
                 out.append(text)
+            elif gap < need:
+                out.append("N" * len(text))
         if at < width and votes[at]:
             base, n = min(votes[at].items(), key=lambda t: (-t[1], t[0]))
-            out.append(base if n / votes[at].total() >= threshold and list(votes[at].values()).count(n) == 1 else "N")
+            out.append(base if n / votes[at].total() >= need and list(votes[at].values()).count(n) == 1 else "N")
     text = "".join(out).replace("-", "")
     return "".join(c if c in "ACGT" else "N" for c in text)
 

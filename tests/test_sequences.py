@@ -197,3 +197,58 @@ def test_simulated_reads_give_their_counts(spark):
     assert all(got[q].repeat_count == k for _, q, _, k in rows)
     for r in found.collect():
         assert "".join(r[s] or "" for s in alignments.SEGMENTS) == r.query_sequence
+
+
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_pair_distances_match_the_plain_programme():
+    rng = random.Random(1)
+    for _ in range(12):
+        seqs = ["".join(rng.choice("ACGT") for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 127, 128, 129, 200]))) for _ in range(8)]
+        d = clusters.pair_distances(seqs, rng.choice(["levenshtein", "hamming"]))
+        assert d.tolist() == [[plain_distance(a, b) for b in seqs] for a in seqs]
+    assert clusters.pair_distances(["ACGT", "CGTA"], "hamming").tolist() == [[0, 4], [4, 0]]
+
+
+def test_complete_linkage_matches_the_plain_search():
+    rng = random.Random(2)
+    for _ in range(40):
+        n = rng.randint(1, 30)
+        d = np.zeros((n, n))
+        for i in range(n):
+            for j in range(i):
+                d[i, j] = d[j, i] = rng.randint(0, 9)
+        groups, want = {i: [i] for i in range(n)}, []
+        while len(groups) > 1:
+            h, a, b = min((max(d[x, y] for x in groups[i] for y in groups[j]), i, j) for i in groups for j in groups if i < j)
+            groups[a] += groups.pop(b)
+            want.append((a, b, h))
+        assert clusters.complete_linkage(d) == want
+
+
+def test_the_rest_joins_by_the_same_distance():
+    a, b = "ACGT" * 5, "TGCA" * 5
+    turned = a[1:] + a[0]  # two edits from a, but twenty places
+    got = clusters.group_haplotypes([a, b, turned], [30, 30, 1], "hamming", downsample=2)
+    near = min((sum(x != y for x, y in zip(turned, c, strict=True)), k) for k, c in ((got[0], a), (got[1], b)))
+    assert got[2] == near[1]
+
+
+def test_consensus_threshold_is_the_disagreement_allowed():
+    reads = ["ACGT"] * 6 + ["ACTT"] * 4
+    assert consensus.consensus(reads, 0.05) == "ACNT"
+    assert consensus.consensus(reads, 0.39) == "ACNT"
+    assert consensus.consensus(reads, 0.4) == consensus.consensus(reads, 0.5) == consensus.consensus(reads, 0.9) == "ACGT"
+    assert consensus.consensus(["ACGT"] * 5 + ["ACTT"] * 5, 0.5) == "ACNT"
+    assert consensus.consensus(["ACGT"] * 96 + ["ACTT"] * 4, 0.05) == "ACGT"
+    longer = ["AACCGGTT"] * 6 + ["AACCAGGTT"] * 4
+    assert consensus.consensus(longer, 0.5) == "AACCGGTT"
+    assert consensus.consensus(longer, 0.05) == "AACCNGGTT"
