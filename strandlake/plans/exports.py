@@ -14,12 +14,12 @@ from ..operators.consensus import vcf_rows
 from ..sources import sinks, tables
 from .config import Config
 
-#: Tables of each module that go into its workbook: summaries, a row for a sample, cluster or range.
+#: Tables of each module that go into its workbook where they have rows: summaries, a row for a sample, cluster or range.
 WORKBOOKS = {
     1: ("qc", ("file_details", "duplication", "qc_summary", "final_summary")),
     2: ("alignment", ("alignment_summary", "filtering", "strands", "order", "quality", "segments")),
     3: ("repeat_detection", ("detection", "methods", "flanks", "sweep", "repeat_summary")),
-    4: ("allele_calling", ("cluster_summary", "cluster_sizes", "consensus", "variant_summary")),
+    4: ("allele_calling", ("cluster_summary", "cluster_sizes", "variant_summary")),
     5: ("waterfall", ("waterfall_summary",)),
     6: ("range_analysis", ("ranges", "modal_peaks", "distribution_summary", "group_controls", "instability_metrics", "comprehensive_range_summary")),
     7: ("visualisation", ("histogram",)),
@@ -35,7 +35,7 @@ def vcf_lines(variants: DataFrame, contig: str, length: int, reference: str, gro
     names = kept.groupBy(group).agg(F.sort_array(F.collect_set(column)).alias("_names"))
     fixed = [
         "##fileformat=VCFv4.2", f"##fileDate={date.today():%Y%m%d}", "##source=strandlake", f"##reference={reference}", f"##contig=<ID={contig},length={length}>",
-        '##INFO=<ID=TYPE,Number=1,Type=String,Description="Variant type: SNP, INS, or DEL">', '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
+        '##INFO=<ID=TYPE,Number=1,Type=String,Description="Kind of difference from the reference: mismatch, insertion or deletion">', '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
     ]
     top = F.concat_ws("\t", *map(F.lit, ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")), F.col("_names"))
     head = names.select(group, F.posexplode(F.array(*map(F.lit, fixed), top)).alias("_i", "value")).select(group, (F.col("_i") - 100).cast("long").alias("place"), "value")
@@ -75,7 +75,7 @@ def export_module(spark: SparkSession, config: Config, module: int, name: str, d
     """The files of one module, below its folder."""
     root = f"{config.dir_out}/{name}"
     book, wanted = WORKBOOKS[module]
-    chosen = {t: done[t] for t in wanted if t in done}
+    chosen = {t: done[t] for t in wanted if t in done and not done[t].isEmpty()}
     if chosen:
         sinks.write_bytes(spark, f"{root}/{book}.xlsx", sinks.workbook(chosen))
     if module == 3 and config.export_read_counts:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.sequence import cigar_columns
+
 READS = "file_stem string, read_index long, qname string, sequence string, quality string"
 STEM = r"([^/]*?)(?:\.(?:fastq|fq|fasta|fa|bam))?(?:\.gz)?$"
 
@@ -58,39 +60,98 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 BAM_BASES = "=ACMGRSVTWYHKDBN"
 
 
-def bgzf_members(raw: bytes) -> bytes:
-    """The plain bytes of concatenated gzip members."""
-    out = []
-    while raw:
-        d = zlib.decompressobj(31)
-        out.append(d.decompress(raw) + d.flush())
-        raw = d.unused_data
-    return b"".join(out)
+PIECE = 1 << 20
 
 
-def bam_records(raw: bytes) -> Iterator[tuple[str, str, str | None]]:
-    """(name, sequence, quality) of every record of a BAM file, whatever its flags."""
-    data = bgzf_members(raw)
-    if data[:4] != b"BAM\1":
+def bgzf_pieces(handle) -> Iterator[bytes]:
+    """The plain bytes of concatenated gzip members, piece by piece as they are read."""
+    raw, d = handle.read(PIECE), zlib.decompressobj(31)
+    while raw:
+        plain = d.decompress(raw)
+        if plain:
+            yield plain
+        raw = d.unused_data if d.eof else b""
+        if d.eof:
+            d = zlib.decompressobj(31)
+        raw = raw or handle.read(PIECE)
+
+
+class _Plain:
+    """Exact reads from pieces; holds what is read and not yet taken."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at = pieces, b"", 0
+
+    def take(self, n: int) -> bytes:
+        """``n`` bytes, fewer only at the end."""
+        while len(self.held) - self.at < n:
+            more = next(self.pieces, None)
+            if more is None:
+                break
+            self.held, self.at = self.held[self.at :] + more, 0
+        got = self.held[self.at : self.at + n]
+        self.at += len(got)
+        return got
+
+    def number(self) -> int:
+        return struct.unpack("<i", self.take(4))[0]
+
+
+# Fixed values of the BAM format: operations of a CIGAR, sizes of tag values.
+BAM_OPS = "MIDNSHP=X"
+BAM_SIZES = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
+BAM_FORMS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
+
+
+def bam_tags(data: bytes) -> dict[str, int | float | str]:
+    """Numbers and texts among a record's tags; arrays are passed over."""
+    out, at = {}, 0
+    while at + 3 <= len(data):
+        name, kind = data[at : at + 2].decode("latin-1"), chr(data[at + 2])
+        at += 3
+        if kind in "ZH":
+            end = data.index(b"\0", at)
+            out[name], at = data[at:end].decode("latin-1"), end + 1
+        elif kind == "B":
+            each, count = BAM_SIZES[chr(data[at])], struct.unpack_from("<i", data, at + 1)[0]
+            at += 5 + each * count
+        else:
+            size = BAM_SIZES[kind]
+            out[name] = chr(data[at]) if kind == "A" else struct.unpack_from("<" + BAM_FORMS[kind], data, at)[0]
+            at += size
+    return out
+
+
+def bam_alignments(handle) -> Iterator[tuple]:
+    """(name, sequence, quality, flag, reference, 1-based start, mapq, cigar, tags) of every record of a BAM file, whatever its flags."""
+    plain = _Plain(bgzf_pieces(handle))
+    if plain.take(4) != b"BAM\1":
         raise ValueError("no BAM file")
-    (size,) = struct.unpack_from("<i", data, 4)
-    at = 8 + size
-    (refs,) = struct.unpack_from("<i", data, at)
-    at += 4
-    for _ in range(refs):
-        (size,) = struct.unpack_from("<i", data, at)
-        at += 8 + size
-    while at < len(data):
-        (size,) = struct.unpack_from("<i", data, at)
-        names, _, _, ops, _, bases = struct.unpack_from("<BBHHHi", data, at + 12)
-        p = at + 36
-        name = data[p : p + names - 1].decode()
-        p += names + 4 * ops
+    plain.take(plain.number())
+    refs = []
+    for _ in range(plain.number()):
+        refs.append(plain.take(plain.number()).rstrip(b"\0").decode())
+        plain.take(4)
+    while len(head := plain.take(4)) == 4:
+        (size,) = struct.unpack("<i", head)
+        data = plain.take(size)
+        if len(data) < size:
+            raise ValueError("the BAM file is cut short")
+        ref, start, names, mapq, _, ops, flag, bases = struct.unpack_from("<iiBBHHHi", data)
+        p = 32 + names
+        name = data[32 : p - 1].decode()
+        cigar = "".join(f"{x >> 4}{BAM_OPS[x & 15]}" for x in struct.unpack_from(f"<{ops}I", data, p))
+        p += 4 * ops
         packed = data[p : p + (bases + 1) // 2]
         seq = "".join(BAM_BASES[b >> 4] + BAM_BASES[b & 15] for b in packed)[:bases]
-        q = data[p + len(packed) : p + len(packed) + bases]
-        yield name, seq, None if q[:1] == b"\xff" else "".join(chr(x + 33) for x in q)
-        at += 4 + size
+        p += len(packed)
+        q = data[p : p + bases]
+        yield name, seq, None if q[:1] == b"\xff" else "".join(chr(x + 33) for x in q), flag, refs[ref] if ref >= 0 else None, start + 1, mapq, cigar, data[p + bases :]
+
+
+def bam_records(handle) -> Iterator[tuple[str, str, str | None]]:
+    """(name, sequence, quality) of every record."""
+    return (record[:3] for record in bam_alignments(handle))
 
 
 class BamSource(DataSource):
@@ -124,18 +185,55 @@ class BamReader(DataSourceReader):
         from pyarrow import fs
 
         system = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
-        with system.open_input_file(partition.value) as f:
-            raw = f.read()
         stem = _name(partition.value)
-        for i, (name, seq, quality) in enumerate(bam_records(raw)):
-            yield stem, i, name, seq, quality
+        with system.open_input_stream(partition.value, compression=None) as f:
+            for i, record in enumerate(self.records(f)):
+                yield stem, i, *record
+
+    def records(self, handle) -> Iterator[tuple]:
+        return bam_records(handle)
+
+
+class AlignedBamSource(BamSource):
+    """``spark.read.format("aligned_bam")``: alignments with their places and tags."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "aligned_bam"
+
+    def schema(self) -> str:
+        return "file_stem string, read_index long, qname string, query_sequence string, quality string, flag int, rname string, ref_start int, mapq int, cigar string, mismatches int, md string"
+
+    def reader(self, schema) -> AlignedBamReader:
+        return AlignedBamReader(self.options)
+
+
+class AlignedBamReader(BamReader):
+    def records(self, handle) -> Iterator[tuple]:
+        for *most, data in bam_alignments(handle):
+            tags = bam_tags(data)
+            yield *most, tags.get("NM"), tags.get("MD")
 
 
 def read_bam(spark: SparkSession, path: str) -> DataFrame:
+    """Reads of BAM files, a task for each file; a task holds one piece and one record."""
     spark.dataSource.register(BamSource)
     return spark.read.format("bam").load(path)
 
 
+def read_alignments(spark: SparkSession, path: str, refs: list[tuple[str, str, str, str]]) -> DataFrame:
+    """Alignments that an external aligner left as BAM, in the columns of the built-in one (and MD); records without a place or a tag have nulls there."""
+    spark.dataSource.register(AlignedBamSource)
+    rows = spark.read.format("aligned_bam").load(path)
+    named = spark.createDataFrame([r[:3] for r in refs], "rname string, ref_id string, ref_flank string")  # two rows for each locus
+    placed = F.col("rname").isNotNull() & (F.col("cigar") != "")
+    made = {k: F.when(placed, v) for k, v in cigar_columns(F.col("cigar"), F.col("ref_start")).items()}
+    rows = rows.withColumn("strand", F.when(placed, F.when(F.col("flag").bitwiseAND(16) > 0, "-").otherwise("+"))).withColumns(made)
+    rows = rows.withColumn("aligned_subsequence", F.substring("query_sequence", F.col("query_start"), F.col("alignment_length_on_query")))
+    columns = "file_stem qname rname ref_id ref_flank strand ref_start ref_end alignment_length_on_ref query_start query_end alignment_length_on_query mapq mismatches insertions deletions query_sequence aligned_subsequence cigar md"
+    return rows.withColumn("ref_start", F.when(placed, F.col("ref_start"))).join(F.broadcast(named), "rname", "left").select(*columns.split())
+
+
 def read_sequences(spark: SparkSession, path: str, file_format: str) -> DataFrame:
     """Reads of files of one format of the catalog."""
     if file_format in ("fastq", "fastq.gz", "fq", "fq.gz"):

@@ -1,4 +1,4 @@
-"""Outputs: count tables, FASTA, VCF, workbooks, stage tables with a manifest."""
+"""Outputs: count tables, FASTA, workbooks, stage tables with a manifest."""
 
 from __future__ import annotations
 
@@ -6,14 +6,12 @@ import io
 import json
 import re
 import zipfile
-from datetime import date
+from collections.abc import Callable
 from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.consensus import vcf_rows
-
 PROTEIN = "ACDEFGHIKLMNPQRSTVWYXBZJUO*"
 
 
@@ -43,22 +41,6 @@ def consensus_names(rows: DataFrame, segment: str = "") -> DataFrame:
     return rows.withColumn("name", F.concat(F.col("file_stem"), F.lit("_cluster"), F.lpad(F.col("cluster_number").cast("string"), digits, F.lit("0")), F.lit("_n"), F.col("read_count").cast("string"), F.lit("_mode"), F.bround("mode", 0).cast("int").cast("string"), F.lit("_prop"), F.format_string("%.3f", F.col("proportion")), tail))
 
 
-def vcf_text(rows: DataFrame, contig: str, length: int, reference: str, columns: list[str], column: str = "cluster") -> list[str]:
-    """A VCF 4.2 of variants (position, ref, query, variant_type and ``column``): header lines and records.
-
-    One column for each name of ``columns``; 0/1 where it has the variant. Records are as many as there are distinct substitutions in one
-    sample's or cohort's consensus sequences, which is bounded by the reference's length.
-    """
-    head = [
-        "##fileformat=VCFv4.2", f"##fileDate={date.today():%Y%m%d}", "##source=strandlake", f"##reference={reference}", f"##contig=<ID={contig},length={length}>",
-        '##INFO=<ID=TYPE,Number=1,Type=String,Description="Variant type: SNP, INS, or DEL">', '##FORMAT=<ID=GT,Number=1,Type=String,Description="Genotype">',
-        "\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *columns]),
-    ]
-    found = vcf_rows(rows).groupBy("position", "ref", "query", "variant_type").agg(F.collect_set(column).alias("who")).orderBy("position", "ref", "query")
-    body = ["\t".join([contig, str(r["position"]), ".", r["ref"], r["query"], ".", "PASS", f"TYPE={r['variant_type']}", "GT", *("0/1" if c in r["who"] else "0/0" for c in columns)]) for r in found.collect()]
-    return head + body
-
-
 def sheet_names(names: list[str]) -> list[str]:
     """Names cut to 31 characters (``..`` at the end), made distinct by a number."""
     out: list[str] = []
@@ -125,11 +107,37 @@ def read_bytes(spark: SparkSession, path: str) -> bytes | None:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
+def format_size(size: float) -> str:
+    for unit in ("B", "KB", "MB", "GB"):
+        if size < 1024:
+            return f"{size:.1f} {unit}"
+        size /= 1024
+    return f"{size:.1f} TB"
+
+
+#: What the manifest says of the main tables; others are described by their name.
+DESCRIPTIONS = {
+    "reads": "reads that quality control kept, trimmed where asked for",
+    "alignments": "every alignment of a read to a flank",
+    "split": "segments of each read around the repeat",
+    "detected": "tract, segments and counts of each read, before any policy",
+    "repeat_counts": "counts of each read that the policies kept",
+    "assigned": "reads with their cluster",
+    "clusters": "cluster of each read",
+    "consensus": "consensus sequences of each cluster",
+    "variants": "differences of each consensus from the reference",
+    "length_freq": "reads of each sample, range and length",
+    "distribution_summary": "distribution metrics of each sample and range",
+    "instability_metrics": "instability against the sample's own and the controls' setpoint",
+}
+
+
 class StageStore:
     """Parquet tables of pipeline stages, each with the hash of the parameters that made it."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.kept: dict[str, set[str]] = {}
 
     def manifest(self, stage: str) -> dict | None:
         raw = read_bytes(self.spark, f"{self.root}/{stage}/manifest.json")
@@ -142,12 +150,35 @@ class StageStore:
         """Whether the stage is there, whole and made with the same parameters."""
         return (self.manifest(stage) or {}).get("params") == digest
 
+    def keeper(self, stage: str, digest: str, resume: bool = False) -> Callable[[str, DataFrame], DataFrame]:
+        """A function (name, rows) that writes one table at once and gives it as read, so that what follows from it doesn't make it again.
+
+        With ``resume`` a table that an unfinished run with the same parameters has left is taken as it is: a run that failed begins again behind its last
+        whole table.
+        """
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            path = f"{self.root}/{stage}/{name}"
+            mark = read_bytes(self.spark, f"{path}.json") if resume else None
+            if not mark or json.loads(mark).get("params") != digest:
+                df.write.mode("overwrite").parquet(path)
+                write_bytes(self.spark, f"{path}.json", json.dumps({"params": digest}).encode())
+            self.kept.setdefault(stage, set()).add(name)
+            return self.spark.read.parquet(path)
+
+        return keep
+
     def save(self, stage: str, tables: dict[str, DataFrame], digest: str) -> dict[str, DataFrame]:
-        """Writes the tables, then the manifest that makes them valid; returns them as read."""
+        """Writes the tables that ``keeper`` hasn't, then the manifest that makes them valid; returns them as read."""
         entries = []
         for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.root}/{stage}/{name}")
-            entries.append({"object": name, "columns": df.columns})
+            path = f"{self.root}/{stage}/{name}"
+            if name not in self.kept.get(stage, ()):
+                df.write.mode("overwrite").parquet(path)
+            system, p = _fs(self.spark, path)
+            size = system.getContentSummary(p).getLength()
+            entries.append({"object": name, "description": DESCRIPTIONS.get(name, name.replace("_", " ")), "class": "table", "columns": df.columns, "bytes": size, "size": format_size(size)})
+        self.kept.pop(stage, None)
         write_bytes(self.spark, f"{self.root}/{stage}/manifest.json", json.dumps({"params": digest, "tables": entries}).encode())
         return self.load(stage)
 

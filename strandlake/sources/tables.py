@@ -55,6 +55,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         df = spark.createDataFrame(body, ", ".join(f"`{h}` string" for h in head))
     elif low.endswith((".csv", ".tsv", ".txt")):
         df = spark.read.option("header", True).option("sep", "," if low.endswith(".csv") else "\t").csv(path)
+    elif low.endswith(".xls"):
+        raise ValueError(f"old binary workbooks aren't read, save it as .xlsx or .csv: {path}")
     else:
         raise ValueError(f"unsupported table format: {path}")
     df = df.toDF(*(c.removeprefix("﻿").strip() for c in df.columns))

@@ -23,15 +23,25 @@ def stream_length_freq(counts: DataFrame) -> DataFrame:
 
 
 def maintain_length_freq(counts: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keeps the frequency table of a stream as Parquet below ``target``, one folder for each batch; the last whole one is current.
+    """Keeps the frequency table of a stream below ``target`` as Parquet: each batch adds a folder of its own counts only, so its cost is that of what is new.
 
-    A batch that runs again after a failure writes the same folder anew.
+    ``read_length_freq`` adds them up. A batch that runs again after a failure writes the same folder anew.
     """
 
     def write(df: DataFrame, epoch: int) -> None:
-        df.write.mode("overwrite").parquet(f"{target}/batch={epoch:012d}")
+        stream_length_freq(df).write.mode("overwrite").parquet(f"{target}/batch={epoch:012d}")
 
-    return stream_length_freq(counts).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return counts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_length_freq(spark: SparkSession, target: str) -> DataFrame:
+    """file_stem, length, freq of everything that has arrived."""
+    return spark.read.parquet(target).groupBy("file_stem", "length").agg(F.sum("freq").alias("freq"))
+
+
+def compact_length_freq(spark: SparkSession, target: str, into: str) -> None:
+    """The sums of all batches as one table, to begin a new target with when the folders have become many."""
+    read_length_freq(spark, target).write.mode("overwrite").parquet(f"{into}/batch={0:012d}")
 
 
 def windowed_counts(events: DataFrame, late: str = "1 hour", size: str = "1 day") -> DataFrame:

@@ -2,12 +2,14 @@
 
 import gzip
 import struct
+import zipfile
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from strandlake.plans import exports
+from strandlake.operators import aligner
+from strandlake.plans import exports, pipeline
 from strandlake.plans.config import Config, Timing
 from strandlake.plans.pipeline import plan, run
 from strandlake.sources import catalog, sequences, sinks, tables
@@ -58,6 +60,38 @@ def test_bam(spark, tmp_path):
     assert zlib.crc32(b"") == 0
 
 
+def test_long_bam_is_read_in_pieces(tmp_path):
+    import io
+
+    records = [(f"r{i}", "ACGT" * 400, "I" * 1600) for i in range(3000)]
+    handle = io.BytesIO(bam(records))
+    assert list(sequences.bam_records(handle)) == records
+    with pytest.raises(ValueError, match="cut short"):
+        list(sequences.bam_records(io.BytesIO(gzip.compress(gzip.decompress(bam(records[:3]))[:-5]))))
+
+
+def test_aligned_bam(spark, tmp_path):
+    def record(name, flag, ref, start, cigar, seq, tags):
+        codes = [sequences.BAM_BASES.index(c) for c in seq] + [0] * (len(seq) % 2)
+        body = struct.pack("<iiBBHHHiiii", ref, start, len(name) + 1, 37, 0, len(cigar), flag, len(seq), -1, -1, 0) + name.encode() + b"\0"
+        body += b"".join(struct.pack("<I", n << 4 | sequences.BAM_OPS.index(op)) for n, op in cigar) + bytes(codes[i] << 4 | codes[i + 1] for i in range(0, len(codes), 2)) + b"\xff" * len(seq) + tags
+        return struct.pack("<i", len(body)) + body
+
+    raw = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", 2) + b"".join(struct.pack("<i", len(n) + 1) + n + b"\0" + struct.pack("<i", 99) for n in (b"HTT_left", b"HTT_right"))
+    raw += record("a", 0, 0, 4, [(2, "S"), (5, "M"), (1, "I"), (3, "M")], "ACGTACGTACG", b"NMC\x02" + b"XBBc" + struct.pack("<ib", 1, 3) + b"MDZ3A4\0")
+    raw += record("b", 16, 1, 0, [(4, "M")], "ACGT", b"") + record("c", 4, -1, -1, [], "GG", b"NMi" + struct.pack("<i", 0))
+    (tmp_path / "s.bam").write_bytes(gzip.compress(raw))
+    refs = [("HTT_left", "HTT", "left", "A"), ("HTT_right", "HTT", "right", "C")]
+    got = {r.qname: r for r in sequences.read_alignments(spark, str(tmp_path / "s.bam"), refs).collect()}
+    a = got["a"]
+    assert (a.file_stem, a.rname, a.ref_flank, a.strand, a.ref_start, a.ref_end, a.query_start, a.query_end, a.mapq) == ("s", "HTT_left", "left", "+", 5, 12, 3, 11, 37)
+    assert (a.cigar, a.insertions, a.mismatches, a.md, a.aligned_subsequence) == ("2S5M1I3M", 1, 2, "3A4", "GTACGTACG")
+    assert (got["b"].strand, got["b"].mismatches, got["b"].md) == ("-", None, None)
+    assert (got["c"].rname, got["c"].strand, got["c"].ref_start) == (None, None, None)
+    built_in = [c.split()[0] for c in aligner.ALIGNED.split(", ")]
+    assert set(built_in) <= set(sequences.read_alignments(spark, str(tmp_path / "s.bam"), refs).columns)
+
+
 def test_tables(spark, tmp_path):
     (tmp_path / "adapters.csv").write_text("﻿adapter_name,adapter_sequence\np5,AATG\n", encoding="utf-8")
     assert tables.read_adapters(spark, str(tmp_path / "adapters.csv")) == {"p5": "AATG"}
@@ -69,14 +103,13 @@ def test_tables(spark, tmp_path):
     assert tables.read_exclusions(spark, None).count() == 0
     (tmp_path / "e.tsv").write_text("file_name\tread_name\na\tr1\n")
     assert [tuple(r) for r in tables.read_exclusions(spark, str(tmp_path / "e.tsv")).collect()] == [("a", "r1")]
+    with pytest.raises(ValueError, match="old binary workbooks"):
+        tables.read_settings(spark, str(tmp_path / "old.XLS"))
     with pytest.raises(ValueError, match="settings lack"):
         tables.read_settings(spark, str(tmp_path / "e.tsv"))
 
 
-def test_vcf_and_fasta(spark, tmp_path):
-    df = spark.createDataFrame([(5, "A", "G", "mismatch", "cluster1"), (5, "A", "G", "mismatch", "cluster2"), (9, "C", "T", "mismatch", "cluster2"), (1, "A", "C", "mismatch", "cluster1"), (7, "A", "-", "deletion", "cluster1")], "position int, ref string, query string, variant_type string, cluster string")
-    body = [x for x in sinks.vcf_text(df, "HTT", 100, "ref.fa", ["cluster1", "cluster2"]) if x[0] != "#"]
-    assert body == ["HTT\t5\t.\tA\tG\t.\tPASS\tTYPE=mismatch\tGT\t0/1\t0/1", "HTT\t9\t.\tC\tT\t.\tPASS\tTYPE=mismatch\tGT\t0/0\t0/1"]
+def test_fasta_lines(spark):
     names = sinks.consensus_names(spark.createDataFrame([("s", 3, 10, 17.0, 0.25, "ACXT")], "file_stem string, cluster_number int, read_count int, mode double, proportion double, sequence string"), "mid")
     assert [r.value for r in sinks.fasta_lines(names).collect()] == [">s_cluster03_n10_mode17_prop0.250_mid\nAC-T"]
 
@@ -90,7 +123,7 @@ def test_vcf_files(spark, tmp_path):
     one = text["file_stem=s1"]
     assert one[0] == "##fileformat=VCFv4.2"
     assert one[7].split("\t")[9:] == ["cluster1", "cluster2"]
-    assert [x.split("\t")[9:] for x in one[8:]] == [["0/1", "0/1"], ["0/0", "0/1"]]
+    assert one[8:] == ["HTT\t5\t.\tA\tG\t.\tPASS\tTYPE=mismatch\tGT\t0/1\t0/1", "HTT\t9\t.\tC\tT\t.\tPASS\tTYPE=mismatch\tGT\t0/0\t0/1"]
 
 
 def test_catalog(spark, tmp_path):
@@ -114,7 +147,22 @@ def test_pipeline_runs_resumes_and_recomputes(spark, tmp_path):
     (tmp_path / "ref.fasta").write_text(f">HTT\n{left}NNNNNN{right}\n")
     (tmp_path / "settings.csv").write_text("file_name,analysis_ranges,floor,max_peaks,group,group_control_sample\ns1.fastq,[0-35],[NA],[1],g,TRUE\ns2.fastq,[0-35],[NA],[1],g,NA\n")
     config = Config(dir_data=str(data), dir_out=str(tmp_path / "out"), path_ref=str(tmp_path / "ref.fasta"), path_settings=str(tmp_path / "settings.csv"))
-    done = run(spark, config)
+    seen, plain_align = spark.sparkContext.accumulator(0), pipeline.align
+
+    def counted(reads, *options):
+        def look(parts):
+            for part in parts:
+                seen.add(part.num_rows)
+                yield part
+
+        return plain_align(reads.mapInArrow(look, reads.schema), *options)
+
+    pipeline.align = counted
+    try:
+        done = run(spark, config)
+    finally:
+        pipeline.align = plain_align
+    assert seen.value == 16  # each read once, whatever follows from its alignments
     summary = {r.file_stem: r for r in done[6]["distribution_summary"].collect()}
     assert (summary["s1"].modal_length, summary["s2"].modal_length) == (17, 20)
     control = {r.file_stem: r.instability_index for r in done[6]["instability_metrics"].filter("setpoint_type = 'control_relative'").collect()}
@@ -135,14 +183,47 @@ def test_pipeline_runs_resumes_and_recomputes(spark, tmp_path):
     changed = Config(**{**config.__dict__, "rpt_min_repeats": 3})
     assert dict(plan(spark, changed))[2] == "SKIP"
     assert dict(plan(spark, changed))[3] == "RUN"
+    said = sinks.StageStore(spark, str(out)).manifest("allele_calling")["tables"]
+    assert {t["object"]: t["description"] for t in said}["variants"].startswith("differences")
+    assert all(t["bytes"] > 0 and t["size"].endswith("B") for t in said)
+    log = (out / "run_log.txt").read_text().splitlines()
+    assert "rpt_pattern: CAG" in log and log[-1].startswith("Total")
     assert Timing({"a": 1.0, "b": 2.0}).table()[-1][1] == 3.0
 
 
+def test_unfinished_module_resumes_behind_its_last_table(spark, tmp_path):
+    store = sinks.StageStore(spark, str(tmp_path))
+    store.keeper("m", "d1")("root", spark.range(3))
+    later = store.keeper("m", "d1", True)("root", spark.range(99))
+    assert later.count() == 3
+    assert store.keeper("m", "d2", True)("root", spark.range(4)).count() == 4
+    assert store.keeper("m", "d2")("root", spark.range(5)).count() == 5
+    done = store.save("m", {"root": spark.range(5), "more": spark.range(2)}, "d2")
+    assert {k: v.count() for k, v in done.items()} == {"root": 5, "more": 2}
+
+
+def test_empty_tables_stay_out_of_workbooks(spark, tmp_path):
+    config = Config(dir_out=str(tmp_path))
+    full, none = spark.createDataFrame([("s", 1)], "file_stem string, n int"), spark.createDataFrame([], "file_stem string, n int")
+    exports.export_module(spark, config, 7, "visualisation", {"histogram": none})
+    assert not (tmp_path / "visualisation" / "visualisation.xlsx").exists()
+    exports.export_module(spark, config, 6, "range_analysis", {"ranges": full, "modal_peaks": none})
+    with zipfile.ZipFile(tmp_path / "range_analysis" / "range_analysis.xlsx") as z:
+        assert z.read("xl/workbook.xml").count(b"<sheet ") == 1
+
+
 def test_stream(spark, tmp_path):
     folder = tmp_path / "in"
     rows = spark.createDataFrame([("s", f"q{i}", float(i % 3)) for i in range(9)], ingest.COUNTS)
     rows.write.parquet(str(folder))
     q = ingest.maintain_length_freq(ingest.stream_counts(spark, str(folder)), str(tmp_path / "out"), str(tmp_path / "cp"))
     q.awaitTermination(120)
-    got = spark.read.parquet(str(tmp_path / "out")).groupBy("length").agg(F.max("freq").alias("n")).collect()
-    assert {r.length: r.n for r in got} == {0.0: 3, 1.0: 3, 2.0: 3}
+    assert {r.length: r.freq for r in ingest.read_length_freq(spark, str(tmp_path / "out")).collect()} == {0.0: 3, 1.0: 3, 2.0: 3}
+    spark.createDataFrame([("s", "q9", 2.0), ("t", "q0", 2.0), ("t", "q1", None)], ingest.COUNTS).coalesce(1).write.mode("append").parquet(str(folder))
+    ingest.maintain_length_freq(ingest.stream_counts(spark, str(folder)), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
+    want = {("s", 0.0): 3, ("s", 1.0): 3, ("s", 2.0): 4, ("t", 2.0): 1}
+    assert {(r.file_stem, r.length): r.freq for r in ingest.read_length_freq(spark, str(tmp_path / "out")).collect()} == want
+    newest = max(p for p in (tmp_path / "out").iterdir() if p.name.startswith("batch="))
+    assert spark.read.parquet(str(newest)).count() == 2
+    ingest.compact_length_freq(spark, str(tmp_path / "out"), str(tmp_path / "new"))
+    assert {(r.file_stem, r.length): r.freq for r in ingest.read_length_freq(spark, str(tmp_path / "new")).collect()} == want
