@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # IUPAC codes and their complements.
@@ -96,3 +96,25 @@ def split_reference(seq: Column) -> tuple[Column, Column]:
     at = r"(?s)^(.*?)[Nn]{5,}(.*)$"
     has = seq.rlike("[Nn]{5,}")
     return F.when(has, F.regexp_extract(seq, at, 1)), F.when(has, F.regexp_extract(seq, at, 2))
+
+
+def size_text(size: Column) -> Column:
+    """Bytes with a unit and one digit."""
+    units = ("B", "KB", "MB", "GB")
+    out = None
+    for i, unit in enumerate(units):
+        text = F.format_string(f"%.1f {unit}", size.cast("double") / 1024.0**i)
+        out = F.when(size < 1024.0 ** (i + 1), text) if out is None else out.when(size < 1024.0 ** (i + 1), text)
+    return out.otherwise(F.format_string("%.1f TB", size.cast("double") / 1024.0 ** len(units)))
+
+
+def elapsed_text(seconds: Column) -> Column:
+    """Seconds, minutes or hours, whichever is the largest that fits."""
+    x = seconds.cast("double")
+    return F.when(x < 60, F.format_string("%.1f s", x)).when(x < 3600, F.format_string("%.1f min", x / 60)).otherwise(F.format_string("%.2f h", x / 3600))
+
+
+def named_map(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """One row with the map ``named`` of a small table of names, as adapters and colours are; the greatest value of a repeated name counts."""
+    last = rows.groupBy(key).agg(F.max(value).alias(value))
+    return last.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(key, value)))).alias("named"))

@@ -54,8 +54,8 @@ def final_summary(reads: DataFrame) -> DataFrame:
 
 
 def downsample(rows: DataFrame, n: int, key: tuple[str, ...] = ("file_stem",), by: str = "qname", seed: int = 123) -> DataFrame:
-    """At most ``n`` rows of each key, in the order of a seeded hash: the same rows on any cluster."""
-    order = Window.partitionBy(*key).orderBy(F.xxhash64(F.col(by), F.lit(seed)), by)
+    """At most ``n`` rows of each key, in the order of a seeded hash: the same rows on any cluster, and in any engine that has MD5."""
+    order = Window.partitionBy(*key).orderBy(F.md5(F.concat(F.col(by), F.lit(f":{seed}"))), by)
     return rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n).drop("_rank")
 
 

@@ -6,6 +6,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,18 @@ from ..operators import ranges
 RANGES, FLOORS, PEAKS = "[0-13][14-35][36-NA]", "[3][0.5][NA]", "[2][1][2]"
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder name that every executor reaches: in ``spark.checkpoint.dir``, or in the temporary folder of a local master's one machine."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        own = tempfile.mkdtemp(prefix="strandlake-queries-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        found = f"file://{own}"
+    return f"{found.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -61,9 +61,14 @@ def export_consensus(done: dict[str, DataFrame], path: str) -> None:
         sinks.write_fasta(named, f"{path}/consensus_{part}", sequence=f"consensus_{part}")
 
 
+def write_variants(variants: DataFrame, path: str) -> None:
+    """All variants as CSV, a folder of parts."""
+    variants.withColumnRenamed("position", "position_on_reference").write.mode("overwrite").option("header", True).csv(f"{path}/variants_csv")
+
+
 def export_variants(variants: DataFrame, refs: list[tuple[str, str, str, str]], reference: str, path: str) -> None:
     """All variants as CSV; substitutions as VCF, one for each sample and one for the cohort."""
-    variants.withColumnRenamed("position", "position_on_reference").write.mode("overwrite").option("header", True).csv(f"{path}/variants_csv")
+    write_variants(variants, path)
     rows = variants.withColumn("cluster", F.concat(F.lit("cluster"), F.col("cluster_number").cast("string")))
     length = sum(len(r[3]) for r in refs)
     write_lines(vcf_lines(rows, refs[0][1], length, reference), f"{path}/vcf_by_sample")

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions import brackets, sequence
 from ..operators import aligner, alignments, clusters, consensus, ranges, reads, repeats
-from ..sources import catalog, sinks, tables
-from . import plotdata
+from ..sources import catalog, sequences, sinks, tables
+from . import exports, plotdata
 from .bindings import (
     ALIGN_SQL,
     DUAL_SQL,
     FREQ_SQL,
     META_SQL,
+    RANGES,
     READS_SQL,
     SEGMENT_SQL,
     SUMMARY_SQL,
@@ -23,6 +24,7 @@ from .bindings import (
     counted_reads,
     range_tables,
     rounded,
+    scratch,
     segment_rows,
     settings,
     table,
@@ -339,7 +341,7 @@ def a7_final_summary(spark, sf_dir):
     return reads.final_summary(_sequenced(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {READS_SQL} SELECT file_stem, qname FROM (SELECT DISTINCT file_stem, qname FROM reads) QUALIFY row_number() OVER (PARTITION BY file_stem ORDER BY md5(qname || ':123'), qname) <= 50")
 def o4_downsample(spark, sf_dir):
     return reads.downsample(counted_reads(spark, sf_dir).dropDuplicates(["file_stem", "qname"]), 50).select("file_stem", "qname")
 
@@ -374,7 +376,18 @@ def f11_trim_locations(spark, sf_dir):
     return _locations(spark, sf_dir)
 
 
-@query()
+def _trim_steps() -> str:
+    """CTEs k0 to k4: each adapter and complement trimmed off the ends of what the one before has left."""
+    out = ["k0 AS (SELECT file_stem, qname, seq FROM base)"]
+    for i, pattern in enumerate(reads.with_complements(_ADAPTERS).values()):
+        n = len(pattern)
+        hit = lambda end: f"len(list_filter(range({n - 1}, {n + 2}), lambda k: levenshtein(\"{end}\"(seq, k), '{pattern}') <= 1)) > 0"  # noqa: E731, B023
+        out.append(f"h{i} AS (SELECT file_stem, qname, seq, CASE WHEN {hit('left')} THEN least({n}, length(seq)) + 1 ELSE 1 END AS s, CASE WHEN {hit('right')} THEN greatest(length(seq) - {n}, 0) ELSE length(seq) END AS e FROM k{i})")
+        out.append(f"k{i + 1} AS (SELECT file_stem, qname, substr(seq, s, greatest(e - s + 1, 0)) AS seq FROM h{i})")
+    return ", ".join(out)
+
+
+@query(f"WITH {SEGMENT_SQL}, {_trim_steps()} SELECT file_stem, qname, seq AS sequence, seq AS quality FROM k4")
 def f10_trim_reads(spark, sf_dir):
     return reads.trim_reads(_trimmable(spark, sf_dir), _ADAPTERS, 1, True)
 
@@ -396,9 +409,9 @@ def a6_trim_by_side(spark, sf_dir):
     return reads.trim_by_side(_locations(spark, sf_dir))
 
 
-@query("SELECT doc_id, reverse(translate(substr(text, 1, 300), 'ACGTUNRYSWKMBDHVacgtunryswkmbdhv', 'TGCAANYRSWMKVHDBtgcaanyrswmkvhdb')) AS turned FROM documents")
+@query("SELECT doc_id, reverse(translate(text, 'ACGTUNRYSWKMBDHVacgtunryswkmbdhv', 'TGCAANYRSWMKVHDBtgcaanyrswmkvhdb')) AS turned FROM documents")
 def f7_reverse_complement(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", sequence.reverse_complement(F.substring("text", 1, 300)).alias("turned"))
+    return table(spark, sf_dir, "documents").select("doc_id", sequence.reverse_complement(F.col("text")).alias("turned"))
 
 
 @query(
@@ -425,13 +438,13 @@ def f1_count_repeats(spark, sf_dir):
 
 
 @query(
-    """WITH t AS (SELECT item_id, substr(regexp_replace(text, '[^ -~]', '', 'g'), 1, 40) AS t FROM benchmark)
+    """WITH t AS (SELECT item_id, regexp_replace(text, '[^ -~]', '', 'g') AS t FROM benchmark)
     SELECT a.item_id AS a, b.item_id AS b, CAST(levenshtein(a.t, b.t) AS INTEGER) AS lev,
     CAST(CASE WHEN length(a.t) = length(b.t) THEN list_sum(list_transform(range(1, length(a.t) + 1), lambda i: CASE WHEN substr(a.t, i, 1) <> substr(b.t, i, 1) THEN 1 ELSE 0 END)) ELSE levenshtein(a.t, b.t) END AS INTEGER) AS ham
     FROM t a JOIN t b ON b.item_id = a.item_id + 1"""
 )
 def f21_edit_distance(spark, sf_dir):
-    b = table(spark, sf_dir, "benchmark").select("item_id", F.substring(F.regexp_replace("text", "[^ -~]", ""), 1, 40).alias("t"))
+    b = table(spark, sf_dir, "benchmark").select("item_id", F.regexp_replace("text", "[^ -~]", "").alias("t"))
     pairs = b.alias("x").join(b.alias("y"), F.col("y.item_id") == F.col("x.item_id") + 1)
     return pairs.select(F.col("x.item_id").alias("a"), F.col("y.item_id").alias("b"), sequence.edit_distance(F.col("x.t"), F.col("y.t")).alias("lev"), sequence.edit_distance(F.col("x.t"), F.col("y.t"), "hamming").alias("ham"))
 
@@ -448,11 +461,11 @@ def f24_axis_step(spark, sf_dir):
 
 @query(
     """SELECT item_id, regexp_extract(made, '(?s)^(.*?)[Nn]{5,}(.*)$', 1) AS left_flank, regexp_extract(made, '(?s)^(.*?)[Nn]{5,}(.*)$', 2) AS right_flank
-    FROM (SELECT item_id, upper(substr(regexp_replace(text, '[Nnß]', 'A', 'g'), 1, 20)) || 'NNNNNNN' || upper(substr(regexp_replace(text, '[Nnß]', 'A', 'g'), 21, 20)) AS made FROM benchmark)"""
+    FROM (SELECT item_id, upper(regexp_replace(text, '[Nnß]', 'A', 'g')) || 'NNNNNNN' || upper(reverse(regexp_replace(text, '[Nnß]', 'A', 'g'))) AS made FROM benchmark)"""
 )
 def s8_reference_flanks(spark, sf_dir):
     clean = F.regexp_replace("text", "[Nnß]", "A")
-    made = F.concat(F.upper(F.substring(clean, 1, 20)), F.lit("N" * 7), F.upper(F.substring(clean, 21, 20)))
+    made = F.concat(F.upper(clean), F.lit("N" * 7), F.upper(F.reverse(clean)))
     left, right = sequence.split_reference(F.col("made"))
     return table(spark, sf_dir, "benchmark").select("item_id", made.alias("made")).select("item_id", left.alias("left_flank"), right.alias("right_flank"))
 
@@ -568,12 +581,45 @@ def _detected(spark, sf_dir):
     return repeats.detect_repeats(alignments.split_segments(segment_rows(spark, sf_dir)))
 
 
-@query()
+def _tract_sql(source: str, key: str, motif: str, least: int, perfect: int, gap: int = 6, tract_gap: int = 18) -> str:
+    """CTEs that end in ``tract`` (key, seq, s, e, n): every tract of ``source`` (key, seq) by exact motifs, as gaps and islands of their places."""
+    size, block = len(motif), motif * perfect
+    return f"""pieces AS (SELECT {key}, seq, unnest(string_split(seq, '{motif}')) AS piece, generate_subscripts(string_split(seq, '{motif}'), 1) AS i FROM {source}),
+motifs AS (SELECT *, sum(length(piece) + {size}) OVER (PARTITION BY {key} ORDER BY i) - {size} + 1 AS p, i = max(i) OVER (PARTITION BY {key}) AS tail FROM pieces),
+marked AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY {key} ORDER BY p) - {size} <= {gap} THEN 0 ELSE 1 END AS new FROM motifs WHERE NOT tail),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY {key} ORDER BY p) AS run FROM marked),
+runs AS (SELECT {key}, run, any_value(seq) AS seq, min(p) AS a, max(p) + {size} AS b, count(*) AS n FROM numbered GROUP BY {key}, run HAVING count(*) >= {least}),
+near AS (SELECT *, CASE WHEN a - lag(b) OVER (PARTITION BY {key} ORDER BY a) <= {tract_gap} THEN 0 ELSE 1 END AS new FROM runs),
+joined AS (SELECT *, sum(new) OVER (PARTITION BY {key} ORDER BY a) AS island FROM near),
+islands AS (SELECT {key}, island, any_value(seq) AS seq, CAST(min(a) AS BIGINT) AS a, CAST(max(b) AS BIGINT) AS b, sum(n) AS n FROM joined GROUP BY {key}, island),
+texts AS (SELECT *, substr(seq, a, b - a) AS t FROM islands),
+headed AS (SELECT *, CASE WHEN strpos(t, '{block}') > 0 THEN strpos(t, '{block}') ELSE 1 END AS h, strpos(reverse(t), reverse('{block}')) AS z FROM texts),
+tract AS (
+  SELECT {key}, seq, CAST(a + h - 1 AS INTEGER) AS s, CAST(CASE WHEN z > 0 AND length(t) - z + 2 - {len(block)} >= h THEN b - z ELSE b - 1 END AS INTEGER) AS e, CAST(n AS INTEGER) AS n FROM headed
+)"""
+
+
+_CUT = f"""WITH {SEGMENT_SQL}, mids AS (SELECT file_stem, qname, mid AS seq FROM split WHERE mid IS NOT NULL),
+{_tract_sql("mids", "file_stem, qname", "CAG", 2, 2)},
+best AS (SELECT * FROM tract QUALIFY row_number() OVER (PARTITION BY file_stem, qname ORDER BY e - s DESC, s) = 1),
+cut AS (
+  SELECT split.file_stem, split.qname, "left", mid, "right", s, e, best.n AS pattern_count, CASE WHEN s IS NULL THEN mid ELSE nullif(substr(mid, 1, s - 1), '') END AS mid_1,
+         nullif(substr(mid, s, e - s + 1), '') AS mid_2, CASE WHEN s IS NOT NULL THEN nullif(substr(mid, e + 1), '') END AS mid_3
+  FROM split LEFT JOIN best ON best.file_stem = split.file_stem AND best.qname = split.qname
+)"""
+
+
+@query(
+    f"""{_CUT} SELECT file_stem, qname, coalesce("left", '') || coalesce(mid_1, '') AS "left", mid_2 AS mid, coalesce(mid_3, '') || coalesce("right", '') AS "right",
+    round_even(length(mid_2) / 3.0, 0) AS repeat_count_full, CAST(len(regexp_extract_all(mid_2, 'CAG')) AS INTEGER) AS repeat_count_match,
+    array_to_string(list_transform(regexp_extract_all(mid_2, '((?:CAG)+)', 1), lambda x: length(x) // 3), ',') AS repeat_count_tracts,
+    s AS pattern_start, e AS pattern_end, pattern_count FROM cut"""
+)
 def f5_detect_repeats(spark, sf_dir):
     return _detected(spark, sf_dir).select("file_stem", "qname", "left", "mid", "right", "repeat_count_full", "repeat_count_match", "repeat_count_tracts", "pattern_start", "pattern_end", "pattern_count")
 
 
-@query()
+@query(f"""WITH {_tract_sql("(SELECT doc_id, text AS seq FROM documents)", "doc_id", "an", 1, 1)} SELECT doc_id, s AS start, e AS "end", n AS repeat_count FROM tract""")
 def f2_all_tracts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.explode(repeats.tracts(F.col("text"), motif="an", min_repeats=1, start_perfect=1, end_perfect=1, choice="all")).alias("t")).select("doc_id", "t.start", "t.end", "t.repeat_count")
@@ -760,11 +806,16 @@ def k3_fasta_lines(spark, sf_dir):
     return sinks.fasta_lines(table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), F.upper(F.replace(F.col("text"), F.lit("ß"), F.lit("s"))).alias("sequence")))
 
 
-@query()
+@query(
+    """SELECT o_orderpriority AS file_stem, CAST(o_orderkey AS VARCHAR) AS qname, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '+c' END AS strand_1, CAST(5 + o_orderkey % 30 AS DOUBLE) AS repeat_count FROM orders"""
+)
 def m1_align_flanks(spark, sf_dir):
     refs = tables.parse_reference("locus", "ACGTTGCAAGTCCATGACGATTGACCTTAGCA" + "N" * 6 + "GGTACCATTGACAGTTCAAGGCTTAACCGTAT")
     key = F.col("o_orderkey")
-    read = F.concat(F.lit(refs[0][3]), F.repeat(F.lit("CAG"), (5 + key % 30).cast("int")), F.lit(refs[1][3]))
+    # One read in three has errors in its flanks: a substitution, a lost base, one too many.
+    left, right = refs[0][3], refs[1][3]
+    flaws = F.when(key % 9 == 1, left[:9] + "T" + left[10:]).when(key % 9 == 4, left[:12] + left[13:]).otherwise(left), F.when(key % 9 == 7, right[:15] + "A" + right[15:]).when(key % 9 == 4, right[:20] + "C" + right[21:]).otherwise(right)
+    read = F.concat(flaws[0], F.repeat(F.lit("CAG"), (5 + key % 30).cast("int")), flaws[1])
     rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("file_stem"), key.cast("string").alias("qname"), F.when(key % 2 == 0, read).otherwise(sequence.reverse_complement(read)).alias("sequence"))
     rows = rows.repartition(spark.sparkContext.defaultParallelism)  # one small file, much work a row
     found = alignments.split_segments(alignments.ordered_flanks(alignments.correct_strand(alignments.dual_flank(aligner.align(rows, refs)))))
@@ -797,12 +848,12 @@ def w11_read_order(spark, sf_dir):
 
 
 @query(
-    f"""WITH {SEGMENT_SQL}, u AS (SELECT *, coalesce("left", '') AS l, coalesce("right", '') AS rt FROM split WHERE mid IS NOT NULL AND k % 50 = 0), s AS (
+    f"""WITH {SEGMENT_SQL}, u AS (SELECT *, coalesce("left", '') AS l, coalesce("right", '') AS rt FROM split WHERE mid IS NOT NULL), s AS (
       SELECT file_stem, qname, 'left' AS segment, l AS bases, -length(l) AS start FROM u UNION ALL SELECT file_stem, qname, 'mid', mid, 0 FROM u UNION ALL SELECT file_stem, qname, 'right', rt, length(mid) FROM u)
     SELECT file_stem, qname, segment, CAST(start + i AS INTEGER) AS position, substr(bases, CAST(i + 1 AS INTEGER), 1) AS base FROM (SELECT *, unnest(range(0, length(bases))) AS i FROM s)"""
 )
 def u8_waterfall_bases(spark, sf_dir):
-    rows = plotdata.waterfall_rows(_waterfall(spark, sf_dir)).filter("cast(qname as long) % 50 = 0")
+    rows = plotdata.waterfall_rows(_waterfall(spark, sf_dir))
     return plotdata.waterfall_bases(plotdata.waterfall_order(rows, 10**9)).select("file_stem", "qname", "segment", "position", "base")
 
 
@@ -1040,7 +1091,10 @@ def o3_first_of_group(spark, sf_dir):
     return counted_reads(spark, sf_dir).groupBy("file_stem").agg(first.alias("r")).select("file_stem", "r.qname", "r.repeat_count")
 
 
-@query()
+@query(
+    f"""WITH {ALIGN_SQL}, picked AS (SELECT file_stem, qname FROM (SELECT DISTINCT file_stem, qname FROM aln) QUALIFY row_number() OVER (PARTITION BY file_stem ORDER BY md5(qname || ':123'), qname) <= 1000)
+    SELECT file_stem, qname, query_start, query_end FROM aln JOIN picked USING (file_stem, qname)"""
+)
 def o5_plot_sample(spark, sf_dir):
     some = reads.downsample(alignment_rows(spark, sf_dir).select("file_stem", "qname").distinct(), 1000)
     return alignment_rows(spark, sf_dir).join(some, ["file_stem", "qname"], "left_semi").select("file_stem", "qname", "query_start", "query_end")
@@ -1052,13 +1106,13 @@ def o7_levels_by_mean(spark, sf_dir):
     return means.select("cluster_number", F.row_number().over(Window.orderBy(F.desc("mean"), "cluster_number")).alias("level"))  # one row for each cluster number
 
 
-@query("SELECT item_id, CAST(i AS INTEGER) AS i, substr(t, CAST(i + 1 AS INTEGER), 1) AS base FROM (SELECT item_id, t, unnest(range(0, length(t))) AS i FROM (SELECT item_id, substr(text, 1, 50) AS t FROM benchmark))")
+@query("SELECT item_id, CAST(i AS INTEGER) AS i, substr(t, CAST(i + 1 AS INTEGER), 1) AS base FROM (SELECT item_id, t, unnest(range(0, length(t))) AS i FROM (SELECT item_id, text AS t FROM benchmark))")
 def m13_alignment_matrix(spark, sf_dir):
-    rows = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.split(F.substring("text", 1, 50), "")).alias("i", "base"))
+    rows = table(spark, sf_dir, "benchmark").select("item_id", F.posexplode(F.split("text", "")).alias("i", "base"))
     return rows.filter("base <> ''")
 
 
-@query()
+@query(f"{_CUT} SELECT file_stem, qname, mid_1, mid_2, mid_3, pattern_count FROM cut")
 def f3_cut_tract(spark, sf_dir):
     split = alignments.split_segments(segment_rows(spark, sf_dir))
     return repeats.cut_tract(split).select("file_stem", "qname", "mid_1", "mid_2", "mid_3", "pattern_count")
@@ -1114,6 +1168,138 @@ def k6_vcf_genotypes(spark, sf_dir):
     return consensus.vcf_rows(rows).groupBy("position", "ref", "query").agg(*has)
 
 
+# ---- sources and sinks: written, then read back -----------------------------------------------------------------------
+
+
+@query("SELECT 'sample' || n_nationkey || '.' || CASE n_nationkey % 4 WHEN 0 THEN 'fastq' WHEN 1 THEN 'fastq.gz' WHEN 2 THEN 'bam' ELSE 'fa' END AS file_name, CAST(n_nationkey + 1 AS BIGINT) AS bytes FROM nation")
+def s1_file_discovery(spark, sf_dir):
+    root = scratch(spark, "files")
+    for r_ in table(spark, sf_dir, "nation").collect():  # one small file for each nation
+        k = r_["n_nationkey"]
+        folder = f"{root}/deep/{k % 3}"
+        sinks.write_bytes(spark, f"{folder}/sample{k}.{('fastq', 'fastq.gz', 'bam', 'fa')[k % 4]}", b"x" * (k + 1))
+        sinks.write_bytes(spark, f"{folder}/notes{k}.txt", b"y")
+    found = catalog.discover(spark, root)
+    return found.select(F.regexp_extract("file_path", "([^/]*)$", 1).alias("file_name"), "bytes")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS qname, props AS sequence, reverse(props) AS quality FROM events")
+def s3_fastq_round_trip(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.concat_ws("\n", F.concat(F.lit("@"), F.col("event_id").cast("string"), F.lit(" more words")), "props", F.lit("+"), F.reverse("props")).alias("value"))
+    path = scratch(spark, "fastq")
+    rows.write.text(path)
+    return sequences.read_sequences(spark, path, "fastq").select("qname", "sequence", "quality")
+
+
+@query("SELECT CAST(item_id AS VARCHAR) AS qname, regexp_replace(upper(replace(text, 'ß', 's')), '[^ACGTN-]', '-', 'g') AS sequence FROM benchmark")
+def s4_fasta_round_trip(spark, sf_dir):
+    rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("name"), F.upper(F.replace(F.col("text"), F.lit("ß"), F.lit("s"))).alias("sequence"))
+    path = scratch(spark, "fasta")
+    sinks.write_fasta(rows, path)
+    return sequences.read_sequences(spark, path, "fasta").select("qname", "sequence")
+
+
+@query("SELECT n_name AS adapter_name, 'ACGT' || n_name AS adapter_sequence FROM nation")
+def s7_adapters(spark, sf_dir):
+    path = scratch(spark, "adapters")
+    rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("adapter_name"), F.concat(F.lit("ACGT"), F.col("n_name")).alias("adapter_sequence"))
+    rows.coalesce(1).write.option("header", True).csv(f"{path}/adapters.csv")
+    return spark.createDataFrame(list(tables.read_adapters(spark, f"{path}/adapters.csv").items()), "adapter_name string, adapter_sequence string")
+
+
+@query(f"""WITH {META_SQL} SELECT file_stem, file_stem || '.fastq.gz' AS file_name, '{RANGES}' AS analysis_ranges, "group", CAST(CAST(time AS INTEGER) AS VARCHAR) AS time FROM meta""")
+def s9_settings_workbook(spark, sf_dir):
+    rows = settings(spark, sf_dir).select(F.concat("file_stem", F.lit(".fastq.gz")).alias("file_name"), "analysis_ranges", "floor", "max_peaks", "group", F.col("time").cast("int").alias("time"))
+    path = f"{scratch(spark, 'settings')}/settings.xlsx"
+    sinks.write_bytes(spark, path, sinks.workbook({"settings": rows}))
+    return tables.read_settings(spark, path).select("file_stem", "file_name", "analysis_ranges", "group", "time")
+
+
+@query("SELECT DISTINCT o_orderpriority AS file_stem, CAST(o_orderkey AS VARCHAR) AS qname FROM orders")
+def s10_exclusions(spark, sf_dir):
+    path = scratch(spark, "exclusions") + "/list.tsv"
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("file_name"), F.col("o_orderkey").cast("string").alias("read_name"), F.lit("by hand").alias("reason"))
+    rows.write.option("header", True).option("sep", "\t").csv(path)
+    return tables.read_exclusions(spark, path)
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, CAST(count(*) AS BIGINT) AS n_reads FROM reads GROUP BY 1")
+def s12_stage_load(spark, sf_dir):
+    root = scratch(spark, "stage")
+    made = counted_reads(spark, sf_dir).groupBy("file_stem").agg(F.count("*").alias("n_reads"))
+    sinks.StageStore(spark, root).save("range_analysis", {"counts": made}, "digest")
+    again = sinks.StageStore(spark, root)
+    if not again.fresh("range_analysis", "digest") or again.fresh("range_analysis", "other"):
+        raise RuntimeError("the manifest doesn't say what was saved")
+    return again.load("range_analysis")["counts"]
+
+
+@query(f"WITH {READS_SQL}, r AS (SELECT file_stem, cluster_number, count(*) AS n FROM reads GROUP BY 1, 2 HAVING count(*) >= 5) SELECT file_stem, cluster_number, CAST(n AS BIGINT) AS n_reads FROM r")
+def s13_resumed_table(spark, sf_dir):
+    root = scratch(spark, "resume")
+    made = plotdata.large_clusters(counted_reads(spark, sf_dir))
+    sinks.StageStore(spark, root).keeper("allele_calling", "digest")("assigned", made)
+    return sinks.StageStore(spark, root).keeper("allele_calling", "digest", True)("assigned", made.limit(0))
+
+
+@query("SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation")
+def k1_workbook(spark, sf_dir):
+    path = f"{scratch(spark, 'book')}/book.xlsx"
+    sinks.write_bytes(spark, path, sinks.workbook({"regions": table(spark, sf_dir, "region"), "nations": table(spark, sf_dir, "nation")}))
+    head, *body = tables.xlsx_rows(sinks.read_bytes(spark, path), 2)
+    return spark.createDataFrame(body, ", ".join(f"{h} string" for h in head))
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, qname AS read_id, repeat_count_full, repeat_count_match, CAST(cluster_number AS VARCHAR) AS repeat_count_tracts FROM reads")
+def k2_written_counts(spark, sf_dir):
+    path = scratch(spark, "counts")
+    sinks.write_counts(counted_reads(spark, sf_dir).withColumn("repeat_count_tracts", F.col("cluster_number").cast("string")), path)
+    kinds = "read_id string, repeat_count_full double, repeat_count_match int, repeat_count_tracts string, file_stem string"
+    return spark.read.schema(kinds).option("header", True).option("sep", "\t").csv(path)
+
+
+@query(
+    f"""WITH {READS_SQL}, c AS (SELECT file_stem, cluster_number, count(*) AS n FROM reads GROUP BY 1, 2)
+    SELECT file_stem || '_cluster' || lpad(CAST(cluster_number AS VARCHAR), 2, '0') || '_n' || n || '_mode' || 17 || '_prop' || printf('%.3f', n / sum(n) OVER (PARTITION BY file_stem)) || '_mid' AS qname, repeat('CAG', CAST(n AS INTEGER)) AS sequence FROM c"""
+)
+def k4_consensus_fasta(spark, sf_dir):
+    n = counted_reads(spark, sf_dir).groupBy("file_stem", "cluster_number").agg(F.count("*").alias("n_reads"))
+    made = n.select("file_stem", "cluster_number", F.col("n_reads").alias("read_count"), *(F.repeat(F.lit(b), F.col("n_reads").cast("int")).alias(f"consensus_{c}") for c, b in (("full", "A"), ("left", "C"), ("mid", "CAG"), ("right", "G"))))
+    path = scratch(spark, "consensus")
+    exports.export_consensus({"cluster_summary": n.withColumn("mode", F.lit(17.0)), "consensus": made}, path)
+    return sequences.read_fasta(spark, f"{path}/consensus_mid").select("qname", "sequence")
+
+
+@query("SELECT l_returnflag AS file_stem, l_linenumber AS cluster_number, CAST(l_partkey AS INTEGER) AS position_on_reference, l_returnflag AS ref, l_linestatus AS query, 'mismatch' AS variant_type FROM lineitem")
+def k5_variants_csv(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("file_stem"), F.col("l_linenumber").alias("cluster_number"), F.col("l_partkey").cast("int").alias("position"), F.col("l_returnflag").alias("ref"), F.col("l_linestatus").alias("query"), F.lit("mismatch").alias("variant_type"))
+    path = scratch(spark, "variants")
+    exports.write_variants(rows, path)
+    return spark.read.schema("file_stem string, cluster_number int, position_on_reference int, ref string, query string, variant_type string").option("header", True).csv(f"{path}/variants_csv")
+
+
+@query(f"WITH {READS_SQL} SELECT file_stem, CAST(count(*) AS BIGINT) AS n FROM reads GROUP BY 1")
+def u7_split_by_key(spark, sf_dir):
+    path = scratch(spark, "split")
+    counted_reads(spark, sf_dir).select("file_stem", "qname").write.partitionBy("file_stem").parquet(path)
+    return spark.read.schema("qname string, file_stem string").parquet(path).groupBy("file_stem").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT p_partkey, CASE WHEN b < 1024 THEN printf('%.1f B', b) ELSE printf('%.1f KB', b / 1024) END AS size,
+    CASE WHEN t < 60 THEN printf('%.1f s', t) WHEN t < 3600 THEN printf('%.1f min', t / 60) ELSE printf('%.2f h', t / 3600) END AS elapsed
+    FROM (SELECT p_partkey, CAST(floor(p_retailprice) AS DOUBLE) AS b, p_partkey * 36.0::DOUBLE AS t FROM part)"""
+)
+def f18_formats(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", sequence.size_text(F.floor("p_retailprice")).alias("size"), sequence.elapsed_text(F.col("p_partkey") * 36.0).alias("elapsed"))
+
+
+@query("SELECT c_custkey, (SELECT n_name FROM nation WHERE n_nationkey = c_nationkey) AS nation, (SELECT count(*) FROM nation) AS n_names, (SELECT n_name FROM nation WHERE n_nationkey = c_custkey) AS unknown FROM customer")
+def f27_named_map(spark, sf_dir):
+    names = sequence.named_map(table(spark, sf_dir, "nation"), "n_nationkey", "n_name")
+    return table(spark, sf_dir, "customer").join(F.broadcast(names)).select("c_custkey", F.try_element_at("named", F.col("c_nationkey")).alias("nation"), F.cardinality("named").cast("long").alias("n_names"), F.try_element_at("named", F.col("c_custkey").cast("int")).alias("unknown"))  # one row
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
