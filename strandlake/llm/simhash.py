@@ -15,7 +15,7 @@ task, its shingles in chunks; columns of other names don't matter; an empty tabl
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 from math import comb
 
@@ -31,26 +31,39 @@ from .components import components
 BITS = 64
 MAX_DIFFER = 4
 SHINGLE = 4
-BLOCK = 4096
+BLOCK = 2048
+#: Of similar documents: words of a shingle, the similarity, bits of 128 that may differ in a pair that is looked at (a similarity of 0.8 is 19 on average,
+#: with a deviation of 4), bits of a segment, rows of a key that are compared at a time.
+STAGE_SHINGLE, STAGE_LEAST, STAGE_DIFFER, STAGE_SEGMENT, STAGE_BLOCK = 5, 0.8, 24, 16, 1024
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42, chunk: int = 1 << 16) -> int:
-    """64-bit SimHash of a text's word shingles, repeats included; zero without a word."""
+def votes(text: str | None, shingle: int, digest: Callable[[bytes], bytes], chunk: int = 1 << 16) -> bytes:
+    """A fingerprint's bytes: each bit is that of most digests of a text's word shingles, repeats included; empty without a word."""
     joined = b" ".join(_WORD.findall((text or "").encode().translate(_LOWER)))
     if not joined:
-        return 0
+        return b""
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     starts, ends = np.append(0, gaps + 1), np.append(gaps, len(joined))
     size = min(shingle, len(starts))
     starts, ends = starts[: len(starts) - size + 1], ends[size - 1 :]
-    votes, total, digest = np.zeros(BITS, np.int64), len(starts), xxhash.xxh64_intdigest
+    count, total = 0, len(starts)
     for at in range(0, total, chunk):
         spans = zip(starts[at : at + chunk].tolist(), ends[at : at + chunk].tolist(), strict=True)
-        h = np.array([digest(joined[a:b], seed) for a, b in spans], ">u8")
-        votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(votes * 2 > total).tobytes(), "big")
+        raw = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in spans]), np.uint8)
+        count = count + np.unpackbits(raw.reshape(min(chunk, total - at), -1), axis=1).sum(0, dtype=np.int64)
+    return np.packbits(count * 2 > total).tobytes()
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42, chunk: int = 1 << 16) -> int:
+    """64-bit SimHash of a text's word shingles by XXH64; zero without a word."""
+    return int.from_bytes(votes(text, shingle, lambda x: xxhash.xxh64_digest(x, seed), chunk), "big")
+
+
+def wide_fingerprint(text: str | None, shingle: int = STAGE_SHINGLE) -> int:
+    """128-bit SimHash of a text's word shingles by XXH3; zero without a word."""
+    return int.from_bytes(votes(text, shingle, xxhash.xxh3_128_digest), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -87,14 +100,14 @@ def variants(values: DataFrame, differ: int = MAX_DIFFER) -> DataFrame:
     return spread.withColumn("key", F.call_function("shiftleft", (first + F.col("bit")).cast("long"), F.lit(56)).bitwiseOR(F.col("value").bitwiseAND(mask))).drop("segment", "value", "bit")
 
 
-def popcount(x: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x) if hasattr(np, "bitwise_count") else np.unpackbits(x.view(np.uint8).reshape(*x.shape, 8), axis=-1).sum(-1)
+def distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints, rows of one or more 64-bit words."""
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64)
 
 
-def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
-    """Links (index, index) that join what is within ``differ`` bits to a spanning forest."""
-    n, out = len(fps), []
-    parent = list(range(n))
+def forest(n: int, pairs: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of the pairs of ``n`` things that join what wasn't joined by the ones before."""
+    parent, out = list(range(n)), []
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -102,48 +115,71 @@ def forest(fps: np.ndarray, differ: int) -> list[tuple[int, int]]:
             i = parent[i]
         return i
 
-    for i in range(n):
-        for j in (np.flatnonzero(popcount(fps[i + 1 :] ^ fps[i]) <= differ) + i + 1).tolist():
-            a, b = root(i), root(j)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-                out.append((i, j))
+    for i, j in pairs:
+        a, b = root(i), root(j)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((i, j))
     return out
 
 
-def key_links(batches: Iterator[pa.RecordBatch], differ: int) -> Iterator[pa.RecordBatch]:
-    """a, b: the links of each key, from rows (key, fp) sorted by key. Holds one batch and the fingerprints of one key."""
-    now, held = None, []
-
-    def batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        both = np.array(found, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+def near_pairs(keys: np.ndarray, fps: np.ndarray, differ: int, few: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of rows with equal keys, which are sorted, whose fingerprints differ by ``differ`` bits at most; the nearest pairs first.
 
-    def close() -> list[tuple[int, int]]:
-        fps = np.concatenate(held) if held else np.empty(0, np.uint64)
-        signed = fps.view(np.int64).tolist()
-        return [(signed[i], signed[j]) for i, j in forest(fps, differ)] if len(fps) > 1 else []
+    Rows of small groups are compared with the row some places on, all at a time; a large group row by row.
+    """
+    cuts = np.flatnonzero(np.diff(keys)) + 1
+    starts, ends = np.append(0, cuts), np.append(cuts, len(keys))
+    left = np.repeat(ends, ends - starts) - np.arange(len(keys)) - 1  # rows of the same key behind each row
+    small = np.repeat(ends - starts <= few, ends - starts)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def put(i: np.ndarray, j: np.ndarray) -> None:
+        d = distance(fps[i], fps[j])
+        near = d <= differ
+        if near.any():
+            found.append((i[near], j[near], d[near]))
+
+    at = np.flatnonzero(small & (left > 0))
+    for lag in range(1, few):
+        at = at[left[at] >= lag]
+        if not len(at):
+            break
+        put(at, at + lag)
+    for i in np.flatnonzero(~small & (left > 0)).tolist():
+        rest = np.arange(i + 1, i + 1 + left[i])
+        put(np.full(len(rest), i), rest)
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    i, j, d = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(d, kind="stable")
+    return i[order], j[order]
+
+
+def edge_names(words: int) -> list[str]:
+    return [f"{side}{k}" for side in "ab" for k in range(words)]
+
+
+def key_links(batches: Iterator[pa.RecordBatch], differ: int, words: int = 1) -> Iterator[pa.RecordBatch]:
+    """a, b (a column for each word): the links of each key, from rows (key, words) sorted by key. Holds one batch and the fingerprints of one key."""
+    keys, fps = np.empty(0, np.int64), np.empty((0, words), np.uint64)
+
+    def links_of(n: int) -> pa.RecordBatch:
+        i, j = near_pairs(keys[:n], fps[:n], differ)
+        found = forest(n, zip(i.tolist(), j.tolist(), strict=True))
+        i, j = np.array(found, np.int64).reshape(-1, 2).T
+        columns = [fps[side, k].view(np.int64) for side in (i, j) for k in range(words)]
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=edge_names(words))
 
     for rows in batches:
-        keys = rows.column(0).to_numpy(zero_copy_only=False)
-        fps = rows.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
-        if not len(keys):
-            continue
-        cuts = np.flatnonzero(np.diff(keys)) + 1
-        starts, ends = np.append(0, cuts), np.append(cuts, len(keys))
-        out: list[tuple[int, int]] = []
-        inner = np.ones(len(starts), bool)
-        inner[[0, -1]] = False  # the first and last key may go on in another batch
-        two = starts[inner & (ends - starts == 2)]
-        near = two[popcount(fps[two] ^ fps[two + 1]) <= differ]
-        out.extend(zip(fps[near].view(np.int64).tolist(), fps[near + 1].view(np.int64).tolist(), strict=True))
-        for g in [0, *np.flatnonzero(inner & (ends - starts > 2)).tolist(), *([len(starts) - 1] if len(starts) > 1 else [])]:
-            if keys[starts[g]] != now:
-                out += close()
-                now, held = keys[starts[g]], []
-            held.append(fps[starts[g] : ends[g]])
-        yield batch(out)
-    yield batch(close())
+        more = [rows.column(k).to_numpy(zero_copy_only=False) for k in range(words + 1)]
+        keys = np.concatenate([keys, more[0]])
+        fps = np.concatenate([fps, np.stack([x.view(np.uint64) for x in more[1:]], 1)])
+        if len(keys):
+            n = int(np.searchsorted(keys, keys[-1]))  # the last key may go on in the next batch
+            yield links_of(n)
+            keys, fps = keys[n:], fps[n:].copy()
+    yield links_of(len(keys))
 
 
 def ball_links(hot: DataFrame, differ: int) -> DataFrame:
@@ -174,7 +210,7 @@ def links(reps: DataFrame, differ: int = MAX_DIFFER, block: int = BLOCK) -> Data
         around = ball_links(common.staged(keyed.filter("hot").select("fp").distinct(), "hot", True), differ)
         keyed = keyed.filter("hot IS NULL")
     spread = keyed.select("key", "fp").repartition("key").sortWithinPartitions("key", "fp")
-    found = spread.mapInArrow(lambda batches: key_links(batches, differ), "a long, b long")
+    found = spread.mapInArrow(lambda batches: key_links(batches, differ), "a0 long, b0 long").toDF("a", "b")
     return common.staged((found.unionAll(around) if around is not None else found).distinct(), "links", True)
 
 
@@ -194,8 +230,110 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
+def wide_variants(reps: DataFrame, width: int = STAGE_SEGMENT) -> DataFrame:
+    """key, hi, lo: one row for each of the 128 bits, which is the wildcard of its segment of ``width`` bits; the key packs the bit and the segment's others."""
+    spread = reps.select("hi", "lo", F.explode(F.sequence(F.lit(0), F.lit(2 * BITS - 1))).alias("bit"))
+    word = F.when(F.col("bit") < BITS, F.col("lo")).otherwise(F.col("hi"))
+    low = F.expr(f"(bit % {BITS}) div {width} * {width}").cast("int")
+    value = F.call_function("shiftrightunsigned", word, low).bitwiseAND(F.lit((1 << width) - 1))
+    mask = F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % width))
+    return spread.select(F.call_function("shiftleft", F.col("bit").cast("long"), F.lit(width)).bitwiseOR(value.bitwiseAND(mask)).alias("key"), "hi", "lo")
+
+
+def wide_links(reps: DataFrame, differ: int = STAGE_DIFFER, width: int = STAGE_SEGMENT, block: int = STAGE_BLOCK) -> DataFrame:
+    """a0, a1, b0, b1: links (hi, lo) between distinct wide fingerprints that meet under a key and differ by ``differ`` bits at most.
+
+    Keys with more than ``block`` fingerprints are known from counts made with map-side combining; their rows are dealt to blocks, each pair of blocks is a
+    key of its own, and so no task holds more than two blocks, and no pair is left out.
+    """
+    keyed = wide_variants(reps, width)
+    heavy = common.staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "heavy", True)
+    n = heavy.limit(common.BROADCAST_ROWS + 1).count()
+    rows = keyed.withColumn("pair", F.lit(0).cast("long"))
+    if n:
+        marked = keyed.join(F.broadcast(heavy) if n <= common.BROADCAST_ROWS else heavy, "key", "left")
+        part = F.pmod(F.xxhash64("hi", "lo"), F.coalesce("parts", F.lit(1))).cast("int")
+        spread = marked.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+        # A block meets itself once, and each other block once.
+        rows = spread.select("key", "hi", "lo", (F.least("part", "other").cast("long") * (1 << 31) + F.greatest("part", "other")).alias("pair"))
+    rows = rows.select(F.xxhash64("key", "pair").alias("place"), "hi", "lo") if n else rows.select(F.col("key").alias("place"), "hi", "lo")
+    spread = rows.repartition("place").sortWithinPartitions("place", "hi", "lo")
+    names = edge_names(2)
+    return common.staged(spread.mapInArrow(lambda batches: key_links(batches, differ, 2), ", ".join(f"{c} long" for c in names)).distinct(), "links", True)
+
+
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The distinct hashes of a text's word shingles (of the whole sequence of fewer words)."""
+    words = _WORD.findall((text or "").encode().translate(_LOWER))
+    size = min(shingle, len(words))
+    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + size])) for i in range(len(words) - size + 1)] if words else [], np.uint64)).view(np.int64)
+
+
+def _wide_prints(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, hi, lo from (doc_id, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, 1):
+            raw = b"".join(wide_fingerprint(x, shingle).to_bytes(16, "big") for x in batch.column(1).to_pylist())
+            both = np.frombuffer(raw, ">i8").astype(np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1))], names=["doc_id", "hi", "lo"])
+
+    return docs.mapInArrow(run, "doc_id long, hi long, lo long")
+
+
+def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
+    """rep, shingles of rows (rep, hi, lo, text) whose text has that fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, 3, 200):
+            kept = []
+            for rep, hi, lo, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if wide_fingerprint(text, shingle) == (hi % (1 << BITS)) << BITS | lo % (1 << BITS):
+                    kept.append((rep, shingle_hashes(text, shingle)))
+            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in kept], pa.int64()), pa.array([x for _, x in kept], pa.list_(pa.int64()))], names=["rep", "shingles"])
+
+    return rows.mapInArrow(run, "rep long, shingles array<long>")
+
+
+def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
+    """Those of the edges (a, b: rep) whose documents' shingle sets have a Jaccard similarity of ``least`` or more.
+
+    Only the texts of documents with an edge are read again. A document without an id can't be found again: its edges stand.
+    """
+    named = edges.select(F.col("a").alias("rep")).unionAll(edges.select(F.col("b").alias("rep"))).distinct()
+    wanted = common.staged(reps.join(named, "rep").filter("first_id IS NOT NULL").select("rep", "hi", "lo", "first_id"), "wanted", True)
+    few = wanted.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
+    rows = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"] == wanted["first_id"]).select("rep", "hi", "lo", "text")
+    sets = common.staged(_shingle_sets(rows, shingle).dropDuplicates(["rep"]), "shingles")
+    both = edges.join(sets.toDF("a", "ours"), "a", "left").join(sets.toDF("b", "theirs"), "b", "left")
+    shared = F.size(F.array_intersect("ours", "theirs"))
+    return both.filter(F.coalesce(shared >= least * (F.size("ours") + F.size("theirs") - shared), F.lit(True))).select("a", "b")
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", differ: int = STAGE_DIFFER, least: float = STAGE_LEAST, shingle: int = STAGE_SHINGLE, width: int = STAGE_SEGMENT) -> DataFrame:
+    """doc_id, component_id of every row: documents joined by pairs whose shingle sets are similar to ``least`` or more.
+
+    Pairs are found by 128-bit fingerprints with the deletion variants of ``near_duplicates``, in segments of ``width`` bits: a pair is looked at if some segment
+    differs by one bit at most and the whole by ``differ`` bits. Each key's pairs are thinned to a forest of the nearest ones, whose similarity is then
+    counted on the shingles themselves.
+    """
+    body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = common.staged(_wide_prints(body, shingle), "fingerprints")
+    with common.scratch(docs.sparkSession) as stage:
+        reps = stage(prints.groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id()), "reps", True)
+        found = wide_links(reps.select("hi", "lo"), differ, width)
+        ends = [reps.select(F.col("hi").alias(f"{x}0"), F.col("lo").alias(f"{x}1"), F.col("rep").alias(x)) for x in "ab"]
+        edges = stage(found.join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"]).select("a", "b"), "pairs", True)
+        roots = components(verified(edges, reps, body, least, shingle))
+        grouped = reps.join(roots, reps["rep"] == roots["node"]).select("rep", "first_id", "root")
+        nearest = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
+        moved = grouped.select("rep", "root").join(nearest, "root").select("rep", "least_id")
+        classes = common.staged(reps.join(moved, "rep", "left").select("hi", "lo", F.coalesce("least_id", "first_id").alias("component_id")), "classes", True)
+    return prints.join(classes, ["hi", "lo"]).select("doc_id", "component_id")
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: that with the least id (all rows of that id, where it repeats)."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = common.staged(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    """``docs`` with one document of each group of similar ones: that with the least id (all rows of that id, where it repeats)."""
+    found = similar_documents(docs, id_col, text_col, **options)
+    gone = common.staged(found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone", True)
     return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")

@@ -1,6 +1,8 @@
 """The pipeline's stages, and the registry with and without the training-data operators."""
 
 import os
+import random
+import re
 import shutil
 import subprocess
 import sys
@@ -32,7 +34,7 @@ def test_stages_keep_columns_and_take_effect(spark):
         elif name == "toxicity":
             want = {r.doc_id for r in toxicity.score_documents(now, labels).collect() if not r.predicted}
         elif name == "simhash_near_dedup":
-            want = {r.component_id for r in simhash.near_duplicates(now).collect()}
+            want = {r.component_id for r in simhash.similar_documents(now).collect()}
         else:
             want = before - {r.doc_id for r in decontam.leaks(now, bench).collect()}
         assert got == want
@@ -42,6 +44,64 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in now.collect()}
 
 
+def test_near_dedup_matches_exact_similarity(spark):
+    """Against the components of all pairs whose five-word shingle sets have a Jaccard similarity of 0.8 or more."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rng = random.Random(8)
+    rows = [tuple(r) for r in docs.collect()]
+    for k in range(150):
+        words = rows[rng.randrange(len(rows))][1].split()
+        for at in rng.sample(range(len(words)), max(1, len(words) // 60)) if words else ():
+            words[at] = rng.choice(["other", "words", "", "a b"])
+        rows.append((10_000 + k, " ".join(words)))
+    sets = {}
+    for i, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets[i] = frozenset(tuple(words[j : j + 5]) for j in range(max(1, len(words) - 4))) if words else frozenset()
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    near = 0
+    for a in sets:
+        for b in sets:
+            if a < b and (sets[a] == sets[b] or 0.8 * (len(sets[a]) + len(sets[b])) <= 1.8 * len(sets[a] & sets[b])):
+                near += sets[a] != sets[b]
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    want = {i: root(i) for i in sets}
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert near > 50
+    assert all(want[got[i]] == want[i] for i in got)  # nothing is joined that isn't similar
+    gone, ideal = (sum(c[i] != i for i in c) for c in (got, want))
+    assert gone >= 0.95 * ideal
+    blocks = {r for r in simhash.wide_links(fingerprints(spark, rows), block=3).collect()}
+    whole = {r for r in simhash.wide_links(fingerprints(spark, rows)).collect()}
+    assert classes(blocks) == classes(whole)
+
+
+def fingerprints(spark, rows):
+    both = {divmod(simhash.wide_fingerprint(t), 1 << 64) for _, t in rows}
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    return spark.createDataFrame([(signed(a), signed(b)) for a, b in both], "hi long, lo long")
+
+
+def classes(links):
+    parent = {}
+
+    def root(i):
+        while parent.setdefault(i, i) != i:
+            i = parent[i]
+        return i
+
+    for r in links:
+        parent[root((r.a0, r.a1))] = root((r.b0, r.b1))
+    return {frozenset(i for i in parent if root(i) == root(j)) for j in list(parent)}
+
+
 def test_stages_take_odd_rows(spark):
     from pyspark.sql import functions as F
 
