@@ -230,33 +230,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
-def wide_variants(reps: DataFrame, width: int = STAGE_SEGMENT) -> DataFrame:
-    """key, hi, lo: one row for each of the 128 bits, which is the wildcard of its segment of ``width`` bits; the key packs the bit and the segment's others."""
-    spread = reps.select("hi", "lo", F.explode(F.sequence(F.lit(0), F.lit(2 * BITS - 1))).alias("bit"))
-    word = F.when(F.col("bit") < BITS, F.col("lo")).otherwise(F.col("hi"))
-    low = F.expr(f"(bit % {BITS}) div {width} * {width}").cast("int")
-    value = F.call_function("shiftrightunsigned", word, low).bitwiseAND(F.lit((1 << width) - 1))
-    mask = F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % width))
-    return spread.select(F.call_function("shiftleft", F.col("bit").cast("long"), F.lit(width)).bitwiseOR(value.bitwiseAND(mask)).alias("key"), "hi", "lo")
+def wide_values(reps: DataFrame, width: int = STAGE_SEGMENT) -> DataFrame:
+    """hi, lo, segment, value: one row for each segment of ``width`` bits."""
+    word = lambda i: F.col("lo" if i * width < BITS else "hi")
+    values = [F.struct(F.lit(i).alias("segment"), F.shiftrightunsigned(word(i), i * width % BITS).bitwiseAND(F.lit((1 << width) - 1)).alias("value")) for i in range(2 * BITS // width)]
+    return reps.select("hi", "lo", F.inline(F.array(*values)))
+
+
+def wide_variants(values: DataFrame, width: int = STAGE_SEGMENT) -> DataFrame:
+    """``values`` with a key for each wildcard bit of its segment; the key packs segment, wildcard and the segment's other bits."""
+    spread = values.withColumn("bit", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
+    mask = F.bitwise_not(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit")))
+    key = F.call_function("shiftleft", (F.col("segment") * width + F.col("bit")).cast("long"), F.lit(width)).bitwiseOR(F.col("value").bitwiseAND(mask))
+    return spread.withColumn("key", key).drop("segment", "value", "bit")
 
 
 def wide_links(reps: DataFrame, differ: int = STAGE_DIFFER, width: int = STAGE_SEGMENT, block: int = STAGE_BLOCK) -> DataFrame:
     """a0, a1, b0, b1: links (hi, lo) between distinct wide fingerprints that meet under a key and differ by ``differ`` bits at most.
 
-    Keys with more than ``block`` fingerprints are known from counts made with map-side combining; their rows are dealt to blocks, each pair of blocks is a
-    key of its own, and so no task holds more than two blocks, and no pair is left out.
+    Keys that may have more than ``block`` fingerprints are known from counts of segment values; their rows are dealt to blocks, each pair of blocks is a
+    key of its own, and so no task holds many blocks, and no pair is left out.
     """
-    keyed = wide_variants(reps, width)
-    heavy = common.staged(keyed.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("key", F.ceil(F.col("n") / block).cast("int").alias("parts")), "heavy", True)
+    values = wide_values(reps, width)
+    heavy = common.staged(values.groupBy("segment", "value").agg(F.count("*").alias("n")).filter(F.col("n") > block // 2), "heavy", True)
+    keyed = wide_variants(values, width)
     n = heavy.limit(common.BROADCAST_ROWS + 1).count()
-    rows = keyed.withColumn("pair", F.lit(0).cast("long"))
+    rows = keyed.select(F.col("key").alias("place"), "hi", "lo")
     if n:
-        marked = keyed.join(F.broadcast(heavy) if n <= common.BROADCAST_ROWS else heavy, "key", "left")
-        part = F.pmod(F.xxhash64("hi", "lo"), F.coalesce("parts", F.lit(1))).cast("int")
-        spread = marked.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
+        hot = wide_variants(heavy, width).groupBy("key").agg(F.ceil((F.sum("n") + block // 2) / block).cast("int").alias("parts"))  # a second, light value has half a block at most
+        marked = keyed.join(F.broadcast(hot) if n * width <= common.BROADCAST_ROWS else hot, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        spread = marked.withColumn("part", F.pmod(F.xxhash64("hi", "lo"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         # A block meets itself once, and each other block once.
-        rows = spread.select("key", "hi", "lo", (F.least("part", "other").cast("long") * (1 << 31) + F.greatest("part", "other")).alias("pair"))
-    rows = rows.select(F.xxhash64("key", "pair").alias("place"), "hi", "lo") if n else rows.select(F.col("key").alias("place"), "hi", "lo")
+        rows = spread.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("place"), "hi", "lo")
     spread = rows.repartition("place").sortWithinPartitions("place", "hi", "lo")
     names = edge_names(2)
     return common.staged(spread.mapInArrow(lambda batches: key_links(batches, differ, 2), ", ".join(f"{c} long" for c in names)).distinct(), "links", True)
