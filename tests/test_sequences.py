@@ -252,3 +252,34 @@ def test_consensus_threshold_is_the_disagreement_allowed():
     longer = ["AACCGGTT"] * 6 + ["AACCAGGTT"] * 4
     assert consensus.consensus(longer, 0.5) == "AACCGGTT"
     assert consensus.consensus(longer, 0.05) == "AACCNGGTT"
+
+
+def plain_local_score(query, ref, match=2, mismatch=-4, gap=-4):
+    best, row = 0, [0] * (len(ref) + 1)
+    for x in query:
+        new = [0]
+        for j, y in enumerate(ref, 1):
+            new.append(max(0, row[j - 1] + (match if x == y else mismatch), row[j] + gap, new[-1] + gap))
+        best, row = max(best, *new), new
+    return best
+
+
+def test_alignments_of_a_batch_match_the_plain_programme(monkeypatch):
+    rng = random.Random(3)
+    ref = "".join(rng.choice("ACGT") for _ in range(40))
+    queries = ["", "T" * 7, ref, ref.lower()]
+    for _ in range(40):
+        flawed = "".join(c if rng.random() > 0.1 else rng.choice(["", c + "A", "T"]) for c in ref)
+        queries.append("".join(rng.choice("ACGT") for _ in range(rng.randint(0, 30))) + flawed[rng.randint(0, 10) :])
+    alone = [aligner.local_alignment(q, ref) for q in queries]
+    for cells in (1, 5000, 1 << 23):
+        monkeypatch.setattr(aligner, "CELLS", cells)
+        assert aligner.local_alignments(queries, ref) == alone
+    for q, got in zip(queries, alone, strict=True):
+        assert (got[0] if got else 0) == plain_local_score(q.upper(), ref)
+        if got:
+            score, i, _, j, _, moves = got
+            for x in moves:
+                score += {"M": -2 if q.upper()[i] == ref[j] else 4, "I": 4, "D": 4}[x]
+                i, j = i + (x != "D"), j + (x != "I")
+            assert (score, i, j) == (0, got[2], got[4])
