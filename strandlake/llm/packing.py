@@ -206,11 +206,23 @@ def dominated(filling: tuple[int, ...], spare: int, room: int) -> bool:
 
 
 def fillings(lengths: list[int], counts: dict[int, int], room: int, work: _Work) -> Iterator[tuple[int, ...]]:
-    """All undominated fillings of ``room``, least waste first and then longest pieces first, made one by one.
+    """All undominated fillings of ``room``, least waste first, made one by one.
 
-    ``lengths`` are those left that fit, longest first. Bit sets of the sums that the lengths from some place on can make lead straight to the
-    fillings of each sum, so no step is lost on sums that can't be reached.
+    ``lengths`` are those left that fit, longest first. A piece of the room's length dominates all else. Pairs that fill the room are looked up; then bit
+    sets of the sums that the lengths from some place on can make lead straight to the fillings of each sum, so no step is lost on sums that can't be reached.
     """
+    if counts.get(room):
+        yield (room,)
+        return
+    pairs = set()
+    for x in lengths:
+        if 2 * x < room:
+            break
+        if counts.get(room - x, 0) > (2 * x == room):
+            pairs.add((x, room - x))
+            yield x, room - x
+    if work.spent(1 + len(lengths) // 16):
+        return
     mask = (1 << room + 1) - 1
     reach = [1]
     for x in reversed(lengths):
@@ -246,7 +258,7 @@ def fillings(lengths: list[int], counts: dict[int, int], room: int, work: _Work)
             spare = sum(1 << x for x in lengths if counts[x] > used[x])
             if work.spent(1 + len(lengths) // 16):
                 return
-            if not dominated(filling, spare, room):
+            if filling not in pairs and not dominated(filling, spare, room):
                 yield filling
         if work.left < 0:
             return
@@ -311,10 +323,11 @@ def bin_completion(counts: dict[int, int], size: int = SIZE, steps: int = STEPS)
         if wasted > (best_n - 1) * size - total:
             continue
         rest = {x: n for x, n in left.items() if n}
+        work.spent(1 + len(order) // 16)
         if not rest:
             best, best_n = list(done), used
             continue
-        if seen % 8 == 0 or len(rest) <= 32:
+        if seen % 64 == 0 or len(rest) <= 64:
             work.spent(8 * len(rest))
             more = best_fit(rest, size)
             if used + sum(n for _, n in more) < best_n:
