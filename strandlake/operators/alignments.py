@@ -20,16 +20,21 @@ def aligned_only(rows: DataFrame) -> DataFrame:
 
 def with_reference(rows: DataFrame, refs: DataFrame) -> DataFrame:
     """ref_id and ref_flank by reference name; ``refs`` has two rows for each locus."""
-    return rows.join(F.broadcast(refs.select("rname", "ref_id", "ref_flank")), "rname", "left")
+    return rows.join(refs.select("rname", "ref_id", "ref_flank"), "rname", "left")  # small enough for Spark to broadcast by itself, as a rule
+
+
+def best_per_flank(rows: DataFrame) -> DataFrame:
+    """The best alignment of each read on each flank: highest mapq, then longest, then first."""
+    best = F.row_number().over(Window.partitionBy(*READ, "rname").orderBy(F.desc("mapq"), F.desc("alignment_length_on_ref"), "ref_start", "cigar"))
+    return rows.withColumn("_best", best).filter("_best = 1").drop("_best")
 
 
 def dual_flank(rows: DataFrame) -> DataFrame:
     """The best alignment on each flank (highest mapq, then longest, then first) of reads on both flanks and on one strand."""
     by_read = Window.partitionBy(*READ)
     both = F.size(F.collect_set("rname").over(by_read)) == 2
-    best = F.row_number().over(Window.partitionBy(*READ, "rname").orderBy(F.desc("mapq"), F.desc("alignment_length_on_ref"), "ref_start", "cigar"))
-    kept = aligned_only(rows).withColumns({"_both": both, "_best": best}).filter("_both and _best = 1")
-    return kept.withColumn("_one", F.min("strand").over(by_read) == F.max("strand").over(by_read)).filter("_one").drop("_both", "_best", "_one")
+    kept = best_per_flank(aligned_only(rows).withColumn("_both", both).filter("_both"))
+    return kept.withColumn("_one", F.min("strand").over(by_read) == F.max("strand").over(by_read)).filter("_one").drop("_both", "_one")
 
 
 def correct_strand(rows: DataFrame) -> DataFrame:

@@ -323,6 +323,12 @@ def assign_clusters(rows: DataFrame, cluster_by: str | tuple[str, ...] | None =
     return rows.withColumns({"cluster_number": number.cast("int")} | labels)
 
 
+def relabelled_by_mean(rows: DataFrame, value: str = "repeat_count") -> DataFrame:
+    """(file_stem, cluster_number, relabelled): clusters of each sample numbered from the lowest mean; the lower number wins ties."""
+    means = rows.groupBy("file_stem", "cluster_number").agg(F.avg(value).alias("_mean"))
+    return means.select("file_stem", "cluster_number", F.row_number().over(Window.partitionBy("file_stem").orderBy("_mean", "cluster_number")).alias("relabelled"))
+
+
 def renumber_map(rows: DataFrame) -> DataFrame:
     """(file_stem, cluster_number_old, cluster_number, n_reads, proportion): clusters numbered from the largest; the lower number wins ties."""
     tally = rows.groupBy("file_stem", F.col("cluster_number").alias("cluster_number_old")).agg(F.count("*").alias("n_reads"))

@@ -148,12 +148,17 @@ def distribution_summary(freq: DataFrame, bounded: DataFrame) -> DataFrame:
     )
 
 
+def finite_only(rows: DataFrame) -> DataFrame:
+    """``rows`` with NaN and infinite doubles made null."""
+    return rows.select(*(F.when(~F.isnan(c) & (F.abs(c) != float("inf")), F.col(c)).alias(c) if t == "double" else F.col(c) for c, t in rows.dtypes))
+
+
 def control_samples(summary: DataFrame, meta: DataFrame, metric: str = "median_length", selection: str = "flagged", strict: bool = False) -> DataFrame:
     """Rows that may set a group's control: not excluded, in a group, with the metric; flagged, earliest or all of them.
 
     ``strict`` takes any value of the flag as true; otherwise it must read as true.
     """
-    rows = summary.join(meta, "file_stem").filter(F.col("exclude").isNull() & F.col(metric).isNotNull() & F.col("group").isNotNull())
+    rows = finite_only(summary).join(meta, "file_stem").filter(F.col("exclude").isNull() & F.col(metric).isNotNull() & F.col("group").isNotNull())
     if selection == "flagged":
         flag = F.col("group_control_sample").cast("string")
         return rows.filter(flag.isNotNull() if strict else F.lower(flag).isin("true", "t", "1", "yes", "y"))

@@ -24,10 +24,14 @@ def name_multiplicity(reads: DataFrame) -> DataFrame:
 def duplication_rate(multiplicity: DataFrame) -> DataFrame:
     """Share of duplicated names of each sample, and whether it lies over two deviations from the mean of all samples."""
     dup = F.coalesce(F.sum(F.when(F.col("occurrences") > 1, F.col("proportion"))), F.lit(0.0))
-    rate = multiplicity.groupBy("file_stem").agg(dup.alias("duplication_rate"))
-    cohort = rate.agg(F.avg("duplication_rate").alias("m"), F.stddev_samp("duplication_rate").alias("s"))
-    out = rate.join(F.broadcast(cohort))  # one row
-    return out.select("file_stem", "duplication_rate", F.coalesce(F.abs(F.col("duplication_rate") - F.col("m")) > 2 * F.col("s"), F.lit(False)).alias("outlier"))
+    return cohort_outliers(multiplicity.groupBy("file_stem").agg(dup.alias("duplication_rate")), "duplication_rate")
+
+
+def cohort_outliers(samples: DataFrame, value: str) -> DataFrame:
+    """``samples`` with outlier: whether a sample's value lies over two deviations from the mean of all; a lone sample doesn't."""
+    cohort = samples.agg(F.avg(value).alias("_m"), F.stddev_samp(value).alias("_s"))
+    far = F.abs(F.col(value) - F.col("_m")) > 2 * F.col("_s")
+    return samples.join(F.broadcast(cohort)).withColumn("outlier", F.coalesce(far, F.lit(False))).drop("_m", "_s")  # one row
 
 
 def compare_read_counts(before: DataFrame, after: DataFrame, names: tuple[str, str] = ("before", "after")) -> DataFrame:

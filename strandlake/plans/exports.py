@@ -1,4 +1,4 @@
-"""Files of a run beside its stage tables: workbooks of summaries, consensus FASTA, variants as CSV and VCF.
+"""Files of a run beside its stage tables: workbooks and reports of summaries, consensus FASTA, variants as CSV and VCF.
 
 Files of many samples are written by the executors, one folder for each sample; only workbooks of small summary tables are made on the driver.
 """
@@ -6,6 +6,7 @@ Files of many samples are written by the executors, one folder for each sample;
 from __future__ import annotations
 
 from datetime import date
+from html import escape
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -76,6 +77,26 @@ def export_variants(variants: DataFrame, refs: list[tuple[str, str, str, str]],
     write_lines(vcf_lines(cohort, refs[0][1], length, reference, "cohort"), f"{path}/vcf_combined", "cohort")
 
 
+def bars(rows: list[tuple[str, float]], width: int = 600) -> str:
+    """A bar chart as SVG: (label, value) from top to bottom."""
+    most = max((v for _, v in rows), default=0) or 1
+    parts = [f'<text x="0" y="{16 * i + 12}">{escape(label)}</text><rect x="120" y="{16 * i + 2}" width="{(width - 200) * v / most:.1f}" height="12"/><text x="{125 + (width - 200) * v / most:.1f}" y="{16 * i + 12}">{v:g}</text>' for i, (label, v) in enumerate(rows)]
+    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{16 * len(rows) + 4}" font-size="11" fill="#345">{"".join(parts)}</svg>'
+
+
+def report(title: str, said: dict, tables: dict[str, DataFrame], most: int = 200) -> str:
+    """A page with a module's parameters and its summary tables: their first ``most`` rows and how many there are; the tables hold them all."""
+    cell = lambda v: "" if v is None else escape(f"{v:.6g}" if isinstance(v, float) else str(v))
+    line = lambda tag, values: "<tr>" + "".join(f"<{tag}>{cell(v)}</{tag}>" for v in values) + "</tr>"
+    parts = [f"<h1>{escape(title)}</h1><h2>Parameters</h2><table>{''.join(line('td', x) for x in sorted(said.items()))}</table>"]
+    for name, df in tables.items():
+        n, rows = df.count(), df.limit(most).collect()
+        chart = bars([(f"{r['bin']:g}", r["n"]) for r in df.groupBy("bin").agg(F.sum("n").alias("n")).orderBy("bin").limit(most).collect()]) if {"bin", "n"} <= set(df.columns) else ""
+        note = f"<p>{most} of {n} rows</p>" if n > most else ""
+        parts.append(f"<h2>{escape(name.replace('_', ' '))}</h2>{chart}{note}<table>{line('th', df.columns)}{''.join(line('td', r) for r in rows)}</table>")
+    return f"<!DOCTYPE html><html lang=\"en\"><head><meta charset=\"utf-8\"><title>{escape(title)}</title><style>table{{border-collapse:collapse}}td,th{{border:1px solid #ccc;padding:2px 6px}}</style></head><body>{''.join(parts)}</body></html>"
+
+
 def export_module(spark: SparkSession, config: Config, module: int, name: str, done: dict[str, DataFrame]) -> None:
     """The files of one module, below its folder."""
     root = f"{config.dir_out}/{name}"
@@ -83,6 +104,7 @@ def export_module(spark: SparkSession, config: Config, module: int, name: str, d
     chosen = {t: done[t] for t in wanted if t in done and not done[t].isEmpty()}
     if chosen:
         sinks.write_bytes(spark, f"{root}/{book}.xlsx", sinks.workbook(chosen))
+        sinks.write_bytes(spark, f"{root}/{book}.html", report(f"Module {module}: {name}", config.of(module), chosen).encode())
     if module == 3 and config.export_read_counts:
         sinks.write_counts(done["repeat_counts"], f"{root}/per_read")
     if module == 4 and "consensus" in done:

@@ -948,7 +948,7 @@ def p15_finite_only(spark, sf_dir):
     k = F.col("event_id") % 3
     v = F.when(k == 0, F.col("value")).when(k == 1, F.lit(float("nan"))).otherwise(F.lit(float("inf")))
     rows = table(spark, sf_dir, "events").select("event_id", v.alias("v"))
-    return rows.select("event_id", F.when(~F.isnan("v") & (F.abs("v") != float("inf")), F.col("v")).alias("v"))
+    return ranges.finite_only(rows)
 
 
 # ---- the inventory's remaining lines --------------------------------------------------------------------------------
@@ -1036,8 +1036,7 @@ def j11_consensus_names(spark, sf_dir):
 
 @query(f"WITH {DUAL_SQL} SELECT file_stem, qname, rname, mapq, alignment_length_on_ref, ref_start FROM ranked WHERE best = 1")
 def w2_best_per_flank(spark, sf_dir):
-    best = F.row_number().over(Window.partitionBy(*alignments.READ, "rname").orderBy(F.desc("mapq"), F.desc("alignment_length_on_ref"), "ref_start", "cigar"))
-    return alignment_rows(spark, sf_dir).withColumn("best", best).filter("best = 1").select("file_stem", "qname", "rname", "mapq", "alignment_length_on_ref", "ref_start")
+    return alignments.best_per_flank(alignment_rows(spark, sf_dir)).select("file_stem", "qname", "rname", "mapq", "alignment_length_on_ref", "ref_start")
 
 
 @query(f"WITH {ALIGN_SQL} SELECT file_stem, qname, count(*) AS n, min(strand) = max(strand) AS one_strand FROM aln GROUP BY 1, 2")
@@ -1053,8 +1052,7 @@ def w6_alignment_number(spark, sf_dir):
 
 @query(f"WITH {READS_SQL}, m AS (SELECT file_stem, cluster_number, avg(repeat_count) AS mean FROM reads GROUP BY 1, 2) SELECT file_stem, cluster_number, CAST(row_number() OVER (PARTITION BY file_stem ORDER BY mean, cluster_number) AS INTEGER) AS relabelled FROM m")
 def w9_relabel_by_mean(spark, sf_dir):
-    means = counted_reads(spark, sf_dir).groupBy("file_stem", "cluster_number").agg(F.avg("repeat_count").alias("mean"))
-    return means.select("file_stem", "cluster_number", F.row_number().over(Window.partitionBy("file_stem").orderBy("mean", "cluster_number")).alias("relabelled"))
+    return clusters.relabelled_by_mean(counted_reads(spark, sf_dir))
 
 
 @query(f"WITH {READS_SQL}, m AS (SELECT file_stem, repeat_count AS mode FROM reads GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY file_stem ORDER BY count(*) DESC, repeat_count) = 1) SELECT file_stem, repeat_count - mode AS deviation, count(*) AS n FROM reads JOIN m USING (file_stem) GROUP BY 1, 2")
@@ -1076,8 +1074,7 @@ def w14_fence_flag(spark, sf_dir):
 @query(f"WITH {READS_SQL}, m AS (SELECT file_stem, avg(repeat_count) AS mean FROM reads GROUP BY 1) SELECT file_stem, round(mean, 6) AS mean, abs(mean - avg(mean) OVER ()) > 2 * stddev_samp(mean) OVER () AS outlier FROM m")
 def w15_cohort_outliers(spark, sf_dir):
     means = counted_reads(spark, sf_dir).groupBy("file_stem").agg(F.avg("repeat_count").alias("mean"))
-    cohort = means.agg(F.avg("mean").alias("m"), F.stddev_samp("mean").alias("s"))
-    return means.join(F.broadcast(cohort)).select("file_stem", "mean", (F.abs(F.col("mean") - F.col("m")) > 2 * F.col("s")).alias("outlier"))  # one row
+    return reads.cohort_outliers(means, "mean")
 
 
 @query("SELECT n_nationkey, n_name, n_regionkey FROM nation ORDER BY n_regionkey, n_name DESC")

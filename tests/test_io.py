@@ -179,6 +179,10 @@ def test_pipeline_runs_resumes_and_recomputes(spark, tmp_path):
     reads_out = spark.read.option("header", True).option("sep", "\t").csv(str(out / "repeat_detection" / "per_read"))
     assert reads_out.count() == 16
     assert (out / "allele_calling" / "variants_csv").exists()
+    page = (out / "visualisation" / "visualisation.html").read_text()
+    assert "<svg" in page and "<h2>histogram</h2>" in page and "repeat_histogram_binwidth" in page
+    page = (out / "range_analysis" / "range_analysis.html").read_text()
+    assert all(f"<h2>{t}</h2>" in page for t in ("modal peaks", "distribution summary")) and "<td>s1</td>" in page
     assert {w for _, w in plan(spark, config) if _ not in (5, 7)} == {"SKIP"}
     changed = Config(**{**config.__dict__, "rpt_min_repeats": 3})
     assert dict(plan(spark, changed))[2] == "SKIP"
