@@ -171,5 +171,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that an item leaks into."""
-    gone = common.staged(leaks(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("gone_id")).distinct(), "leaks")
+    gone = common.staged(leaks(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("gone_id")).distinct(), "leaks", True)
     return docs.join(gone, docs[id_col].eqNullSafe(gone["gone_id"]), "left_anti")

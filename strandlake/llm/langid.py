@@ -150,7 +150,7 @@ def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | N
     # One grouped aggregation of text posteriors; everything else is rolled up from it.
     belief = seen.filter(F.col(logs).isNotNull()).select(host, suffix, said, normal(F.col(logs)).alias("p"))
     sums = [F.sum(F.element_at("p", i + 1)).alias(f"s{i}") for i in range(k)]
-    tally = common.staged(belief.groupBy(host, suffix, said).agg(*sums), "evidence")
+    tally = common.staged(belief.groupBy(host, suffix, said).agg(*sums), "evidence", True)
     up = [F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]
     table = np.ones((k + 1, k)) * 0.5
     for r in tally.groupBy(said).agg(*up).collect():  # languages + 1 rows at most
@@ -168,7 +168,7 @@ def with_language(docs: DataFrame, text_col: str = "text", declared_col: str | N
     up_prior = smoothed("u", [F.lit(float(x)) for x in whole], SMOOTH_SUFFIX)
     priors = by_host.withColumn("above", up_prior)
     priors = priors.select(host, suffix, F.transform(smoothed("s", [F.element_at("above", i + 1) for i in range(k)], SMOOTH_HOST), lambda x: F.log(x)).alias(prior))
-    priors = common.staged(priors, "host-priors")
+    priors = common.staged(priors, "host-priors", True)
     few = priors.limit(HOSTS + 1).count() <= HOSTS  # the size bound of the broadcast
     fused = seen.join(F.broadcast(priors) if few else priors, [host, suffix], "left")
     base = F.coalesce(F.col(prior), _numbers(np.log(whole)))
