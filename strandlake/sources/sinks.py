@@ -2,23 +2,122 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import json
+import os
 import re
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from urllib.parse import urlsplit
 from xml.sax.saxutils import escape
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PROTEIN = "ACDEFGHIKLMNPQRSTVWYXBZJUO*"
 
 
+def folder_name(key: str, value: str | None) -> str:
+    """The folder of a key's rows, as Spark names it."""
+    plain = re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value or "")
+    return f"{key}={plain or '__HIVE_DEFAULT_PARTITION__'}"
+
+
+class _Tsv:
+    """Gzipped lines behind a header; the lines end in newlines and are copied as they lie in memory."""
+
+    suffix = ".csv.gz"
+
+    def __init__(self, path: str, names: list[str]):
+        self.raw = open(path, "wb")
+        self.out = gzip.GzipFile("", "wb", 6, self.raw, 0)
+        self.out.write("\t".join(names).encode() + b"\n")
+
+    def write(self, rows: pa.RecordBatch) -> None:
+        lines = rows.column(0)
+        _, offsets, data = lines.buffers()
+        ends = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(lines.type) else np.int32)
+        self.out.write(memoryview(data)[ends[lines.offset] : ends[lines.offset + len(lines)]])
+
+    def close(self) -> None:
+        self.out.close()
+        self.raw.close()
+
+
+class _Parquet:
+    suffix = ".snappy.parquet"
+
+    def __init__(self, path: str, names: list[str]):
+        self.path, self.out = path, None
+
+    def write(self, rows: pa.RecordBatch) -> None:
+        self.out = self.out or pq.ParquetWriter(self.path, rows.schema)
+        self.out.write_batch(rows)
+
+    def close(self) -> None:
+        self.out.close()
+
+
+def _write_keys(batches: Iterator[pa.RecordBatch], key: str, names: list[str], root: str, kind: type) -> Iterator[pa.RecordBatch]:
+    """Files of rows sorted by their first column, the key; one is open at a time. A file has its name only when it is whole, and a task run again the same names."""
+    files, now, out, part = 0, None, None, f"part-{TaskContext.get().partitionId():05d}{kind.suffix}"
+    own = f".{TaskContext.get().taskAttemptId()}-{part}"
+
+    def close() -> None:
+        out.close()
+        os.replace(f"{root}/{now}/{own}", f"{root}/{now}/{part}")
+
+    for batch in batches:
+        runs, at = pc.run_end_encode(batch.column(0)), 0
+        rest = batch.select(range(1, batch.num_columns))
+        for value, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+            folder = folder_name(key, value)
+            if folder != now:
+                if out:
+                    close()
+                os.makedirs(f"{root}/{folder}", exist_ok=True)
+                now, out, files = folder, kind(f"{root}/{folder}/{own}", names), files + 1
+            out.write(rest.slice(at, end - at))
+            at = end
+    if out:
+        close()
+    yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+
+def write_split(rows: DataFrame, key: str, path: str, kind: str = "parquet") -> None:
+    """The rows split by a text column: a folder for each of its values, ``kind`` (parquet, or csv: gzipped TSV with a header) inside.
+
+    Rows of a key come together first, so a key has one file, and more only where its share of the rows is so large that adaptive execution deals it to
+    several tasks. Files of a folder on disk are written by Arrow: Spark's local file system starts a process for each new file. Other stores are
+    written by Spark.
+    """
+    spark = rows.sparkSession
+    system, p = _fs(spark, path)
+    where = urlsplit(system.makeQualified(p).toUri().toString())
+    names = [c for c in rows.columns if c != key]
+    together = rows.select(key, *names).hint("rebalance", key)
+    if where.scheme != "file":
+        made = together.write.partitionBy(key).mode("overwrite")
+        made.parquet(path) if kind == "parquet" else made.option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
+        return
+    system.delete(p, True)
+    system.mkdirs(p)
+    root, form = system.makeQualified(p).toUri().getPath(), _Parquet if kind == "parquet" else _Tsv
+    if kind != "parquet":
+        together = together.select(key, F.concat(F.to_csv(F.struct(*names), {"sep": "\t"}), F.lit("\n")).alias("line"))
+    together.sortWithinPartitions(key).mapInArrow(lambda batches: _write_keys(batches, key, names, root, form), "files long").agg(F.sum("files")).collect()  # one row
+    write_bytes(spark, f"{path}/_SUCCESS", b"")
+
+
 def write_counts(rows: DataFrame, path: str) -> None:
     """Gzipped TSV of the counts of every read, a folder for each sample."""
-    out = rows.select("file_stem", F.col("qname").alias("read_id"), "repeat_count_full", "repeat_count_match", "repeat_count_tracts")
-    out.write.partitionBy("file_stem").option("sep", "\t").option("header", True).option("compression", "gzip").mode("overwrite").csv(path)
+    write_split(rows.select("file_stem", F.col("qname").alias("read_id"), "repeat_count_full", "repeat_count_match", "repeat_count_tracts"), "file_stem", path, "csv")
 
 
 def fasta_lines(rows: DataFrame, name: str = "name", sequence: str = "sequence", kind: str = "dna") -> DataFrame:

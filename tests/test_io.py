@@ -231,3 +231,25 @@ def test_stream(spark, tmp_path):
     assert spark.read.parquet(str(newest)).count() == 2
     ingest.compact_length_freq(spark, str(tmp_path / "out"), str(tmp_path / "new"))
     assert {(r.file_stem, r.length): r.freq for r in ingest.read_length_freq(spark, str(tmp_path / "new")).collect()} == want
+
+
+ODD = ["s1", "s 2", "a/b", "50%", "x=y", "ü", "[z]^", None]
+
+
+def test_counts_have_one_file_for_each_sample(spark, tmp_path):
+    """However many tasks hold its rows; the number of files is what a run with many samples takes its time for."""
+    texts = ["plain", "tab\there", 'quo"te', " spaces ", "", None, "back\\slash", "é"]
+    rows = [(ODD[i % len(ODD)], f"q{i}", float(i) if i % 5 else None, i, texts[i % 7]) for i in range(400)]
+    df = spark.createDataFrame(rows, "file_stem string, qname string, repeat_count_full double, repeat_count_match int, repeat_count_tracts string").repartition(16)
+    path = str(tmp_path / "counts")
+    sinks.write_counts(df, path)
+    sinks.write_counts(df, path)  # again, over what is there
+    files = [p for p in (tmp_path / "counts").rglob("*.gz") if not p.name.startswith(".")]
+    assert len(files) == len(ODD)
+    assert all(gzip.decompress(p.read_bytes()).startswith(b"read_id\trepeat_count_full\trepeat_count_match\trepeat_count_tracts\n") for p in files)
+    plain = str(tmp_path / "plain")
+    df.select("file_stem", F.col("qname").alias("read_id"), "repeat_count_full", "repeat_count_match", "repeat_count_tracts").write.partitionBy("file_stem").option("sep", "\t").option("header", True).csv(plain)
+    kinds = "read_id string, repeat_count_full double, repeat_count_match int, repeat_count_tracts string, file_stem string"
+    got, want = (sorted(map(repr, spark.read.schema(kinds).option("header", True).option("sep", "\t").csv(p).collect())) for p in (path, plain))
+    assert got == want
+    assert {p.name for p in (tmp_path / "counts").iterdir()} >= {p.name for p in (tmp_path / "plain").iterdir() if p.is_dir()}
