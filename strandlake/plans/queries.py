@@ -1278,7 +1278,7 @@ def k5_variants_csv(spark, sf_dir):
 @query(f"WITH {READS_SQL} SELECT file_stem, CAST(count(*) AS BIGINT) AS n FROM reads GROUP BY 1")
 def u7_split_by_key(spark, sf_dir):
     path = scratch(spark, "split")
-    counted_reads(spark, sf_dir).select("file_stem", "qname").write.partitionBy("file_stem").parquet(path)
+    sinks.write_split(counted_reads(spark, sf_dir).select("file_stem", "qname"), "file_stem", path)
     return spark.read.schema("qname string, file_stem string").parquet(path).groupBy("file_stem").agg(F.count("*").alias("n"))
 
 

@@ -253,3 +253,14 @@ def test_counts_have_one_file_for_each_sample(spark, tmp_path):
     got, want = (sorted(map(repr, spark.read.schema(kinds).option("header", True).option("sep", "\t").csv(p).collect())) for p in (path, plain))
     assert got == want
     assert {p.name for p in (tmp_path / "counts").iterdir()} >= {p.name for p in (tmp_path / "plain").iterdir() if p.is_dir()}
+
+
+def test_split_has_one_file_for_each_key(spark, tmp_path):
+    rows = [(ODD[i % len(ODD)], f"q{i}", i) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, qname string, n long").repartition(16)
+    path = str(tmp_path / "split")
+    sinks.write_split(df, "k", path)
+    assert len([p for p in (tmp_path / "split").rglob("*.parquet")]) == len(ODD)
+    assert sorted(map(repr, map(tuple, spark.read.schema("k string, qname string, n long").parquet(path).select("k", "qname", "n").collect()))) == sorted(map(repr, rows))
+    sinks.write_split(df.limit(0), "k", path)
+    assert spark.read.schema("k string, qname string, n long").parquet(path).count() == 0
