@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import re
 import shutil
 import tempfile
@@ -71,6 +72,12 @@ def release_all(spark: SparkSession) -> None:
     release(spark, shared_dir(spark))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing holds any more; it finds them at a collection of the driver's garbage only."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """``staged`` for tables that nothing reads after the block: they are deleted at its end."""

@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from itertools import combinations
-from math import comb
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,35 +35,48 @@ BLOCK = 2048
 #: Of similar documents: words of a shingle, the similarity, bits of 128 that may differ in a pair that is looked at (a similarity of 0.8 is 19 on average,
 #: with a deviation of 4), bits of a segment, rows of a key that are compared at a time.
 STAGE_SHINGLE, STAGE_LEAST, STAGE_DIFFER, STAGE_SEGMENT, STAGE_BLOCK = 5, 0.8, 24, 16, 1024
+#: Documents that the order of shingles is learnt from, common shingles at most, classes of shingles whose parity is always kept (a power of two).
+STAGE_SAMPLE, STAGE_COMMON, STAGE_BITS = 20_000, 200_000, 512
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
-def votes(text: str | None, shingle: int, digest: Callable[[bytes], bytes], chunk: int = 1 << 16) -> bytes:
-    """A fingerprint's bytes: each bit is that of most digests of a text's word shingles, repeats included; empty without a word."""
+def digests(text: str | None, shingle: int, digest: Callable[[bytes], bytes], chunk: int = 1 << 16) -> Iterator[np.ndarray]:
+    """The digests of a text's word shingles (of the whole sequence of fewer words), repeats included: rows of bytes, ``chunk`` at a time; none without a word."""
     joined = b" ".join(_WORD.findall((text or "").encode().translate(_LOWER)))
     if not joined:
-        return b""
+        return
     gaps = np.flatnonzero(np.frombuffer(joined, np.uint8) == 32)
     starts, ends = np.append(0, gaps + 1), np.append(gaps, len(joined))
     size = min(shingle, len(starts))
     starts, ends = starts[: len(starts) - size + 1], ends[size - 1 :]
-    count, total = 0, len(starts)
-    for at in range(0, total, chunk):
+    for at in range(0, len(starts), chunk):
         spans = zip(starts[at : at + chunk].tolist(), ends[at : at + chunk].tolist(), strict=True)
-        raw = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in spans]), np.uint8)
-        count = count + np.unpackbits(raw.reshape(min(chunk, total - at), -1), axis=1).sum(0, dtype=np.int64)
-    return np.packbits(count * 2 > total).tobytes()
+        yield np.frombuffer(b"".join([digest(joined[a:b]) for a, b in spans]), np.uint8).reshape(min(chunk, len(starts) - at), -1)
+
+
+def votes(raws: Iterator[np.ndarray]) -> bytes:
+    """A fingerprint's bytes: each bit is that of most digests; empty without any."""
+    count, total = 0, 0
+    for raw in raws:
+        count, total = count + np.unpackbits(raw, axis=1).sum(0, dtype=np.int64), total + len(raw)
+    return np.packbits(count * 2 > total).tobytes() if total else b""
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = 42, chunk: int = 1 << 16) -> int:
     """64-bit SimHash of a text's word shingles by XXH64; zero without a word."""
-    return int.from_bytes(votes(text, shingle, lambda x: xxhash.xxh64_digest(x, seed), chunk), "big")
+    return int.from_bytes(votes(digests(text, shingle, lambda x: xxhash.xxh64_digest(x, seed), chunk)), "big")
 
 
 def wide_fingerprint(text: str | None, shingle: int = STAGE_SHINGLE) -> int:
     """128-bit SimHash of a text's word shingles by XXH3; zero without a word."""
-    return int.from_bytes(votes(text, shingle, xxhash.xxh3_128_digest), "big")
+    return int.from_bytes(votes(digests(text, shingle, xxhash.xxh3_128_digest)), "big")
+
+
+def shingle_set(raws: Iterator[np.ndarray]) -> np.ndarray:
+    """The distinct shingles, sorted: the first 64 bits of their digests."""
+    kept = [np.unique(np.ascontiguousarray(raw[:, :8]).view(">i8").astype(np.int64)) for raw in raws]
+    return np.unique(np.concatenate(kept)) if kept else np.empty(0, np.int64)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -267,74 +280,213 @@ def wide_links(reps: DataFrame, differ: int = STAGE_DIFFER, width: int = STAGE_S
     return common.staged(spread.mapInArrow(lambda batches: key_links(batches, differ, 2), ", ".join(f"{c} long" for c in names)).distinct(), "links", True)
 
 
-def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
-    """The distinct hashes of a text's word shingles (of the whole sequence of fewer words)."""
-    words = _WORD.findall((text or "").encode().translate(_LOWER))
-    size = min(shingle, len(words))
-    return np.unique(np.array([xxhash.xxh64_intdigest(b" ".join(words[i : i + size])) for i in range(len(words) - size + 1)] if words else [], np.uint64)).view(np.int64)
+def common_shingles(docs: DataFrame, shingle: int, sample: int = STAGE_SAMPLE, most: int = STAGE_COMMON) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, sorted; documents): the commonest shingles of about ``sample`` documents.
+
+    They only set the order in which a document's shingles are taken, which costs or saves time; any order finds the same pairs.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches, 1):
+            sets = [shingle_set(digests(x, shingle, xxhash.xxh3_128_digest)) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.int64), *sets]))], names=["token"])
+
+    part = max(1, docs.count() // sample)
+    some = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(part)) == 0).select("doc_id", "text")
+    found = some.mapInArrow(run, "token long").groupBy("token").count().filter("count >= 3").orderBy(F.desc("count"), "token").limit(most).toArrow()
+    tokens, counts = (c.to_numpy() for c in found.columns)
+    order = np.argsort(tokens)
+    return tokens[order], counts[order]
+
 
+def prefix(tokens: np.ndarray, ranks: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """The rarest of a set's sorted shingles, so many that any set similar to ``least`` has one of them among its own."""
+    known, counts = ranks
+    weight = np.zeros(len(tokens), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        weight = np.where(known[at] == tokens, counts[at], 0)
+    return tokens[np.argsort(weight, kind="stable")][: len(tokens) - ceil(least * len(tokens) - 1e-9) + 1]
 
-def _wide_prints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, hi, lo from (doc_id, text)."""
+
+def parities(tokens: np.ndarray, classes: int = STAGE_BITS) -> bytes:
+    """For each of the classes of shingles, whether their number is odd: as many bits differ, at most, as there are shingles that two sets don't share."""
+    return np.packbits(np.bincount(tokens & (classes - 1), minlength=classes) & 1).tobytes()
+
+
+def wide_parities(tokens: np.ndarray) -> bytes | None:
+    """Parities in as many classes as there are shingles, or up to twice as many, where ``STAGE_BITS`` are too few."""
+    return parities(tokens, 1 << (len(tokens) - 1).bit_length()) if len(tokens) > STAGE_BITS else None
+
+
+def least_apart(x: bytes, y: bytes) -> int:
+    """Differing parities in the classes of the one that has fewer: halves of the other add up."""
+    x, y = (np.frombuffer(v, np.uint64) for v in sorted((x, y), key=len))
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(distance(x, y))
+
+
+def _profiles(docs: DataFrame, shingle: int, least: float, ranks: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """doc_id, hi, lo, mark (hash of the shingle set), n (its size), bits, wide, prefix from (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches, 1):
-            raw = b"".join(wide_fingerprint(x, shingle).to_bytes(16, "big") for x in batch.column(1).to_pylist())
-            both = np.frombuffer(raw, ">i8").astype(np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1))], names=["doc_id", "hi", "lo"])
+            prints, sets = [], []
+            for text in batch.column(1).to_pylist():
+                raws = list(digests(text, shingle, xxhash.xxh3_128_digest))
+                prints.append(votes(raws).ljust(16, b"\0"))
+                sets.append(shingle_set(raws))
+            both = np.frombuffer(b"".join(prints), ">i8").astype(np.int64).reshape(-1, 2)
+            marks = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+            columns = [batch.column(0), *(pa.array(np.ascontiguousarray(both[:, k])) for k in (0, 1)), pa.array(marks), pa.array([len(x) for x in sets], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(list(map(f, sets)), pa.binary()) for f in (parities, wide_parities)), pa.array([prefix(x, ranks, least) for x in sets], pa.list_(pa.int64()))], names=["doc_id", "hi", "lo", "mark", "n", "bits", "wide", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id long, hi long, lo long")
+    return docs.mapInArrow(run, "doc_id long, hi long, lo long, mark long, n int, bits binary, wide binary, prefix array<long>")
 
 
-def _shingle_sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """rep, shingles of rows (rep, hi, lo, text) whose text has that fingerprint."""
+def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """mark, shingles of rows (text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.slices(batches, 3, 200):
-            kept = []
-            for rep, hi, lo, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if wide_fingerprint(text, shingle) == (hi % (1 << BITS)) << BITS | lo % (1 << BITS):
-                    kept.append((rep, shingle_hashes(text, shingle)))
-            yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in kept], pa.int64()), pa.array([x for _, x in kept], pa.list_(pa.int64()))], names=["rep", "shingles"])
+        for batch in common.slices(batches, 0, 200):
+            sets = [shingle_set(digests(x, shingle, xxhash.xxh3_128_digest)) for x in batch.column(0).to_pylist()]
+            marks = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array(sets, pa.list_(pa.int64()))], names=["mark", "shingles"])
 
-    return rows.mapInArrow(run, "rep long, shingles array<long>")
+    return texts.mapInArrow(run, "mark long, shingles array<long>")
 
 
 def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
-    """Those of the edges (a, b: rep) whose documents' shingle sets have a Jaccard similarity of ``least`` or more.
+    """Those of the edges (a, b: rep) whose shingle sets have a Jaccard similarity of ``least`` or more.
 
-    Only the texts of documents with an edge are read again. A document without an id can't be found again: its edges stand.
+    Only the texts of documents with an edge are read again: by their id, or by their shingle set where no document of it has an id.
     """
     named = edges.select(F.col("a").alias("rep")).unionAll(edges.select(F.col("b").alias("rep"))).distinct()
-    wanted = common.staged(reps.join(named, "rep").filter("first_id IS NOT NULL").select("rep", "hi", "lo", "first_id"), "wanted", True)
+    wanted = common.staged(reps.join(named, "rep").select("rep", "mark", "first_id"), "wanted", True)
     few = wanted.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
-    rows = docs.join(F.broadcast(wanted) if few else wanted, docs["doc_id"] == wanted["first_id"]).select("rep", "hi", "lo", "text")
-    sets = common.staged(_shingle_sets(rows, shingle).dropDuplicates(["rep"]), "shingles")
-    both = edges.join(sets.toDF("a", "ours"), "a", "left").join(sets.toDF("b", "theirs"), "b", "left")
+    small = F.broadcast if few else lambda x: x
+    texts = docs.join(small(wanted.select("first_id").distinct()), docs["doc_id"] == F.col("first_id"), "left_semi").select("text")
+    if not wanted.filter("first_id IS NULL").isEmpty():
+        texts = texts.unionAll(docs.filter("doc_id IS NULL").select("text"))
+    sets = common.staged(_shingle_sets(texts, shingle).join(small(wanted), "mark").select("rep", "shingles"), "shingles")
+    if sets.count() > wanted.count():  # rows that repeat an id
+        sets = sets.dropDuplicates(["rep"])
+    both = edges.join(sets.toDF("a", "ours"), "a").join(sets.toDF("b", "theirs"), "b")
     shared = F.size(F.array_intersect("ours", "theirs"))
-    return both.filter(F.coalesce(shared >= least * (F.size("ours") + F.size("theirs") - shared), F.lit(True))).select("a", "b")
+    return both.filter(shared >= least * (F.size("ours") + F.size("theirs") - shared)).select("a", "b")
+
+
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by their first column, a key, in batches that no key goes beyond. Holds one batch and the rows of one key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(0).to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(keys, keys[-1])) if not held or keys[-1] != held[-1].column(0)[-1].as_py() else 0
+        if cut or (held and keys[0] != held[-1].column(0)[-1].as_py()):
+            yield pa.concat_batches([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.concat_batches(held)
+
+
+def shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (token, rep, root) sorted by token, (token, rep) of tokens with more than one root."""
+    for rows in whole_keys(batches):
+        token, root = (rows.column(k).to_numpy() for k in (0, 2))
+        starts = np.append(0, np.flatnonzero(np.diff(token)) + 1)
+        many = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
+        yield rows.filter(pa.array(np.repeat(many, np.diff(np.append(starts, len(token)))))).select([0, 1])
+
+
+def token_pairs(batches: Iterator[pa.RecordBatch], least: float, few: int = 64) -> Iterator[pa.RecordBatch]:
+    """a, b: of rows (token, n, rep, root, bits) sorted by token and n, the pairs of reps with a token and of two roots that sizes and parities don't rule out."""
+    for rows in whole_keys(batches):
+        token, n, rep, root = (rows.column(k).to_numpy() for k in range(4))
+        bits = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint64).reshape(len(token), -1)
+        cuts = np.flatnonzero(np.diff(token)) + 1
+        starts, ends = np.append(0, cuts), np.append(cuts, len(token))
+        left = np.repeat(ends, ends - starts) - np.arange(len(token)) - 1
+        small = np.repeat(ends - starts <= few, ends - starts)
+        found = []
+
+        def put(i: np.ndarray, j: np.ndarray) -> None:
+            near = (root[i] != root[j]) & (n[i] >= least * n[j] - 1e-6)
+            i, j = i[near], j[near]
+            near = (1 + least) * distance(bits[i], bits[j]) <= (1 - least) * (n[i] + n[j]) + 1e-6
+            if near.any():
+                ends = np.stack([rep[i[near]], rep[j[near]]], 1)
+                found.append(np.sort(ends, 1))
+
+        at = np.flatnonzero(small & (left > 0))
+        for lag in range(1, few):
+            at = at[left[at] >= lag]
+            if not len(at):
+                break
+            put(at, at + lag)
+        for i in np.flatnonzero(~small & (left > 0)).tolist():
+            # Sizes grow, so those that are too large for this one lie at the end.
+            rest = np.arange(i + 1, i + 1 + int(np.searchsorted(n[i + 1 : i + 1 + left[i]], n[i] / least + 1e-6, "right")))
+            put(np.full(len(rest), i), rest)
+        if found:
+            pairs = np.unique(np.concatenate(found), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], names=["a", "b"])
+
+
+def rest_pairs(reps: DataFrame, roots: DataFrame, least: float) -> DataFrame:
+    """a, b: all pairs of reps (rep, n, bits, wide, prefix) that may be similar to ``least`` and that the components (node, root) don't join yet.
+
+    Two sets so similar share a shingle of their prefixes, so pairs meet under these. Shingles of one component only go first, with sizes and parities not yet at hand.
+    """
+    placed = reps.join(roots, reps["rep"] == roots["node"], "left").select("rep", "n", "bits", "prefix", F.coalesce("root", "rep").alias("root"))
+    spread = placed.select(F.explode("prefix").alias("token"), "rep", "root").repartition("token").sortWithinPartitions("token")
+    shared = common.staged(spread.mapInArrow(shared_tokens, "token long, rep long"), "tokens", True)
+    del spread
+    common.free_shuffles(reps.sparkSession)
+    rows = shared.join(placed.drop("prefix"), "rep").select("token", "n", "rep", "root", "bits").repartition("token").sortWithinPartitions("token", "n")
+    pairs = rows.mapInArrow(lambda batches: token_pairs(batches, least), "a long, b long").distinct()
+    sides = [reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}")) for x in "ab"]
+    sized = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "wide_a", "wide_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, x, y = (batch.column(k).to_pylist() for k in (2, 3, 4))
+            kept = [u is None or v is None or (1 + least) * least_apart(u, v) <= (1 - least) * m + 1e-6 for m, u, v in zip(n, x, y, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    return sized.mapInArrow(run, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", differ: int = STAGE_DIFFER, least: float = STAGE_LEAST, shingle: int = STAGE_SHINGLE, width: int = STAGE_SEGMENT) -> DataFrame:
-    """doc_id, component_id of every row: documents joined by pairs whose shingle sets are similar to ``least`` or more.
+    """doc_id, component_id of every row: documents joined by all pairs whose shingle sets are similar to ``least`` or more.
 
-    Pairs are found by 128-bit fingerprints with the deletion variants of ``near_duplicates``, in segments of ``width`` bits: a pair is looked at if some segment
-    differs by one bit at most and the whole by ``differ`` bits. Each key's pairs are thinned to a forest of the nearest ones, whose similarity is then
-    counted on the shingles themselves.
+    Most are found by 128-bit fingerprints with the deletion variants of ``near_duplicates``, in segments of ``width`` bits: a pair is looked at if some segment
+    differs by one bit at most and the whole by ``differ`` bits; each key's pairs are thinned to a forest of the nearest ones, whose similarity is then
+    counted on the shingles themselves. All pairs of different components that are left meet under the rarest fifth of their shingles and are counted too.
     """
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    prints = common.staged(_wide_prints(body, shingle), "fingerprints")
+    prints = common.staged(_profiles(body, shingle, least, common_shingles(body, shingle)), "fingerprints")
     with common.scratch(docs.sparkSession) as stage:
-        reps = stage(prints.groupBy("hi", "lo").agg(F.min("doc_id").alias("first_id")).withColumn("rep", F.monotonically_increasing_id()), "reps", True)
-        found = wide_links(reps.select("hi", "lo"), differ, width)
+        firsts = prints.groupBy("hi", "lo", "mark").agg(F.min("doc_id").alias("first_id"), *(F.first(c).alias(c) for c in ("n", "bits", "wide", "prefix")))
+        reps = stage(firsts.withColumn("rep", F.monotonically_increasing_id()), "reps", True)
+        found = wide_links(reps.select("hi", "lo").distinct(), differ, width)
         ends = [reps.select(F.col("hi").alias(f"{x}0"), F.col("lo").alias(f"{x}1"), F.col("rep").alias(x)) for x in "ab"]
+        common.free_shuffles(docs.sparkSession)
         edges = stage(found.join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"]).select("a", "b"), "pairs", True)
         roots = components(verified(edges, reps, body, least, shingle))
+        common.free_shuffles(docs.sparkSession)
+        others = stage(rest_pairs(reps, roots, least), "others", True)
+        common.free_shuffles(docs.sparkSession)
+        if not others.isEmpty():
+            roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(verified(others, reps, body, least, shingle)))
         grouped = reps.join(roots, reps["rep"] == roots["node"]).select("rep", "first_id", "root")
         nearest = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
         moved = grouped.select("rep", "root").join(nearest, "root").select("rep", "least_id")
-        classes = common.staged(reps.join(moved, "rep", "left").select("hi", "lo", F.coalesce("least_id", "first_id").alias("component_id")), "classes", True)
-    return prints.join(classes, ["hi", "lo"]).select("doc_id", "component_id")
+        classes = common.staged(reps.join(moved, "rep", "left").select("hi", "lo", "mark", F.coalesce("least_id", "first_id").alias("component_id")), "classes", True)
+    return prints.join(classes, ["hi", "lo", "mark"]).select("doc_id", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

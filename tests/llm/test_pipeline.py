@@ -145,3 +145,37 @@ def test_registry_without_these_operators(tmp_path):
 def test_every_operator_has_its_query():
     names = set(queries.queries())
     assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11))
+
+
+def test_near_dedup_loses_no_pair(spark):
+    """Pairs at or just above the threshold, however their fingerprints differ; nothing that is below it."""
+    rng = random.Random(31)
+    rows, above, below = [], [], []
+    for k in range(600):
+        n = rng.randrange(40, 160)
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n + 4)]
+        # Shingles that differ: 5 for each word changed on its own; 2 * 9 (n - d) >= 8 * 2 n holds up to d = n / 9.
+        most = n // 9
+        other = words[: len(words) - most] + [f"v{rng.randrange(10**6)}" for _ in range(most)]
+        less = words[: len(words) - most - 1] + [f"u{rng.randrange(10**6)}" for _ in range(most + 1)]
+        if k % 2:
+            rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(other))]
+            above.append(10 * k)
+        else:
+            rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(less))]
+            below.append(10 * k)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i in above if got[i + 1] != i] == []
+    assert [i for i in below if got[i + 1] != i + 1] == []
+
+
+def test_near_dedup_goes_by_shingles_not_fingerprints(spark):
+    """A shingle that outvotes the others gives texts one fingerprint; a row without an id still ties those like it."""
+    line = "one two three four five "
+    texts = [line * 40 + " ".join(f"{c}{i}" for i in range(12)) for c in "xy"]
+    assert simhash.wide_fingerprint(texts[0]) == simhash.wide_fingerprint(texts[1])
+    words = [f"w{i}" for i in range(104)]
+    chain = [" ".join(words), " ".join(words[:-11] + [f"a{i}" for i in range(11)]), " ".join([f"b{i}" for i in range(11)] + words[11:])]
+    rows = [(1, texts[0]), (2, texts[1]), (None, chain[0]), (4, chain[1]), (5, chain[2])]
+    got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, None: 4, 4: 4, 5: 4}
