@@ -443,7 +443,7 @@ def rest_pairs(reps: DataFrame, roots: DataFrame, least: float) -> DataFrame:
     """
     placed = reps.join(roots, reps["rep"] == roots["node"], "left").select("rep", "n", "bits", "prefix", F.coalesce("root", "rep").alias("root"))
     spread = placed.select(F.explode("prefix").alias("token"), "rep", "root").repartition("token").sortWithinPartitions("token")
-    shared = common.staged(spread.mapInArrow(shared_tokens, "token long, rep long"), "tokens", True)
+    shared = common.staged(spread.mapInArrow(shared_tokens, "token long, rep long"), "tokens")
     del spread
     common.free_shuffles(reps.sparkSession)
     rows = shared.join(placed.drop("prefix"), "rep").select("token", "n", "rep", "root", "bits").repartition("token").sortWithinPartitions("token", "n")
@@ -471,14 +471,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     prints = common.staged(_profiles(body, shingle, least, common_shingles(body, shingle)), "fingerprints")
     with common.scratch(docs.sparkSession) as stage:
         firsts = prints.groupBy("hi", "lo", "mark").agg(F.min("doc_id").alias("first_id"), *(F.first(c).alias(c) for c in ("n", "bits", "wide", "prefix")))
-        reps = stage(firsts.withColumn("rep", F.monotonically_increasing_id()), "reps", True)
+        reps = stage(firsts.withColumn("rep", F.monotonically_increasing_id()), "reps")
         found = wide_links(reps.select("hi", "lo").distinct(), differ, width)
         ends = [reps.select(F.col("hi").alias(f"{x}0"), F.col("lo").alias(f"{x}1"), F.col("rep").alias(x)) for x in "ab"]
         common.free_shuffles(docs.sparkSession)
         edges = stage(found.join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"]).select("a", "b"), "pairs", True)
         roots = components(verified(edges, reps, body, least, shingle))
         common.free_shuffles(docs.sparkSession)
-        others = stage(rest_pairs(reps, roots, least), "others", True)
+        others = stage(rest_pairs(reps, roots, least), "others")
         common.free_shuffles(docs.sparkSession)
         if not others.isEmpty():
             roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(verified(others, reps, body, least, shingle)))
