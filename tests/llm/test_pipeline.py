@@ -179,3 +179,17 @@ def test_near_dedup_goes_by_shingles_not_fingerprints(spark):
     rows = [(1, texts[0]), (2, texts[1]), (None, chain[0]), (4, chain[1]), (5, chain[2])]
     got = simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, None: 4, 4: 4, 5: 4}
+
+
+def test_parities_rule_out_no_similar_pair():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n in (3, 400, 600, 1000, 1100, 5000):
+        for gone in (0, 1, n // 20, n // 9):
+            x = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+            y = np.unique(np.concatenate([x[gone:], rng.integers(-(2**63), 2**63 - 1, gone // 2)]))
+            apart = len(np.setxor1d(x, y))
+            assert simhash.least_apart(simhash.parities(x), simhash.parities(y)) <= apart
+            wide = simhash.wide_parities(x), simhash.wide_parities(y)
+            assert None in wide or simhash.least_apart(*wide) <= apart
