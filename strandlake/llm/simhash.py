@@ -21,6 +21,7 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -357,12 +358,11 @@ def _shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.mapInArrow(run, "mark long, shingles array<long>")
 
 
-def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
-    """Those of the edges (a, b: rep) whose shingle sets have a Jaccard similarity of ``least`` or more.
+def rep_sets(named: DataFrame, reps: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """rep, shingles of the reps in ``named`` (rep, distinct).
 
-    Only the texts of documents with an edge are read again: by their id, or by their shingle set where no document of it has an id.
+    Only the texts of these are read again: by their id, or by their shingle set where no document of it has an id.
     """
-    named = edges.select(F.col("a").alias("rep")).unionAll(edges.select(F.col("b").alias("rep"))).distinct()
     wanted = common.staged(reps.join(named, "rep").select("rep", "mark", "first_id"), "wanted", True)
     few = wanted.limit(common.BROADCAST_ROWS + 1).count() <= common.BROADCAST_ROWS
     small = F.broadcast if few else lambda x: x
@@ -370,8 +370,13 @@ def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, least: float, s
     if not wanted.filter("first_id IS NULL").isEmpty():
         texts = texts.unionAll(docs.filter("doc_id IS NULL").select("text"))
     sets = common.staged(_shingle_sets(texts, shingle).join(small(wanted), "mark").select("rep", "shingles"), "shingles")
-    if sets.count() > wanted.count():  # rows that repeat an id
-        sets = sets.dropDuplicates(["rep"])
+    return sets.dropDuplicates(["rep"]) if sets.count() > wanted.count() else sets  # rows that repeat an id
+
+
+def verified(edges: DataFrame, reps: DataFrame, docs: DataFrame, least: float, shingle: int) -> DataFrame:
+    """Those of the edges (a, b: rep) whose shingle sets have a Jaccard similarity of ``least`` or more."""
+    named = edges.select(F.col("a").alias("rep")).unionAll(edges.select(F.col("b").alias("rep"))).distinct()
+    sets = rep_sets(named, reps, docs, shingle)
     both = edges.join(sets.toDF("a", "ours"), "a").join(sets.toDF("b", "theirs"), "b")
     shared = F.size(F.array_intersect("ours", "theirs"))
     return both.filter(shared >= least * (F.size("ours") + F.size("theirs") - shared)).select("a", "b")
@@ -393,71 +398,150 @@ def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (token, rep, root) sorted by token, (token, rep) of tokens with more than one root."""
-    for rows in whole_keys(batches):
-        token, root = (rows.column(k).to_numpy() for k in (0, 2))
-        starts = np.append(0, np.flatnonzero(np.diff(token)) + 1)
-        many = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
-        yield rows.filter(pa.array(np.repeat(many, np.diff(np.append(starts, len(token)))))).select([0, 1])
+def meetings(place: np.ndarray, n: np.ndarray, root: np.ndarray, least: float, few: int = 64) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j), some at a time: of rows sorted by place and size, those of one place and two roots whose sizes don't rule out that they are similar.
+
+    Rows of small groups are compared with the row some places on, all at a time; a large group row by row.
+    """
+    cuts = np.flatnonzero(np.diff(place)) + 1
+    starts, ends = np.append(0, cuts), np.append(cuts, len(place))
+    many = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
+    left = np.repeat(np.where(many, ends, 0), ends - starts) - np.arange(len(place)) - 1
+    small = np.repeat(ends - starts <= few, ends - starts)
+
+    def fit(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near = (root[i] != root[j]) & (n[i] >= least * n[j] - 1e-6)
+        return i[near], j[near]
+
+    at = np.flatnonzero(small & (left > 0))
+    for lag in range(1, few):
+        at = at[left[at] >= lag]
+        if not len(at):
+            break
+        yield fit(at, at + lag)
+    for i in np.flatnonzero(~small & (left > 0)).tolist():
+        # Sizes grow, so those that are too large for this one lie at the end.
+        rest = np.arange(i + 1, i + 1 + int(np.searchsorted(n[i + 1 : i + 1 + left[i]], n[i] / least + 1e-6, "right")))
+        yield fit(np.full(len(rest), i), rest)
+
+
+#: Of rows (place, n, rest, rep, root, ...): for vectors (i, j) of their places, whether the pairs may be similar.
+Test = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def token_pairs(batches: Iterator[pa.RecordBatch], least: float, few: int = 64) -> Iterator[pa.RecordBatch]:
-    """a, b: of rows (token, n, rep, root, bits) sorted by token and n, the pairs of reps with a token and of two roots that sizes and parities don't rule out."""
+def rest_test(rows: pa.RecordBatch, least: float) -> Test:
+    """Two sets whose first common shingle this is share no more than the lesser of what each has from there on (``rest``)."""
+    n, rest = (rows.column(k).to_numpy().astype(np.int64) for k in (1, 2))
+    return lambda i, j: (1 + least) * np.minimum(rest[i], rest[j]) >= least * (n[i] + n[j]) - 1e-6
+
+
+def narrow_test(rows: pa.RecordBatch, least: float) -> Test:
+    """By the parities in column 5."""
+    n = rows.column(1).to_numpy().astype(np.int64)
+    bits = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint64).reshape(rows.num_rows, -1)
+    return lambda i, j: (1 + least) * distance(bits[i], bits[j]) <= (1 - least) * (n[i] + n[j]) + 1e-6
+
+
+def parity_test(rows: pa.RecordBatch, least: float) -> Test:
+    """By ``rest`` and the parities in columns 5 and 6."""
+    tests = rest_test(rows, least), narrow_test(rows, least)
+    n, wide = rows.column(1).to_pylist(), rows.column(6)
+    wide = {k: wide[k].as_py() for k in np.flatnonzero(wide.is_valid().to_numpy(zero_copy_only=False)).tolist()}
+
+    def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        near = tests[0](i, j)
+        near[near] = tests[1](i[near], j[near])
+        for k in np.flatnonzero(near).tolist():
+            a, b = int(i[k]), int(j[k])
+            if a in wide and b in wide:
+                near[k] = (1 + least) * least_apart(wide[a], wide[b]) <= (1 - least) * (n[a] + n[b]) + 1e-6
+        return near
+
+    return test
+
+
+def first_test(rows: pa.RecordBatch, least: float) -> Test:
+    """By the parities in column 5, and whether no lesser place is in both rows' lists of places (column 6): a pair that meets in many places is left in one."""
+    narrow = narrow_test(rows, least)
+    before = [{p for p in places if p < place} for place, places in zip(rows.column(0).to_pylist(), rows.column(6).to_pylist(), strict=True)]
+
+    def test(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        near = narrow(i, j)
+        near[near] = [before[a].isdisjoint(before[b]) for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True)]
+        return near
+
+    return test
+
+
+def facing(batches: Iterator[pa.RecordBatch], least: float, of: Callable[[pa.RecordBatch, float], Test], columns: int) -> Iterator[pa.RecordBatch]:
+    """Of rows (place, n, rest, rep, root, ...) sorted by place and n, the first columns of those that meet one there that the test leaves. Never more rows than came."""
     for rows in whole_keys(batches):
-        token, n, rep, root = (rows.column(k).to_numpy() for k in range(4))
-        bits = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint64).reshape(len(token), -1)
-        cuts = np.flatnonzero(np.diff(token)) + 1
-        starts, ends = np.append(0, cuts), np.append(cuts, len(token))
-        left = np.repeat(ends, ends - starts) - np.arange(len(token)) - 1
-        small = np.repeat(ends - starts <= few, ends - starts)
-        found = []
+        place, n = (rows.column(k).to_numpy() for k in (0, 1))
+        test, kept = of(rows, least), np.zeros(rows.num_rows, bool)
+        for i, j in meetings(place, n, pc.coalesce(rows.column(4), rows.column(3)).to_numpy(), least):
+            near = test(i, j)
+            kept[i[near]] = kept[j[near]] = True
+        yield rows.select(list(range(columns))).filter(pa.array(kept))
 
-        def put(i: np.ndarray, j: np.ndarray) -> None:
-            near = (root[i] != root[j]) & (n[i] >= least * n[j] - 1e-6)
-            i, j = i[near], j[near]
-            near = (1 + least) * distance(bits[i], bits[j]) <= (1 - least) * (n[i] + n[j]) + 1e-6
-            if near.any():
-                ends = np.stack([rep[i[near]], rep[j[near]]], 1)
-                found.append(np.sort(ends, 1))
-
-        at = np.flatnonzero(small & (left > 0))
-        for lag in range(1, few):
-            at = at[left[at] >= lag]
-            if not len(at):
-                break
-            put(at, at + lag)
-        for i in np.flatnonzero(~small & (left > 0)).tolist():
-            # Sizes grow, so those that are too large for this one lie at the end.
-            rest = np.arange(i + 1, i + 1 + int(np.searchsorted(n[i + 1 : i + 1 + left[i]], n[i] / least + 1e-6, "right")))
-            put(np.full(len(rest), i), rest)
-        if found:
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, k])) for k in (0, 1)], names=["a", "b"])
-
-
-def rest_pairs(reps: DataFrame, roots: DataFrame, least: float) -> DataFrame:
-    """a, b: all pairs of reps (rep, n, bits, wide, prefix) that may be similar to ``least`` and that the components (node, root) don't join yet.
-
-    Two sets so similar share a shingle of their prefixes, so pairs meet under these. Shingles of one component only go first, with sizes and parities not yet at hand.
-    """
-    placed = reps.join(roots, reps["rep"] == roots["node"], "left").select("rep", "n", "bits", "prefix", F.coalesce("root", "rep").alias("root"))
-    spread = placed.select(F.explode("prefix").alias("token"), "rep", "root").repartition("token").sortWithinPartitions("token")
-    shared = common.staged(spread.mapInArrow(shared_tokens, "token long, rep long"), "tokens")
-    del spread
-    common.free_shuffles(reps.sparkSession)
-    rows = shared.join(placed.drop("prefix"), "rep").select("token", "n", "rep", "root", "bits").repartition("token").sortWithinPartitions("token", "n")
-    pairs = rows.mapInArrow(lambda batches: token_pairs(batches, least), "a long, b long").distinct()
-    sides = [reps.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("wide").alias(f"wide_{x}")) for x in "ab"]
-    sized = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), "wide_a", "wide_b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, x, y = (batch.column(k).to_pylist() for k in (2, 3, 4))
-            kept = [u is None or v is None or (1 + least) * least_apart(u, v) <= (1 - least) * m + 1e-6 for m, u, v in zip(n, x, y, strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+def counted_links(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """a, b: of rows (place, n, rest, rep, root, bits, shingles) sorted by place and n, a forest of reps similar to ``least`` or more, counted on their shingles, for each place."""
+    for rows in whole_keys(batches):
+        place, n, rep = (rows.column(k).to_numpy() for k in (0, 1, 3))
+        root = pc.coalesce(rows.column(4), rows.column(3)).to_numpy()
+        near, sets = narrow_test(rows, least), rows.column(6)
+        parent: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def top(x: tuple[int, int]) -> tuple[int, int]:
+            while (up := parent.get(x, x)) != x:
+                parent[x] = x = parent.get(up, up)
+            return x
 
-    return sized.mapInArrow(run, "a long, b long")
+        found = []
+        for i, j in meetings(place, n, root, least):
+            alike = near(i, j)
+            for a, b in zip(i[alike].tolist(), j[alike].tolist(), strict=True):
+                x, y = (top((int(place[k]), int(root[k]))) for k in (a, b))
+                if x == y:
+                    continue
+                shared = len(np.intersect1d(sets[a].values.to_numpy(), sets[b].values.to_numpy(), assume_unique=True))
+                if shared >= least * (int(n[a]) + int(n[b]) - shared):
+                    parent[x] = y
+                    found.append((rep[a], rep[b]))
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(ends[:, k])) for k in (0, 1)], names=["a", "b"])
+
+
+def rest_links(reps: DataFrame, roots: DataFrame, docs: DataFrame, least: float, shingle: int, block: int = 4 * STAGE_BLOCK, most: int = 1 << 22) -> DataFrame:
+    """a, b: links of reps similar to ``least`` or more that join whatever is so similar and the components (node, root) don't join yet.
+
+    Two sets so similar share a shingle of their prefixes, so they meet under these; no table of pairs is made. Each step only drops rows that meet no row
+    of another component that may be similar: by sizes and what is left behind the shingle; by parities; in all places but the first of those where a pair
+    meets. The sets of the few rows left are then compared place by place, and each place gives a forest of links. Shingles with more than about ``block`` rows,
+    or ``most`` shingles in these, are dealt to blocks, each pair of blocks a place of its own.
+    """
+    spark = reps.sparkSession
+    kinds = "place long, n int, rest int, rep long, root long"
+    meet = lambda rows, of, columns: rows.repartition("place").sortWithinPartitions("place", "n").mapInArrow(lambda batches: facing(batches, least, of, columns), kinds + ", bits binary" * (columns > 5))
+    placed = reps.join(roots, reps["rep"] == roots["node"], "left").select("rep", "n", "prefix", F.when(F.col("root") != F.col("rep"), F.col("root")).alias("root"))
+    spread = placed.select("rep", "n", "root", F.posexplode("prefix").alias("at", "place")).select("place", "n", (F.col("n") - F.col("at")).alias("rest"), "rep", "root")
+    rows = common.staged(meet(spread, rest_test, 5), "tokens")
+    common.free_shuffles(spark)
+    heavy = rows.groupBy("place").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / most)).cast("int").alias("parts")).filter("parts > 1")
+    heavy = common.staged(heavy, "heavy", True)
+    if n := heavy.limit(common.BROADCAST_ROWS + 1).count():
+        rows = rows.join(F.broadcast(heavy) if n <= common.BROADCAST_ROWS else heavy, "place", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        own = F.when(F.col("parts") > 1, F.xxhash64("place", F.least("part", "other"), F.greatest("part", "other"))).otherwise(F.col("place"))
+        rows = rows.select(own.alias("place"), "n", "rest", "rep", "root")
+    rows = rows.join(reps.select("rep", "bits", "wide"), "rep").select("place", "n", "rest", "rep", "root", "bits", "wide")
+    rows = common.staged(meet(rows, parity_test, 6), "alike", True)
+    lists = rows.groupBy("rep").agg(F.collect_list("place").alias("places"))
+    rows = common.staged(meet(rows.join(lists, "rep").select(*rows.columns, "places"), first_test, 6), "first", True)
+    common.free_shuffles(spark)
+    sets = rep_sets(rows.select("rep").distinct(), reps, docs, shingle)
+    rows = rows.join(sets, "rep").select(*rows.columns, "shingles").repartition("place").sortWithinPartitions("place", "n")
+    return rows.mapInArrow(lambda batches: counted_links(batches, least), "a long, b long")
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", differ: int = STAGE_DIFFER, least: float = STAGE_LEAST, shingle: int = STAGE_SHINGLE, width: int = STAGE_SEGMENT) -> DataFrame:
@@ -465,7 +549,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Most are found by 128-bit fingerprints with the deletion variants of ``near_duplicates``, in segments of ``width`` bits: a pair is looked at if some segment
     differs by one bit at most and the whole by ``differ`` bits; each key's pairs are thinned to a forest of the nearest ones, whose similarity is then
-    counted on the shingles themselves. All pairs of different components that are left meet under the rarest fifth of their shingles and are counted too.
+    counted on the shingles themselves. Documents of different components that are left meet under the rarest fifth of their shingles and are linked there (``rest_links``).
     """
     body = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     prints = common.staged(_profiles(body, shingle, least, common_shingles(body, shingle)), "fingerprints")
@@ -478,10 +562,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         edges = stage(found.join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"]).select("a", "b"), "pairs", True)
         roots = components(verified(edges, reps, body, least, shingle))
         common.free_shuffles(docs.sparkSession)
-        others = stage(rest_pairs(reps, roots, least), "others")
+        others = stage(rest_links(reps, roots, body, least, shingle), "others", True)
         common.free_shuffles(docs.sparkSession)
         if not others.isEmpty():
-            roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(verified(others, reps, body, least, shingle)))
+            roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(others))
         grouped = reps.join(roots, reps["rep"] == roots["node"]).select("rep", "first_id", "root")
         nearest = grouped.groupBy("root").agg(F.min("first_id").alias("least_id"))
         moved = grouped.select("rep", "root").join(nearest, "root").select("rep", "least_id")

@@ -193,3 +193,81 @@ def test_parities_rule_out_no_similar_pair():
             assert simhash.least_apart(simhash.parities(x), simhash.parities(y)) <= apart
             wide = simhash.wide_parities(x), simhash.wide_parities(y)
             assert None in wide or simhash.least_apart(*wide) <= apart
+
+
+def near_copies(rng, n, words=60):
+    """Texts of one source whose shingle sets are mostly a little less similar than the threshold: some words at random places are others."""
+    source = [f"w{i}" for i in range(words * 5)]
+    for k in range(n):
+        text = list(source)
+        for at in rng.sample(range(len(text)), rng.choice([3, 6, 7, 8])):
+            text[at] = f"x{rng.randrange(10**6)}"
+        yield " ".join(text)
+
+
+def similar_classes(texts, least=0.8):
+    sets = {}
+    for i, text in texts:
+        words = text.split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    parent = {i: i for i in sets}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    similar = 0
+    for a in sets:
+        for b in sets:
+            if a < b and len(both := sets[a] & sets[b]) >= least * (len(sets[a]) + len(sets[b]) - len(both)):
+                similar += 1
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    return {i: root(i) for i in sets}, similar
+
+
+def test_near_dedup_makes_no_table_of_pairs(spark, monkeypatch):
+    """A large group of near copies: what the steps write grows with its rows, not with its pairs."""
+    made = {}
+    staged = simhash.common.staged
+
+    def counted(df, label, *args, **options):
+        out = staged(df, label, *args, **options)
+        made[label] = max(made.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash.common, "staged", counted)
+    rows = list(enumerate(near_copies(random.Random(12), 260)))
+    want, similar = similar_classes(rows)
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), differ=0).collect()}
+    assert got == want
+    assert similar > 2 * len(rows)
+    assert made["others"] < 2 * len(rows)
+
+
+@pytest.mark.parametrize("block,most", [(10**6, 10**9), (16, 10**9), (10**6, 4000)])
+def test_rest_links_lose_nothing(spark, block, most):
+    """All links without any first pass, also where places are dealt to blocks by their rows or by their shingles."""
+    import numpy as np
+
+    rng = random.Random(40)
+    rows = [(100 * k + i, t) for k in range(3) for i, t in enumerate(near_copies(rng, 40, 20 + 45 * k))]
+    want, _ = similar_classes(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    reps = simhash._profiles(docs, 5, 0.8, (np.empty(0, np.int64), np.empty(0, np.int64))).withColumnRenamed("doc_id", "first_id").selectExpr("*", "first_id AS rep").cache()
+    alone = spark.createDataFrame([], "node long, root long")
+    links = [(r.a, r.b) for r in simhash.rest_links(reps, alone, docs, 0.8, 5, block, most).collect()]
+    assert all(want[a] == want[b] for a, b in links)
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    assert {i: root(i) for i in parent} == want
+    assert 3 < len(set(want.values())) < len(rows)
