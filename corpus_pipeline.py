@@ -16,33 +16,39 @@ from strandlake import ship
 from strandlake.llm import common, decontam, langid, packing, simhash, toxicity
 
 
+def _begin(spark: SparkSession) -> None:
+    """Workers get the source; what the stage before left in the executors' memory goes."""
+    ship(spark)
+    common.free_memory(spark)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that language identification rejects go."""
-    ship(spark)
+    _begin(spark)
     return langid.keep_accepted(docs)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity reaches the threshold go; the machine learns from the labels of those that are here."""
-    ship(spark)
+    _begin(spark)
     return toxicity.keep_clean(docs, common.table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
-    ship(spark)
+    _begin(spark)
     return simhash.keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that an item of the benchmark leaks into go."""
-    ship(spark)
+    _begin(spark)
     return decontam.keep_uncontaminated(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of what is left with its place in a sequence."""
-    ship(spark)
+    _begin(spark)
     return packing.pack(docs)
 
 

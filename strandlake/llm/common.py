@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT = "spark.checkpoint.dir"
 #: Rows that a broadcast table may have; beyond it the join is shuffled.
@@ -34,7 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     found = spark.sparkContext.getConf().get(CHECKPOINT) or spark.conf.get(CHECKPOINT, None)
     if not found:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        if not one_machine(spark):
             raise ValueError(f"{CHECKPOINT} must name a folder that all executors share")
         own = tempfile.mkdtemp(prefix="strandlake-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
@@ -72,10 +73,23 @@ def release_all(spark: SparkSession) -> None:
     release(spark, shared_dir(spark))
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of plans that nothing holds any more; it finds them at a collection of the driver's garbage only."""
+def one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executor are one process."""
+    return bool(re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master))
+
+
+def free_memory(spark: SparkSession) -> None:
+    """Has driver and executors collect their garbage.
+
+    Spark deletes the shuffle files of plans that nothing holds any more at a collection of the driver's garbage only, and an executor's heap, once grown, is
+    given back to the machine, with buffers and generated classes that nothing holds, at a full collection only. There is a task for each core, so that each
+    executor gets some; one that gets none is as it was.
+    """
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    if not one_machine(spark):
+        cores = spark.sparkContext.defaultParallelism
+        spark.range(0, cores, 1, cores).select(F.expr("java_method('java.lang.System', 'gc')")).write.format("noop").mode("overwrite").save()
 
 
 @contextlib.contextmanager

@@ -526,7 +526,7 @@ def rest_links(reps: DataFrame, roots: DataFrame, docs: DataFrame, least: float,
     placed = reps.join(roots, reps["rep"] == roots["node"], "left").select("rep", "n", "prefix", F.when(F.col("root") != F.col("rep"), F.col("root")).alias("root"))
     spread = placed.select("rep", "n", "root", F.posexplode("prefix").alias("at", "place")).select("place", "n", (F.col("n") - F.col("at")).alias("rest"), "rep", "root")
     rows = common.staged(meet(spread, rest_test, 5), "tokens")
-    common.free_shuffles(spark)
+    common.free_memory(spark)
     heavy = rows.groupBy("place").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / most)).cast("int").alias("parts")).filter("parts > 1")
     heavy = common.staged(heavy, "heavy", True)
     if n := heavy.limit(common.BROADCAST_ROWS + 1).count():
@@ -538,7 +538,7 @@ def rest_links(reps: DataFrame, roots: DataFrame, docs: DataFrame, least: float,
     rows = common.staged(meet(rows, parity_test, 6), "alike", True)
     lists = rows.groupBy("rep").agg(F.collect_list("place").alias("places"))
     rows = common.staged(meet(rows.join(lists, "rep").select(*rows.columns, "places"), first_test, 6), "first", True)
-    common.free_shuffles(spark)
+    common.free_memory(spark)
     sets = rep_sets(rows.select("rep").distinct(), reps, docs, shingle)
     rows = rows.join(sets, "rep").select(*rows.columns, "shingles").repartition("place").sortWithinPartitions("place", "n")
     return rows.mapInArrow(lambda batches: counted_links(batches, least), "a long, b long")
@@ -558,12 +558,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         reps = stage(firsts.withColumn("rep", F.monotonically_increasing_id()), "reps")
         found = wide_links(reps.select("hi", "lo").distinct(), differ, width)
         ends = [reps.select(F.col("hi").alias(f"{x}0"), F.col("lo").alias(f"{x}1"), F.col("rep").alias(x)) for x in "ab"]
-        common.free_shuffles(docs.sparkSession)
+        common.free_memory(docs.sparkSession)
         edges = stage(found.join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"]).select("a", "b"), "pairs", True)
         roots = components(verified(edges, reps, body, least, shingle))
-        common.free_shuffles(docs.sparkSession)
+        common.free_memory(docs.sparkSession)
         others = stage(rest_links(reps, roots, body, least, shingle), "others", True)
-        common.free_shuffles(docs.sparkSession)
+        common.free_memory(docs.sparkSession)
         if not others.isEmpty():
             roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(others))
         grouped = reps.join(roots, reps["rep"] == roots["node"]).select("rep", "first_id", "root")

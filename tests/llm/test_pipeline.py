@@ -271,3 +271,46 @@ def test_rest_links_lose_nothing(spark, block, most):
         parent[y] = x
     assert {i: root(i) for i in parent} == want
     assert 3 < len(set(want.values())) < len(rows)
+
+
+CLUSTER = """
+import os, sys, time
+import corpus_pipeline
+import pyspark
+from pyspark.sql import SparkSession
+
+spark = SparkSession.builder.master("local-cluster[1,2,1500]").config("spark.executor.memory", "900m").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://" + sys.argv[1]).config("spark.sql.shuffle.partitions", "4").getOrCreate()
+
+
+def resident(_):
+    daemon = os.getppid()
+    executor = open(f"/proc/{daemon}/stat").read().rsplit(")", 1)[1].split()[1]
+    yield int(next(x for x in open(f"/proc/{executor}/status") if x.startswith("VmRSS")).split()[1]) // 1024
+
+
+now = lambda: spark.sparkContext.parallelize([0], 1).mapPartitions(resident).first()
+spark.range(0, 6_000_000, 1, 4).selectExpr("id", "sha2(CAST(id AS STRING), 512) AS h").repartition(2, "h").sortWithinPartitions("h").write.format("noop").mode("overwrite").save()
+before = now()
+docs = spark.read.parquet(sys.argv[2] + "/documents.parquet")
+corpus_pipeline.language_id(spark, docs.limit(0), sys.argv[2])
+time.sleep(2)
+print("MB", before, now())
+"""
+
+
+def test_a_stage_begins_without_the_memory_of_the_last(tmp_path):
+    """An executor's heap, once grown, is given back before the next stage."""
+    import pyspark
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    (tmp_path / "cluster.py").write_text(CLUSTER)
+    (tmp_path / "home").mkdir()
+    installed = os.path.dirname(pyspark.__file__)
+    for name in os.listdir(installed):
+        if name != "work":  # the executors' logs go there
+            (tmp_path / "home" / name).symlink_to(f"{installed}/{name}")
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("PYSPARK_SUBMIT", "PYSPARK_GATEWAY"))} | {"PYTHONPATH": root, "SPARK_HOME": str(tmp_path / "home"), "SPARK_SCALA_VERSION": "2.13", "SPARK_LOCAL_IP": "127.0.0.1", "PYSPARK_PYTHON": sys.executable}
+    out = subprocess.run([sys.executable, "cluster.py", str(tmp_path / "shared"), f"{DATA}/sf0.001"], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    before, after = map(int, re.search(r"MB (\d+) (\d+)", out.stdout + out.stderr[-3000:]).groups())
+    assert before > 700
+    assert after < 0.7 * before
