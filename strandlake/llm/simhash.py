@@ -522,10 +522,14 @@ def rest_links(reps: DataFrame, roots: DataFrame, docs: DataFrame, least: float,
     """
     spark = reps.sparkSession
     kinds = "place long, n int, rest int, rep long, root long"
-    meet = lambda rows, of, columns: rows.repartition("place").sortWithinPartitions("place", "n").mapInArrow(lambda batches: facing(batches, least, of, columns), kinds + ", bits binary" * (columns > 5))
+
+    def meet(rows: DataFrame, of: Callable[[pa.RecordBatch, float], Test], columns: int, label: str) -> DataFrame:
+        kept = rows.repartition("place").sortWithinPartitions("place", "n").mapInArrow(lambda batches: facing(batches, least, of, columns), kinds + ", bits binary" * (columns > 5))
+        return common.staged(kept.repartition(spark.sparkContext.defaultParallelism), label)  # made by many tasks, few rows: few files
+
     placed = reps.join(roots, reps["rep"] == roots["node"], "left").select("rep", "n", "prefix", F.when(F.col("root") != F.col("rep"), F.col("root")).alias("root"))
     spread = placed.select("rep", "n", "root", F.posexplode("prefix").alias("at", "place")).select("place", "n", (F.col("n") - F.col("at")).alias("rest"), "rep", "root")
-    rows = common.staged(meet(spread, rest_test, 5), "tokens")
+    rows = meet(spread, rest_test, 5, "tokens")
     common.free_memory(spark)
     heavy = rows.groupBy("place").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / most)).cast("int").alias("parts")).filter("parts > 1")
     heavy = common.staged(heavy, "heavy", True)
@@ -535,13 +539,13 @@ def rest_links(reps: DataFrame, roots: DataFrame, docs: DataFrame, least: float,
         own = F.when(F.col("parts") > 1, F.xxhash64("place", F.least("part", "other"), F.greatest("part", "other"))).otherwise(F.col("place"))
         rows = rows.select(own.alias("place"), "n", "rest", "rep", "root")
     rows = rows.join(reps.select("rep", "bits", "wide"), "rep").select("place", "n", "rest", "rep", "root", "bits", "wide")
-    rows = common.staged(meet(rows, parity_test, 6), "alike", True)
+    rows = meet(rows, parity_test, 6, "alike")
     lists = rows.groupBy("rep").agg(F.collect_list("place").alias("places"))
-    rows = common.staged(meet(rows.join(lists, "rep").select(*rows.columns, "places"), first_test, 6), "first", True)
+    rows = meet(rows.join(lists, "rep").select(*rows.columns, "places"), first_test, 6, "first")
     common.free_memory(spark)
     sets = rep_sets(rows.select("rep").distinct(), reps, docs, shingle)
     rows = rows.join(sets, "rep").select(*rows.columns, "shingles").repartition("place").sortWithinPartitions("place", "n")
-    return rows.mapInArrow(lambda batches: counted_links(batches, least), "a long, b long")
+    return rows.mapInArrow(lambda batches: counted_links(batches, least), "a long, b long").repartition(spark.sparkContext.defaultParallelism)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", differ: int = STAGE_DIFFER, least: float = STAGE_LEAST, shingle: int = STAGE_SHINGLE, width: int = STAGE_SEGMENT) -> DataFrame:
@@ -562,7 +566,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         edges = stage(found.join(ends[0], ["a0", "a1"]).join(ends[1], ["b0", "b1"]).select("a", "b"), "pairs", True)
         roots = components(verified(edges, reps, body, least, shingle))
         common.free_memory(docs.sparkSession)
-        others = stage(rest_links(reps, roots, body, least, shingle), "others", True)
+        others = stage(rest_links(reps, roots, body, least, shingle), "others")
         common.free_memory(docs.sparkSession)
         if not others.isEmpty():
             roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionAll(others))
